@@ -125,7 +125,7 @@ def _vector_sums(assigned: DataFrame, features_col: str) -> DataFrame:
         .agg(F.sum(F.col("v").cast("double")).alias("s"))
     )
     vec = per_pos.groupBy("cluster").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda st: st["s"]).alias("total")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "s"))), lambda st: st["s"]).alias("total")
     )
     m = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
     return m.join(vec, "cluster")

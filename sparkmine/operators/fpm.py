@@ -22,7 +22,7 @@ def fp_growth(tx: DataFrame, min_count: int, n: int | None = None, num_partition
     model = fp.fit(tx.select(F.array_distinct("items").alias("items")))
     return model.freqItemsets.select(
         F.size("items").cast("int").alias("k"),
-        F.array_sort("items").alias("items"),
+        F.sort_array("items").alias("items"),
         F.col("freq").cast("long").alias("support_count"),
     )
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmine.functions.columns import drop_one_subsets, min_count_from_support, seeded_uniform
-from sparkmine.session import LITERAL_LIMIT, cut_lineage, maybe_broadcast
+from sparkmine.session import LITERAL_LIMIT, cut_lineage, cut_lineage_observed, maybe_broadcast
 
 log = logging.getLogger(__name__)
 
@@ -46,7 +46,7 @@ _ROW_OVERHEAD = 48
 
 
 def _norm_items(col="items"):
-    return F.array_sort(F.array_distinct(F.col(col)))
+    return F.sort_array(F.array_distinct(F.col(col)))
 
 
 def _count():
@@ -127,7 +127,7 @@ def prune_infrequent(tx: DataFrame, l1: DataFrame, group_cols=(), drop_empty: bo
     else:
         long = tx.select("txn_id", *g, F.explode(_norm_items()).alias("item"))
         kept = long.join(l1.select(*g, "item"), [*g, "item"], "left_semi")
-        out = kept.groupBy("txn_id", *g).agg(F.array_sort(F.collect_list("item")).alias("items"))
+        out = kept.groupBy("txn_id", *g).agg(F.sort_array(F.collect_list("item")).alias("items"))
         if not drop_empty:
             out = tx.select("txn_id", *g).join(out, ["txn_id", *g], "left").withColumn(
                 "items", F.coalesce("items", F.array().cast(tx.schema["items"].dataType))
@@ -190,16 +190,6 @@ class MiningResult:
     candidate_growth: DataFrame | None  # (group..., k, n_candidates)
 
 
-def _empty_like_items(tx: DataFrame, g: list) -> DataFrame:
-    spark = tx.sparkSession
-    fields = [tx.schema[c] for c in g] + [
-        T.StructField("k", T.IntegerType()),
-        T.StructField("items", tx.schema["items"].dataType),
-        T.StructField("support_count", T.LongType()),
-    ]
-    return spark.createDataFrame([], T.StructType(fields))
-
-
 def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int) -> DataFrame:
     """Level-1 occurrence rows: (group..., items=[x], tail = frequent items of t after x)."""
     item_type = base.schema["items"].dataType
@@ -207,12 +197,12 @@ def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int) -> DataFram
         keep = sorted(r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).collect())
         pruned = base.select(F.array_intersect("items", F.lit(keep).cast(item_type)).alias("r"))
     elif g:
-        ext = l1.groupBy(*g).agg(F.array_sort(F.collect_list(F.element_at("items", 1))).alias("ext"))
+        ext = l1.groupBy(*g).agg(F.sort_array(F.collect_list(F.element_at("items", 1))).alias("ext"))
         pruned = base.join(maybe_broadcast(ext, n_l1, _ITEM_BYTES), g).select(*g, F.array_intersect("items", "ext").alias("r"))
     else:
         long = base.select("txn_id", F.explode("items").alias("item"))
         kept = long.join(l1.select(F.element_at("items", 1).alias("item")), ["item"], "left_semi")
-        pruned = kept.groupBy("txn_id").agg(F.array_sort(F.collect_list("item")).alias("r")).select("r")
+        pruned = kept.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("r")).select("r")
     return (
         pruned.where(F.size("r") > 1)
         .select(*g, "r", F.posexplode("r").alias("pos", "x"))
@@ -221,22 +211,21 @@ def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int) -> DataFram
     )
 
 
-def _extend_tails(occ: DataFrame, level: DataFrame, k: int, g: list, n_level: int) -> DataFrame | None:
+def _extend_tails(occ: DataFrame, level: DataFrame, k: int, g: list, n_level: int) -> DataFrame:
     """Occurrence rows of level k from those of level k-1 and the frequent
-    k-itemsets ``level``: tails are cut to J's frequent siblings."""
+    k-itemsets ``level``: tails are cut to J's frequent siblings.
+
+    The extension table has one row per prefix with >= 2 frequent extensions
+    and holds every itemset of ``level`` at most once, so its size is bounded
+    by the exact level count ``n_level``."""
     ext = (
         level.groupBy(*g, F.slice("items", 1, k - 1).alias("items"))
-        .agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("ext"), F.count(F.lit(1)).alias("m"))
+        .agg(F.sort_array(F.collect_list(F.element_at("items", -1))).alias("ext"), F.count(F.lit(1)).alias("m"))
         .where(F.col("m") >= 2)
         .drop("m")
     )
-    ext = cut_lineage(ext)
-    n_ext = ext.count()
-    if n_ext == 0:
-        return None
-    row_bytes = _ROW_OVERHEAD + _ITEM_BYTES * (k - 1) + _ITEM_BYTES * max(1, n_level // max(1, n_ext))
     return (
-        occ.join(maybe_broadcast(ext, n_ext, row_bytes), [*g, "items"])
+        occ.join(maybe_broadcast(ext, n_level, _ROW_OVERHEAD + _ITEM_BYTES * (k + 1)), [*g, "items"])
         .select(*g, "items", F.array_intersect("tail", "ext").alias("r"))
         .where(F.size("r") > 1)
         .select(*g, "items", "r", F.posexplode("r").alias("pos", "x"))
@@ -254,61 +243,105 @@ def _candidate_counts(l_prev: DataFrame, k: int, g: list, alive_counts: list[Row
     return [tuple(r[c] for c in g) + (got.get(tuple(r[c] for c in g), 0),) for r in alive_counts]
 
 
+def prepare_transactions(tx: DataFrame, group_cols=()) -> DataFrame:
+    """Normalised (txn_id, group..., items sorted distinct), written once to the
+    checkpoint folder so every pass of a miner reads the same rows without
+    recomputing the upstream joins."""
+    return prepare_transactions_counted(tx, group_cols)[0]
+
+
+def prepare_transactions_counted(tx: DataFrame, group_cols=()) -> tuple[DataFrame, int]:
+    """``prepare_transactions`` plus the number of transactions (observed
+    during the write, no extra job)."""
+    g = list(group_cols)
+    cols = (["txn_id"] if "txn_id" in tx.columns else []) + g
+    base = tx.select(*cols, _norm_items().alias("items"))
+    if "txn_id" not in base.columns:
+        base = base.withColumn("txn_id", F.monotonically_increasing_id())
+    out, m = cut_lineage_observed(base, n=F.count(F.lit(1)))
+    return out, int(m["n"])
+
+
+def resolve_threshold(n: int, min_count: int | None, support: float | None) -> int:
+    if min_count is None:
+        if support is None:
+            raise ValueError("give min_count or support")
+        min_count = min_count_from_support(support, n)
+    if min_count < 1:
+        raise ValueError("min_count must be >= 1")
+    return int(min_count)
+
+
+def _per_group(df: DataFrame, g: list) -> list[Row]:
+    return df.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
 def mine_frequent(
     tx: DataFrame,
-    min_count: int,
+    min_count: int | None = None,
     group_cols=(),
     allowed: DataFrame | None = None,
     stats: str | None = None,
+    support: float | None = None,
+    prepared: bool = False,
+    n: int | None = None,
 ) -> MiningResult:
-    """Level-wise frequent itemsets of ``tx`` (group..., items) with count >= min_count.
+    """Level-wise frequent itemsets of ``tx`` (txn_id, group..., items) with
+    count >= min_count (or >= ceil(support * n)).
 
     ``group_cols`` mines every group separately in the same jobs (SON buckets).
     ``allowed`` (items) restricts every level to a downward-closed candidate
     family (SON phase 2).  ``stats`` = 'apriori' or 'son' also returns the
-    candidates per level (A8) under that convention."""
+    candidates per level (A8) under that convention.  ``prepared`` says ``tx``
+    already comes from ``prepare_transactions`` (``n`` its row count, if known).
+
+    Actions: one write per level and one per occurrence table; every count
+    that steers the loop is observed during those writes."""
     g = list(group_cols)
-    if min_count < 1:
-        raise ValueError("min_count must be >= 1")
-    base = tx.select(*([] if "txn_id" not in tx.columns else ["txn_id"]), *g, _norm_items().alias("items"))
-    if "txn_id" not in base.columns:
-        base = base.withColumn("txn_id", F.monotonically_increasing_id())
-    counts1 = cut_lineage(
-        base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count())
+    if prepared:
+        base = tx
+    else:
+        base, n = prepare_transactions_counted(tx, g)
+    if min_count is None:
+        n = base.count() if n is None else n
+    min_count = resolve_threshold(n if n is not None else 0, min_count, support)
+    counts1, m1 = cut_lineage_observed(
+        base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count()),
+        n_l1=F.count_if(F.col("support_count") >= min_count),
     )
     l1 = counts1.where(F.col("support_count") >= min_count)
+    n1 = int(m1["n_l1"])
     if allowed is not None:
-        l1 = l1.join(allowed.where(F.size("items") == 1).select(F.element_at("items", 1).alias("item")), "item", "left_semi")
-    l1 = cut_lineage(l1.select(*g, F.array("item").alias("items"), "support_count"))
-    per_group = l1.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()
-    n1 = sum(r["n"] for r in per_group)
+        l1, m1 = cut_lineage_observed(
+            l1.join(allowed.where(F.size("items") == 1).select(F.element_at("items", 1).alias("item")), "item", "left_semi"),
+            n_l1=F.count(F.lit(1)),
+        )
+        n1 = int(m1["n_l1"])
+    l1 = l1.select(*g, F.array("item").alias("items"), "support_count")
 
     growth: list[tuple] = []
     if stats == "son":
-        growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in counts1.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()]
+        growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in _per_group(counts1, g)]
     elif stats == "apriori":
         if g:
-            growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in per_group]
+            growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in _per_group(l1, g)]
         else:
             growth.append((1, n1))
 
     levels = [l1.select(*g, F.lit(1).alias("k"), "items", "support_count")]
-    prev, n_prev, alive = l1, n1, per_group
+    prev, n_prev = l1, n1
     occ = None
     k = 2
     while n_prev > 0:
         if stats:
-            rows = _candidate_counts(prev, k, g, alive)
+            rows = _candidate_counts(prev, k, g, _per_group(prev, g) if g else [Row(n=n_prev)])
             growth += [r[:-1] + (k, r[-1]) for r in rows]
             if sum(r[-1] for r in rows) == 0:
                 break
-        if k == 2:
-            occ = cut_lineage(_first_tails(base, prev, g, n_prev))
-        else:
-            nxt = _extend_tails(occ, prev, k - 1, g, n_prev)
-            if nxt is None:
-                break
-            occ = cut_lineage(nxt)
+        nxt = _first_tails(base, prev, g, n_prev) if k == 2 else _extend_tails(occ, prev, k - 1, g, n_prev)
+        occ, mo = cut_lineage_observed(nxt, n=F.count(F.lit(1)))
+        if mo["n"] == 0:
+            break
         counted = (
             occ.select(*g, "items", F.explode("tail").alias("y"))
             .groupBy(*g, F.concat("items", F.array("y")).alias("items"))
@@ -317,37 +350,39 @@ def mine_frequent(
         )
         if allowed is not None:
             counted = counted.join(allowed.where(F.size("items") == k).select("items"), "items", "left_semi")
-        level = cut_lineage(counted)
-        alive = level.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()
-        n_prev = sum(r["n"] for r in alive)
+        level, ml = cut_lineage_observed(counted, n=F.count(F.lit(1)))
+        n_prev = int(ml["n"])
         if n_prev == 0:
             break
         levels.append(level.select(*g, F.lit(k).alias("k"), "items", "support_count"))
         prev = level
         k += 1
 
-    itemsets = reduce(DataFrame.unionByName, levels) if n1 > 0 else _empty_like_items(tx, g)
+    itemsets = reduce(DataFrame.unionByName, levels)
     growth_df = None
     if stats:
         schema = T.StructType(
-            [tx.schema[c] for c in g] + [T.StructField("k", T.IntegerType()), T.StructField("n_candidates", T.LongType())]
+            [base.schema[c] for c in g] + [T.StructField("k", T.IntegerType()), T.StructField("n_candidates", T.LongType())]
         )
-        growth_df = tx.sparkSession.createDataFrame(growth, schema)
+        growth_df = base.sparkSession.createDataFrame(growth, schema)
     return MiningResult(itemsets, growth_df)
 
 
-def apriori(tx: DataFrame, min_count: int) -> DataFrame:
-    """A4: every frequent itemset with its count: (k, items, support_count)."""
-    return mine_frequent(tx, min_count).itemsets
+def apriori(tx: DataFrame, min_count: int | None = None, support: float | None = None) -> DataFrame:
+    """A4: every frequent itemset with its count: (k, items, support_count).
+    Threshold: ``min_count`` or ceil(``support`` * n)."""
+    return mine_frequent(tx, min_count, support=support).itemsets
 
 
-def candidate_growth(tx: DataFrame, min_count: int, convention: str = "apriori", group_cols=()) -> DataFrame:
+def candidate_growth(
+    tx: DataFrame, min_count: int | None = None, convention: str = "apriori", group_cols=(), support: float | None = None
+) -> DataFrame:
     """Candidates per level, (group..., k, n_candidates).
 
     'apriori': k=1 counts the frequent items, k>=2 the joined and pruned
     candidates, with a last row for the level that came out empty.
     'son': k=1 counts the distinct items seen (per group)."""
-    return mine_frequent(tx, min_count, group_cols, stats=convention).candidate_growth
+    return mine_frequent(tx, min_count, group_cols, stats=convention, support=support).candidate_growth
 
 
 # ---------------------------------------------------------------------------
@@ -366,21 +401,24 @@ def with_bucket(tx: DataFrame, num_partitions: int, how: str = "mod", seed: int
     return tx.withColumn("bucket", b.cast("int"))
 
 
-def son_local(tx: DataFrame, local_min: int, bucket_col: str = "bucket", stats: bool = False) -> MiningResult:
+def son_local(
+    tx: DataFrame, local_min: int, bucket_col: str = "bucket", stats: bool = False, prepared: bool = False
+) -> MiningResult:
     """Locally frequent itemsets of every bucket, (bucket, k, items, support_count).
 
     One grouped level loop for all buckets: no per-partition lists in memory,
     the buckets are keys and the work spreads over every task."""
     if local_min <= 1:
         log.warning("local threshold is 1: every subset of every transaction is a candidate; use fewer buckets")
-    return mine_frequent(tx, local_min, [bucket_col], stats="son" if stats else None)
+    return mine_frequent(tx, local_min, [bucket_col], stats="son" if stats else None, prepared=prepared)
 
 
-def son_verify(tx: DataFrame, candidates: DataFrame, min_count: int) -> DataFrame:
+def son_verify(tx: DataFrame, candidates: DataFrame, min_count: int, prepared: bool = False) -> DataFrame:
     """Global count of a downward-closed candidate family, kept if >= min_count.
 
     (The union of per-bucket frequent families is downward closed.)"""
-    return mine_frequent(tx, min_count, allowed=candidates.select("items").distinct()).itemsets
+    cands = cut_lineage(candidates.select("items").distinct())
+    return mine_frequent(tx, min_count, allowed=cands, prepared=prepared).itemsets
 
 
 @dataclass
@@ -406,16 +444,11 @@ def son(
 
     min_count = ceil(support * n), local_min = ceil(min_count / p): every
     globally frequent set is locally frequent in at least one bucket."""
-    n = tx.count()
-    if min_count is None:
-        if support is None:
-            raise ValueError("give support or min_count")
-        min_count = min_count_from_support(support, n)
+    base, n = prepare_transactions_counted(with_bucket(tx, num_partitions, bucket, seed), ["bucket"])
+    min_count = resolve_threshold(n, min_count, support)
     local_min = int(math.ceil(min_count / num_partitions))
-    bucketed = with_bucket(tx, num_partitions, bucket, seed)
-    local = son_local(bucketed, local_min, stats=stats)
-    cands = local.itemsets.select("items").distinct()
-    verified = son_verify(tx, cands, min_count)
+    local = son_local(base, local_min, stats=stats, prepared=True)
+    verified = son_verify(base.drop("bucket"), local.itemsets, min_count, prepared=True)
     return SonRun(verified, local.itemsets, local.candidate_growth, n, min_count, local_min)
 
 

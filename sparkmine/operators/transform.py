@@ -47,7 +47,7 @@ def _draw_from_pool(tx: DataFrame, need: str, pool, n_pool: int, seed, tag: str,
         .withColumn("idx", F.floor(seeded_uniform(seed, F.lit(tag), F.col("txn_id"), F.col("slot")) * n_pool).cast("long"))
     )
     picked = slots.join(maybe_broadcast(pool, n_pool, 64), "idx").groupBy("txn_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("slot", "item"))), lambda st: st["item"]).alias("drawn")
+        F.transform(F.sort_array(F.collect_list(F.struct("slot", "item"))), lambda st: st["item"]).alias("drawn")
     )
     return tx.join(picked, "txn_id", "left").withColumn("drawn", F.coalesce("drawn", empty))
 
@@ -69,7 +69,7 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
         n_pool = pool.count()
         kept_long = tx.select("txn_id", F.explode("items").alias("item")).join(pool.select("item"), "item", "left_semi")
         staged = tx.join(
-            kept_long.groupBy("txn_id").agg(F.array_sort(F.collect_list("item")).alias("_kept")), "txn_id", "left"
+            kept_long.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("_kept")), "txn_id", "left"
         ).withColumn("_kept", F.coalesce("_kept", F.array().cast(tx.schema["items"].dataType)))
     if n_pool == 0:
         return tx.withColumn("items", F.array().cast(tx.schema["items"].dataType))
@@ -77,7 +77,7 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
     drawn = _draw_from_pool(staged, "_need", pool, n_pool, seed, TAG_RESTRICT, item_type)
     items = F.concat("_kept", "drawn")
     if as_set:
-        items = F.array_sort(F.array_distinct(items))
+        items = F.sort_array(F.array_distinct(items))
     return drawn.withColumn("items", items).drop("_kept", "_need", "drawn")
 
 
@@ -96,7 +96,7 @@ def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame
         pool = with_dense_index(distinct, ["item"], "idx").select("idx", "item")
     staged = tx.withColumn("_need", F.greatest(F.lit(target_len) - F.size("items"), F.lit(0)))
     drawn = _draw_from_pool(staged, "_need", pool, n_pool, seed, TAG_PAD, item_type)
-    return drawn.withColumn("items", F.array_sort(F.array_distinct(F.concat("items", "drawn")))).drop("_need", "drawn")
+    return drawn.withColumn("items", F.sort_array(F.array_distinct(F.concat("items", "drawn")))).drop("_need", "drawn")
 
 
 def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",)) -> DataFrame:

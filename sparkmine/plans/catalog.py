@@ -50,6 +50,6 @@ def label_means(pts: DataFrame) -> DataFrame:
         .agg(F.avg(F.col("v").cast("double")).alias("m"))
     )
     return per_pos.groupBy(F.col("label").cast("int").alias("cluster")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("center"),
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("center"),
         F.lit(0).cast("long").alias("n"),
     )

@@ -56,9 +56,10 @@ def _itemset_out(df: DataFrame, *lead) -> DataFrame:
     return df.select(*lead, F.col("k").cast("int").alias("k"), itemset_string("items").alias("items"), F.col("support_count").cast("long").alias("support_count"))
 
 
-def _threshold(tx: DataFrame, support: float) -> tuple[int, int]:
-    n = tx.count()
-    return n, min_count_from_support(support, n)
+def _prepared(tx: DataFrame, support: float, group_cols=()) -> tuple[DataFrame, int, int]:
+    """Transactions written once, their count and ceil(support * n)."""
+    base, n = IS.prepare_transactions_counted(tx, group_cols)
+    return base, n, min_count_from_support(support, n)
 
 
 # ---------------------------------------------------------------- itemsets
@@ -70,8 +71,7 @@ def q_baskets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_item_support(spark: SparkSession, d: str) -> DataFrame:
-    tx = brand_baskets(spark, d)
-    _, mc = _threshold(tx, BRAND_SUPPORT)
+    tx, _, mc = _prepared(brand_baskets(spark, d), BRAND_SUPPORT)
     return IS.item_support(tx, mc).select(F.col("item"), F.col("support_count"))
 
 
@@ -81,21 +81,15 @@ def q_transaction_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_apriori_type(spark: SparkSession, d: str) -> DataFrame:
-    tx = type_baskets(spark, d)
-    _, mc = _threshold(tx, TYPE_SUPPORT)
-    return _itemset_out(IS.apriori(tx, mc))
+    return _itemset_out(IS.apriori(type_baskets(spark, d), support=TYPE_SUPPORT))
 
 
 def q_apriori_brand(spark: SparkSession, d: str) -> DataFrame:
-    tx = brand_baskets(spark, d)
-    _, mc = _threshold(tx, BRAND_SUPPORT)
-    return _itemset_out(IS.apriori(tx, mc))
+    return _itemset_out(IS.apriori(brand_baskets(spark, d), support=BRAND_SUPPORT))
 
 
 def q_candidate_growth(spark: SparkSession, d: str) -> DataFrame:
-    tx = brand_baskets(spark, d)
-    _, mc = _threshold(tx, BRAND_SUPPORT)
-    return IS.candidate_growth(tx, mc, "apriori")
+    return IS.candidate_growth(brand_baskets(spark, d), convention="apriori", support=BRAND_SUPPORT)
 
 
 def q_son_type(spark: SparkSession, d: str) -> DataFrame:
@@ -120,31 +114,27 @@ def q_son_candidate_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def q_count_candidates(spark: SparkSession, d: str) -> DataFrame:
     """J3 over the SON phase-1 candidate family (every count, unfiltered)."""
-    tx = brand_baskets(spark, d)
-    n, mc = _threshold(tx, BRAND_SUPPORT)
+    tx, n, mc = _prepared(IS.with_bucket(brand_baskets(spark, d), SON_BUCKETS), BRAND_SUPPORT, ["bucket"])
     local_min = -(-mc // SON_BUCKETS)
-    local = IS.son_local(IS.with_bucket(tx, SON_BUCKETS), local_min).itemsets
+    local = IS.son_local(tx, local_min, prepared=True).itemsets
     counts = IS.count_candidates(tx, local.select("items"))
     return counts.select(itemset_string("items").alias("items"), "support_count")
 
 
 def q_prune_infrequent(spark: SparkSession, d: str) -> DataFrame:
-    tx = brand_baskets(spark, d)
-    _, mc = _threshold(tx, PRUNE_SUPPORT)
+    tx, _, mc = _prepared(brand_baskets(spark, d), PRUNE_SUPPORT)
     l1 = IS.item_support(tx, mc)
     return IS.prune_infrequent(tx, l1).select("txn_id", itemset_string("items").alias("items"))
 
 
 def q_fp_growth(spark: SparkSession, d: str) -> DataFrame:
-    tx = brand_baskets(spark, d)
-    n, mc = _threshold(tx, BRAND_SUPPORT)
+    tx, n, mc = _prepared(brand_baskets(spark, d), BRAND_SUPPORT)
     return _itemset_out(fpm.fp_growth(tx, mc, n))
 
 
 def q_association_rules(spark: SparkSession, d: str) -> DataFrame:
-    tx = type_baskets(spark, d)
-    n, mc = _threshold(tx, TYPE_SUPPORT)
-    rules = fpm.association_rules(IS.apriori(tx, mc), n, RULE_CONFIDENCE)
+    tx, n, mc = _prepared(type_baskets(spark, d), TYPE_SUPPORT)
+    rules = fpm.association_rules(IS.mine_frequent(tx, mc, prepared=True).itemsets, n, RULE_CONFIDENCE)
     return rules.select(
         itemset_string("antecedent").alias("antecedent"),
         itemset_string("consequent").alias("consequent"),
@@ -156,10 +146,11 @@ def q_association_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_itemset_diff(spark: SparkSession, d: str) -> DataFrame:
-    tx = type_baskets(spark, d)
-    _, mc_a = _threshold(tx, TYPE_SUPPORT)
-    mc_b = min_count_from_support(DIFF_SUPPORT, tx.count())
-    diff = IS.compare_itemsets(IS.apriori(tx, mc_a), IS.apriori(tx, mc_b))
+    tx, n, mc_a = _prepared(type_baskets(spark, d), TYPE_SUPPORT)
+    mc_b = min_count_from_support(DIFF_SUPPORT, n)
+    a = IS.mine_frequent(tx, mc_a, prepared=True).itemsets
+    b = IS.mine_frequent(tx, mc_b, prepared=True).itemsets
+    diff = IS.compare_itemsets(a, b)
     return diff.select(itemset_string("items").alias("items"), "side", "count_a", "count_b")
 
 

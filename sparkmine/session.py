@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Upper bound (bytes, estimated from exact row counts) for hinting a broadcast.
@@ -28,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARKMINE_DRIVER_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
@@ -60,9 +62,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: one job, columnar and compressed, no lineage to the inputs,
+    and it survives executor loss.  (Set SPARKMINE_CUT=checkpoint for
+    Dataset.checkpoint instead.)"""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    if os.environ.get("SPARKMINE_CUT") == "checkpoint":
+        cached = df.persist()
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
+    path = f"{root.rstrip('/')}/sparkmine-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also returns global aggregates computed while the
+    table is written (DataFrame.observe), so counts cost no extra job."""
+    obs = Observation(f"sparkmine_{uuid.uuid4().hex}")
+    exprs = [c.alias(name) for name, c in metrics.items()]
+    out = cut_lineage(df.observe(obs, *exprs))
+    got = obs.get
+    return out, {k: (got.get(k) if got.get(k) is not None else 0) for k in metrics}
 
 
 def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:

@@ -14,5 +14,5 @@ def baskets(df: DataFrame, txn_col: str, item_col: str) -> DataFrame:
     return (
         df.where(F.col(txn_col).isNotNull() & F.col(item_col).isNotNull())
         .groupBy(F.col(txn_col).alias("txn_id"))
-        .agg(F.array_sort(F.collect_set(item_col)).alias("items"))
+        .agg(F.sort_array(F.collect_set(item_col)).alias("items"))
     )

@@ -35,7 +35,7 @@ def read_transactions(spark: SparkSession, path: str, item_type: str = "int") ->
     A blank line is an empty transaction (it still counts in n); a token that
     is not a number raises (ANSI cast)."""
     lines = read_lines(spark, path)
-    items = F.array_sort(F.array_distinct(_tokens().cast(f"array<{item_type}>")))
+    items = F.sort_array(F.array_distinct(_tokens().cast(f"array<{item_type}>")))
     return lines.select(F.col("line_no").alias("txn_id"), items.alias("items"))
 
 
