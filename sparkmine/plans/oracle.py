@@ -22,6 +22,7 @@ from sparkmine.plans.queries import (
     RULE_CONFIDENCE,
     SAMPLE_B,
     SMOOTH_SIGMA,
+    SWEEP,
 )
 from sparkmine.operators.series import gaussian_kernel
 
@@ -218,6 +219,29 @@ SELECT array_to_string(coalesce(fa.items, fb.items), ',') AS items,
        CASE WHEN fa.items IS NULL THEN 'right_only' WHEN fb.items IS NULL THEN 'left_only' ELSE 'both' END AS side,
        fa.support_count AS count_a, fb.support_count AS count_b
 FROM fa FULL OUTER JOIN fb ON fa.items = fb.items"""
+    blocks = []
+    for run_id, (sup, p, frac) in enumerate(SWEEP):
+        src, cnt = ("bh", "cnt_half") if frac is not None else ("b", "cnt_all")
+        mc = f"CAST(ceil(CAST({sup!r} AS DOUBLE) * (SELECT count(*) FROM {src})) AS BIGINT)"
+        blocks.append(
+            f"""SELECT {run_id} AS run_id, 'brand' AS dataset, (SELECT count(*) FROM {src}) AS n,
+  (SELECT avg(len(items)) FROM {src}) AS avg_len,
+  (SELECT count(DISTINCT item) FROM (SELECT unnest(items) AS item FROM {src})) AS distinct_items,
+  {sup!r}::DOUBLE AS support, {p} AS num_partitions,
+  CAST(ceil(CAST({mc} AS DOUBLE) / {p}) AS BIGINT) AS local_min,
+  (SELECT count(*) FROM {cnt} WHERE c >= {mc}) AS n_itemsets"""
+        )
+    half = [f for _, _, f in SWEEP if f is not None][0]
+    q["son_sweep"] = f"""WITH RECURSIVE b AS ({_baskets('p_brand')}),
+bh AS (SELECT txn_id, items FROM (SELECT txn_id, items, row_number() OVER (ORDER BY txn_id) - 1 AS idx FROM b)
+       WHERE idx < (SELECT CAST(floor(count(*) * CAST({half!r} AS DOUBLE)) AS BIGINT) FROM b)),
+{_SUBSETS},
+cnt_all AS (SELECT iset, count(*) AS c FROM sub GROUP BY iset),
+cnt_half AS (SELECT iset, count(*) AS c FROM sub WHERE txn_id IN (SELECT txn_id FROM bh) GROUP BY iset),
+runs AS ({' UNION ALL '.join(blocks)})
+SELECT CAST(run_id AS INTEGER) AS run_id, dataset, CAST(n AS BIGINT) AS n, round(avg_len, 6) AS avg_len,
+  CAST(distinct_items AS BIGINT) AS distinct_items, round(avg_len / distinct_items, 6) AS density, support,
+  CAST(num_partitions AS INTEGER) AS num_partitions, local_min, CAST(n_itemsets AS BIGINT) AS n_itemsets FROM runs"""
     # ---- modifiers
     q["restrict_items"] = f"""WITH b AS ({_baskets('p_type')}),
 ic AS (SELECT item, count(*) AS n FROM (SELECT unnest(items) AS item FROM b) GROUP BY item),

@@ -29,6 +29,7 @@ from sparkmine.plans.catalog import (
     table,
     type_baskets,
 )
+from sparkmine.plans.experiments import SweepRow, run_sweep
 from sparkmine.sources.index import with_dense_index
 
 # Parameters of the registered queries.
@@ -46,6 +47,11 @@ NOISE_SIGMA = 0.05
 NOISE_LO, NOISE_HI = -1.0, 1.0
 HIST_BINS, HIST_LO, HIST_HI = 50, 0.0, 500.0
 SMOOTH_SIGMA = 2.0
+SWEEP = [(0.01, 4, None), (0.005, 4, None), (0.005, 4, 0.5)]  # (support, buckets, fraction)
+
+
+def sweep_grid() -> list:
+    return [SweepRow(sup, p, fraction=f, dataset="brand") for sup, p, f in SWEEP]
 
 
 def _r(c, places: int = 6):
@@ -154,6 +160,16 @@ def q_itemset_diff(spark: SparkSession, d: str) -> DataFrame:
     return diff.select(itemset_string("items").alias("items"), "side", "count_a", "count_b")
 
 
+def q_son_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """K1/K2: a small SON sweep (support, and size via F6) over brand baskets;
+    the wall-clock column is left out of the registered output."""
+    runs, _ = run_sweep(brand_baskets(spark, d), sweep_grid(), SEED)
+    return runs.select(
+        "run_id", "dataset", "n", _r("avg_len").alias("avg_len"), "distinct_items", _r("density").alias("density"),
+        "support", "num_partitions", "local_min", "n_itemsets",
+    )
+
+
 # ---------------------------------------------------------------- modifiers
 
 
@@ -293,6 +309,7 @@ QUERIES = {
     "son_brand": q_son_brand,
     "son_local": q_son_local,
     "son_candidate_stats": q_son_candidate_stats,
+    "son_sweep": q_son_sweep,
     "count_candidates": q_count_candidates,
     "prune_infrequent": q_prune_infrequent,
     "fp_growth": q_fp_growth,
