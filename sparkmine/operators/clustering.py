@@ -165,12 +165,18 @@ def kmeanspp(
     power: float = 1.0,
     id_col: str = "point_id",
     features_col: str = "features",
-    checkpoint_every: int = 1,
+    cut_every: int = 10,
 ) -> tuple[DataFrame, list]:
     """Weighted seeding.  The first centre is uniform; each next one is
     drawn with probability proportional to (distance to the nearest chosen
     centre) ** power via an exponential race (smallest -ln(u)/w wins, ties by
-    id); chosen points have weight 0.  Returns (centres frame, chosen ids)."""
+    id); chosen points have weight 0.  Returns (centres frame, chosen ids).
+
+    Each step is one job: it extends the cached per-point minimum distance by
+    the newest centre and takes the race winner (TakeOrdered 1).  The state's
+    lineage is cut (written table) every ``cut_every`` steps, so a lost
+    executor replays at most that many steps, and the data is not rewritten
+    on every step."""
     spark = points.sparkSession
     state = cut_lineage(points.select(id_col, features_col))
     n = state.count()
@@ -180,17 +186,26 @@ def kmeanspp(
     chosen_ids = [first[id_col]]
     chosen = [np.asarray(first[features_col], dtype=np.float64)]
     state = state.withColumn("_min_dist", F.lit(None).cast("double"))
+    cached = None
     for step in range(1, k):
         last = F.lit([float(v) for v in chosen[-1]]).cast("array<double>")
         d = euclidean_distance(features_col, last)
-        state = state.withColumn("_min_dist", F.least(F.coalesce("_min_dist", d), d))
-        if step % checkpoint_every == 0:
-            state = cut_lineage(state)
+        nxt = state.withColumn("_min_dist", F.least(F.coalesce("_min_dist", d), d))
+        if step % cut_every == 0:
+            nxt = cut_lineage(nxt)
+        else:
+            nxt = nxt.persist()
         weight = F.pow(F.col("_min_dist"), F.lit(float(power))) if power != 1.0 else F.col("_min_dist")
         key = race_key(seed, weight, F.lit(TAG_SEED), F.lit(step), F.col(id_col))
-        pick = state.orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
+        pick = nxt.orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
+        if cached is not None:
+            cached.unpersist()
+        cached = nxt if step % cut_every else None
+        state = nxt
         chosen_ids.append(pick[id_col])
         chosen.append(np.asarray(pick[features_col], dtype=np.float64))
+    if cached is not None:
+        cached.unpersist()
     return centers_frame(spark, np.vstack(chosen)), chosen_ids
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmine.functions.columns import drop_one_subsets, min_count_from_support, seeded_uniform
-from sparkmine.session import LITERAL_LIMIT, cut_lineage, cut_lineage_observed, maybe_broadcast
+from sparkmine.session import LITERAL_LIMIT, cut_lineage, cut_lineage_observed, maybe_broadcast, persist_observed
 
 log = logging.getLogger(__name__)
 
@@ -190,11 +190,33 @@ class MiningResult:
     candidate_growth: DataFrame | None  # (group..., k, n_candidates)
 
 
-def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int) -> DataFrame:
-    """Level-1 occurrence rows: (group..., items=[x], tail = frequent items of t after x)."""
+def _item_dictionary(l1: DataFrame, n_l1: int, item_type) -> list | None:
+    """Frequent single items in ascending order, used to encode non-integral
+    items as ints (the rank keeps the sort order); None when the items are
+    integral already or there are too many to ship as a literal."""
+    if isinstance(item_type.elementType, T.IntegralType) or n_l1 == 0 or n_l1 > LITERAL_LIMIT:
+        return None
+    return [r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).distinct().orderBy("item").collect()]
+
+
+def _encode(arr, dictionary: list, item_type):
+    lit = F.lit(dictionary).cast(item_type)
+    return F.transform(arr, lambda x: (F.array_position(lit, x) - 1).cast("int"))
+
+
+def _decode(arr, dictionary: list, item_type):
+    lit = F.lit(dictionary).cast(item_type)
+    return F.transform(arr, lambda i: F.element_at(lit, i + 1))
+
+
+def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int, dictionary: list | None) -> DataFrame:
+    """Level-1 occurrence rows: (group..., items=[x], tail = frequent items of t
+    after x), with items as dictionary ids when a dictionary is given."""
     item_type = base.schema["items"].dataType
     if not g and n_l1 <= LITERAL_LIMIT:
-        keep = sorted(r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).collect())
+        keep = dictionary if dictionary is not None else sorted(
+            r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).collect()
+        )
         pruned = base.select(F.array_intersect("items", F.lit(keep).cast(item_type)).alias("r"))
     elif g:
         ext = l1.groupBy(*g).agg(F.sort_array(F.collect_list(F.element_at("items", 1))).alias("ext"))
@@ -202,7 +224,9 @@ def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int) -> DataFram
     else:
         long = base.select("txn_id", F.explode("items").alias("item"))
         kept = long.join(l1.select(F.element_at("items", 1).alias("item")), ["item"], "left_semi")
-        pruned = kept.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("r")).select("r")
+        pruned = kept.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("r")).select(*g, "r")
+    if dictionary is not None:
+        pruned = pruned.select(*g, _encode(F.col("r"), dictionary, item_type).alias("r"))
     return (
         pruned.where(F.size("r") > 1)
         .select(*g, "r", F.posexplode("r").alias("pos", "x"))
@@ -329,6 +353,14 @@ def mine_frequent(
             growth.append((1, n1))
 
     levels = [l1.select(*g, F.lit(1).alias("k"), "items", "support_count")]
+    item_type = base.schema["items"].dataType
+    # levels >= 2 run on int ids when the items are not integral (smaller rows,
+    # cheaper hashing); decoded once at the end
+    dictionary = _item_dictionary(l1, n1, item_type)
+    if dictionary is not None and allowed is not None:
+        enc = _encode(F.col("items"), dictionary, item_type)
+        allowed = allowed.select(enc.alias("items")).where(~F.exists("items", lambda i: i < 0))
+    encoded_levels = []
     prev, n_prev = l1, n1
     occ = None
     k = 2
@@ -338,7 +370,7 @@ def mine_frequent(
             growth += [r[:-1] + (k, r[-1]) for r in rows]
             if sum(r[-1] for r in rows) == 0:
                 break
-        nxt = _first_tails(base, prev, g, n_prev) if k == 2 else _extend_tails(occ, prev, k - 1, g, n_prev)
+        nxt = _first_tails(base, prev, g, n_prev, dictionary) if k == 2 else _extend_tails(occ, prev, k - 1, g, n_prev)
         occ, mo = cut_lineage_observed(nxt, n=F.count(F.lit(1)))
         if mo["n"] == 0:
             break
@@ -350,14 +382,20 @@ def mine_frequent(
         )
         if allowed is not None:
             counted = counted.join(allowed.where(F.size("items") == k).select("items"), "items", "left_semi")
-        level, ml = cut_lineage_observed(counted, n=F.count(F.lit(1)))
+        # small (bounded by the candidates) and one aggregation away from the
+        # written occurrence table: cached, not written
+        level, ml = persist_observed(counted, n=F.count(F.lit(1)))
         n_prev = int(ml["n"])
         if n_prev == 0:
             break
-        levels.append(level.select(*g, F.lit(k).alias("k"), "items", "support_count"))
+        encoded_levels.append(level.select(*g, F.lit(k).alias("k"), "items", "support_count"))
         prev = level
         k += 1
 
+    for lv in encoded_levels:
+        if dictionary is not None:
+            lv = lv.withColumn("items", _decode(F.col("items"), dictionary, item_type))
+        levels.append(lv)
     itemsets = reduce(DataFrame.unionByName, levels)
     growth_df = None
     if stats:

@@ -32,6 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    for kv in filter(None, os.environ.get("SPARKMINE_CONF", "").split(",")):
+        key, _, value = kv.partition("=")
+        builder = builder.config(key.strip(), value.strip())
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -88,6 +91,18 @@ def cut_lineage_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, d
     return out, {k: (got.get(k) if got.get(k) is not None else 0) for k in metrics}
 
 
+def persist_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Cache a small table whose lineage starts at a written table (one
+    aggregation away), computing ``metrics`` in the same job.  A lost cached
+    partition is recomputed from that written table, never from the loop."""
+    obs = Observation(f"sparkmine_{uuid.uuid4().hex}")
+    exprs = [c.alias(name) for name, c in metrics.items()]
+    out = df.observe(obs, *exprs).persist()
+    out.write.format("noop").mode("overwrite").save()
+    got = obs.get
+    return out, {k: (got.get(k) if got.get(k) is not None else 0) for k in metrics}
+
+
 def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only when the exact row count times a per-row size bound
     fits under ``BROADCAST_LIMIT_BYTES``; otherwise let the planner/AQE choose."""
