@@ -1,4 +1,7 @@
 from sparkmine.functions.columns import (  # noqa: F401
+    bitstring_phase,
+    bitstring_value,
+    is_subset,
     drop_one_subsets,
     euclidean_distance,
     itemset_string,

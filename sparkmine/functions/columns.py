@@ -71,3 +71,18 @@ def itemset_string(items) -> Column:
 def min_count_from_support(support: float, n: int) -> int:
     """Absolute threshold ceil(support * n) in double arithmetic."""
     return int(math.ceil(float(support) * n))
+
+
+def is_subset(candidate, transaction) -> Column:
+    """True when every item of ``candidate`` is in ``transaction``."""
+    return F.size(F.array_except(_col(candidate), _col(transaction))) == 0
+
+
+def bitstring_value(bits) -> Column:
+    """Integer value of a '0'/'1' string (most significant bit first)."""
+    return F.conv(_col(bits), 2, 10).cast("long")
+
+
+def bitstring_phase(bits, n_bits: int) -> Column:
+    """Measured phase value / 2^n_bits of a counting-register bit string."""
+    return bitstring_value(bits) / F.lit(float(2**n_bits))

@@ -131,3 +131,14 @@ def test_explode_matrix(spark):
     df = spark.createDataFrame([(0, [3.0, 1.0]), (1, [2.0])], "g long, e array<double>")
     rows = sorted(tuple(r) for r in TR.explode_matrix(df, "e", ["g"]).collect())
     assert rows == [(0, 0, 3.0), (0, 1, 1.0), (1, 0, 2.0)]
+
+
+def test_scalar_helpers(spark):
+    from sparkmine.functions import bitstring_phase, bitstring_value, euclidean_distance, is_subset
+
+    df = spark.createDataFrame([("0110", [1, 3], [1, 2, 3], [0.0, 0.0], [3.0, 4.0])], "b string, c array<int>, t array<int>, x array<double>, y array<double>")
+    r = df.select(
+        bitstring_value("b").alias("v"), bitstring_phase("b", 4).alias("p"), is_subset("c", "t").alias("s"),
+        is_subset("t", "c").alias("s2"), euclidean_distance("x", "y").alias("d"),
+    ).first()
+    assert (r["v"], r["p"], r["s"], r["s2"], r["d"]) == (6, 0.375, True, False, 5.0)
