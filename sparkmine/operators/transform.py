@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.columns import TWO_POW_52, seeded_hash, seeded_uniform
 from sparkmine.session import LITERAL_LIMIT, maybe_broadcast
-from sparkmine.sources.index import with_dense_index
+from sparkmine.sources.index import with_dense_index, with_group_rank_counted
 
 # Tags separating the random streams of the modifiers.
 TAG_RESTRICT = "restrict"
@@ -101,9 +101,8 @@ def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame
 
 def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",)) -> DataFrame:
     """the first int(n * fraction) rows in ``order_cols`` order."""
-    n = tx.count()
+    indexed, n = with_group_rank_counted(tx, list(order_cols), (), "_idx")
     keep = int(n * fraction)
-    indexed = with_dense_index(tx, list(order_cols), "_idx")
     return indexed.where(F.col("_idx") < keep).drop("_idx")
 
 

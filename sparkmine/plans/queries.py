@@ -174,12 +174,13 @@ def q_son_sweep(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_restrict_items(spark: SparkSession, d: str) -> DataFrame:
-    out = TR.restrict_items(type_baskets(spark, d), RESTRICT_ITEMS, SEED)
+    # two passes (item counts, then the rewrite): read baskets written once
+    out = TR.restrict_items(IS.prepare_transactions(type_baskets(spark, d)), RESTRICT_ITEMS, SEED)
     return out.select("txn_id", itemset_string("items").alias("items"))
 
 
 def q_pad_transactions(spark: SparkSession, d: str) -> DataFrame:
-    out = TR.pad_transactions(type_baskets(spark, d), PAD_TARGET, SEED)
+    out = TR.pad_transactions(IS.prepare_transactions(type_baskets(spark, d)), PAD_TARGET, SEED)
     return out.select("txn_id", itemset_string("items").alias("items"))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.session import cut_lineage, maybe_broadcast
+from sparkmine.session import cut_lineage_observed, maybe_broadcast
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
@@ -27,6 +27,18 @@ def with_group_rank(
     """Add ``rank_col`` = 0-based position of each row within its group in
     ``order_cols`` order. ``order_cols`` must form a total order (end with a
     unique key) for the result to be repeatable."""
+    return with_group_rank_counted(df, order_cols, group_cols, rank_col, num_partitions)[0]
+
+
+def with_group_rank_counted(
+    df: DataFrame,
+    order_cols: list,
+    group_cols: list | tuple = (),
+    rank_col: str = "idx",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``with_group_rank`` plus the total row count (observed while the
+    tagged rows are written, no extra pass)."""
     spark = df.sparkSession
     group_cols = list(group_cols)
     keys = group_cols + list(order_cols)
@@ -37,7 +49,7 @@ def with_group_rank(
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     # Partition ids and positions must not change between the two passes below.
-    tagged = cut_lineage(tagged)
+    tagged, m = cut_lineage_observed(tagged, n=F.count(F.lit(1)))
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     )
@@ -51,9 +63,10 @@ def with_group_rank(
     ).select("_pid", *group_cols, "_offset", "_first")
     n_blocks = blocks.count()
     joined = tagged.join(maybe_broadcast(blocks, n_blocks, 64 + 32 * len(group_cols)), ["_pid", *group_cols])
-    return joined.withColumn(rank_col, (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("long")).drop(
+    out = joined.withColumn(rank_col, (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("long")).drop(
         "_mid", "_pid", "_pos", "_offset", "_first"
     )
+    return out, int(m["n"])
 
 
 def with_dense_index(df: DataFrame, order_cols: list, index_col: str = "idx") -> DataFrame:
