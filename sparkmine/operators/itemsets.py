@@ -40,6 +40,9 @@ from sparkmine.session import LITERAL_LIMIT, cut_lineage, cut_lineage_observed,
 
 log = logging.getLogger(__name__)
 
+# Occurrence tables are cached; every CUT_EVERY-th level is written instead,
+# so a lost executor replays at most that many map-side steps from a table.
+CUT_EVERY = 4
 # Rough per-row size bounds used for size-checked broadcasts.
 _ITEM_BYTES = 24
 _ROW_OVERHEAD = 48
@@ -371,7 +374,11 @@ def mine_frequent(
             if sum(r[-1] for r in rows) == 0:
                 break
         nxt = _first_tails(base, prev, g, n_prev, dictionary) if k == 2 else _extend_tails(occ, prev, k - 1, g, n_prev)
-        occ, mo = cut_lineage_observed(nxt, n=F.count(F.lit(1)))
+        keep = cut_lineage_observed if (k - 1) % CUT_EVERY == 0 else persist_observed
+        new_occ, mo = keep(nxt, n=F.count(F.lit(1)))
+        if occ is not None and occ.is_cached:
+            occ.unpersist()
+        occ = new_occ
         if mo["n"] == 0:
             break
         counted = (
@@ -392,6 +399,8 @@ def mine_frequent(
         prev = level
         k += 1
 
+    if occ is not None and occ.is_cached:
+        occ.unpersist()
     for lv in encoded_levels:
         if dictionary is not None:
             lv = lv.withColumn("items", _decode(F.col("items"), dictionary, item_type))
