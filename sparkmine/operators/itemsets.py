@@ -290,10 +290,12 @@ def prepare_transactions_counted(tx: DataFrame, group_cols=()) -> tuple[DataFram
 
 
 def resolve_threshold(n: int, min_count: int | None, support: float | None) -> int:
+    """Absolute threshold; from ``support`` it is ceil(support * n), at least 1
+    (a count >= 0 and a count >= 1 keep the same, occurring, itemsets)."""
     if min_count is None:
         if support is None:
             raise ValueError("give min_count or support")
-        min_count = min_count_from_support(support, n)
+        min_count = max(1, min_count_from_support(support, n))
     if min_count < 1:
         raise ValueError("min_count must be >= 1")
     return int(min_count)

@@ -167,3 +167,13 @@ def test_string_items_and_itemset_support(spark):
     assert got == {("a",): 2, ("b",): 2, ("a", "b"): 2}
     occ = IS.explode_items(tx).select(F.array("item").alias("items"))
     assert {tuple(r["items"]): r["support_count"] for r in IS.itemset_support(occ, 2).collect()}[("a",)] == 3
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], "txn_id long, items array<int>")
+    assert IS.apriori(empty, support=0.1).count() == 0
+    run = IS.son(empty, 3, support=0.1)
+    assert (run.n, run.itemsets.count()) == (0, 0)
+    blanks = spark.createDataFrame([(0, []), (1, [])], "txn_id long, items array<int>")
+    assert IS.apriori(blanks, 1).count() == 0
+    assert IS.transaction_profile(blanks).first()["n"] == 2
