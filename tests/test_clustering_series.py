@@ -123,6 +123,7 @@ def test_histogram_matches_numpy(spark):
     assert [r["n"] for r in rows] == list(counts)
     assert np.allclose([r["density"] for r in rows], dens, rtol=1e-12)
     assert np.allclose([r["center"] for r in rows], (edges[:-1] + edges[1:]) / 2)
+    assert sum(r["density"] * (6.0 / 37) for r in rows) == pytest.approx(1.0)
 
 
 def test_gaussian_smooth(spark):

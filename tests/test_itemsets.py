@@ -43,7 +43,7 @@ def test_min_count_above_n_gives_nothing(tiny):
     assert sorted(tuple(r) for r in IS.candidate_growth(tiny, 10).collect()) == [(1, 0)]
 
 
-@pytest.mark.parametrize("p,how", [(1, "mod"), (2, "mod"), (4, "hash")])
+@pytest.mark.parametrize("p,how", [(1, "mod"), (2, "mod"), (4, "hash"), (15, "mod")])
 def test_son_equals_apriori(tiny, p, how):
     run = IS.son(tiny, p, support=2 / 9, bucket=how, seed=7)
     assert run.min_count == 2
