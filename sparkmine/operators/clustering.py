@@ -125,13 +125,13 @@ def _vector_sums(assigned: DataFrame, features_col: str) -> DataFrame:
     per_pos = (
         assigned.select("cluster", F.posexplode(features_col).alias("pos", "v"))
         .groupBy("cluster", "pos")
-        .agg(F.sum(F.col("v").cast("double")).alias("s"))
+        .agg(F.sum(F.col("v").cast("double")).alias("s"), F.count(F.lit(1)).alias("m"))
     )
-    vec = per_pos.groupBy("cluster").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "s"))), lambda st: st["s"]).alias("total")
+    # one pass over the points: every point contributes once to each position
+    return per_pos.groupBy("cluster").agg(
+        F.max("m").alias("m"),
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "s"))), lambda st: st["s"]).alias("total"),
     )
-    m = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
-    return m.join(vec, "cluster")
 
 
 def update_centers(assigned: DataFrame, centers: DataFrame, features_col: str = "features") -> DataFrame:
@@ -152,13 +152,19 @@ def update_centers(assigned: DataFrame, centers: DataFrame, features_col: str =
 
 
 def sample_exact(df: DataFrame, b: int, seed: int, iteration: int, id_col: str = "point_id", n: int | None = None) -> DataFrame:
-    """B distinct rows, uniform: the b smallest seeded hashes (ties by id).
-    Sampling is the feature here, so the limit is the operator."""
+    """B distinct rows, uniform: the rows with the b smallest (seeded
+    hash, id) keys.  The b-th key is a scalar subquery (TakeOrdered: top b
+    per partition, then merged), and the sample is a filter on the scan, so the
+    rows themselves are never sorted or moved.  Sampling is the feature here,
+    so the limit is the operator."""
     n = df.count() if n is None else n
     if b > n:
         raise ValueError(f"batch size {b} exceeds the {n} rows")
-    key = seeded_hash(seed, F.lit(TAG_SAMPLE), F.lit(iteration), F.col(id_col))
-    return df.withColumn("_h", key).orderBy("_h", id_col).limit(b).drop("_h")
+    key = F.struct(
+        seeded_hash(seed, F.lit(TAG_SAMPLE), F.lit(iteration), F.col(id_col)).alias("h"), F.col(id_col).alias("id")
+    )
+    cutoff = df.select(key.alias("_k")).orderBy("_k").limit(b).agg(F.max("_k")).scalar()
+    return df.where(key <= cutoff)
 
 
 def kmeanspp(
@@ -240,11 +246,23 @@ def minibatch_kmeans(
     for it in range(max_iter):
         batch = sample_exact(pts.select(id_col, features_col), batch_size, seed, it, id_col, n=n)
         assigned = assign_nearest(batch, (ids, mat.copy()), features_col, method)
-        for r in _vector_sums(assigned, features_col).collect():
+        # the per-(cluster, position) sums are the model's own size (k x d):
+        # one aggregation, assembled on the driver where the model lives
+        per_pos = (
+            assigned.select("cluster", F.posexplode(features_col).alias("pos", "v"))
+            .groupBy("cluster", "pos")
+            .agg(F.sum(F.col("v").cast("double")).alias("s"), F.count(F.lit(1)).alias("m"))
+            .collect()
+        )
+        totals = np.zeros_like(mat)
+        hits = np.zeros(len(mat), dtype=np.int64)
+        for r in per_pos:
             j = slot[int(r["cluster"])]
-            m = int(r["m"])
-            mat[j] = (counts[j] * mat[j] + np.asarray(r["total"], dtype=np.float64)) / (counts[j] + m)
-            counts[j] += m
+            totals[j, r["pos"]] = r["s"]
+            hits[j] = r["m"]
+        for j in np.nonzero(hits)[0]:
+            mat[j] = (counts[j] * mat[j] + totals[j]) / (counts[j] + hits[j])
+            counts[j] += hits[j]
     centers = _as_frame(spark, ids, mat, counts)
     return centers, assign_nearest(points, centers, features_col, method)
 
