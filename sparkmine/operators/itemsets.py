@@ -514,36 +514,44 @@ def count_candidates(tx: DataFrame, candidates: DataFrame) -> DataFrame:
     J + [y] is a prefix of some candidate.  Work is the number of
     (transaction, candidate prefix) containments, with one equi-join per level
     against the prefix table (size-checked broadcast, else shuffle)."""
-    cands = candidates.select(_norm_items().alias("items")).where(F.size("items") > 0).distinct()
-    cands = cut_lineage(cands)
-    max_k = cands.agg(F.max(F.size("items"))).first()[0] or 0
+    cands = cut_lineage(candidates.select(_norm_items().alias("items")).where(F.size("items") > 0).distinct())
     prefixes = cut_lineage(
         cands.select(F.explode(F.sequence(F.lit(1), F.size("items"))).alias("j"), "items")
         .select(F.col("j").cast("int").alias("j"), F.slice("items", 1, F.col("j")).alias("items"))
         .distinct()
     )
+    per_level = {r["j"]: r["n"] for r in prefixes.groupBy("j").agg(F.count(F.lit(1)).alias("n")).collect()}
+    max_k = max(per_level, default=0)
     base = tx.select(_norm_items().alias("items"))
-    occ = (
+    first = prefixes.where(F.col("j") == 1).select("items")
+    occ, m = persist_observed(
         base.select("items", F.posexplode("items").alias("pos", "x"))
         .select(F.array("x").alias("items"), F.slice("items", F.col("pos") + 2, F.size("items")).alias("tail"))
-        .join(prefixes.where(F.col("j") == 1).select("items"), "items", "left_semi")
+        .join(maybe_broadcast(first, per_level.get(1, 0), _ROW_OVERHEAD + _ITEM_BYTES), "items", "left_semi"),
+        n=F.count(F.lit(1)),
     )
-    occ = cut_lineage(occ)
-    counts = [occ.groupBy("items").agg(_count())]
+    counts = [persist_observed(occ.groupBy("items").agg(_count()))[0]]  # small: one row per prefix
     for k in range(2, max_k + 1):
+        if m["n"] == 0:
+            break
         ext = (
             prefixes.where(F.col("j") == k)
             .groupBy(F.slice("items", 1, k - 1).alias("items"))
             .agg(F.collect_list(F.element_at("items", -1)).alias("ext"))
         )
-        n_ext = ext.count()
-        occ = (
-            occ.join(maybe_broadcast(ext, n_ext, _ROW_OVERHEAD + 2 * _ITEM_BYTES * k), "items")
+        nxt = (
+            occ.join(maybe_broadcast(ext, per_level.get(k, 0), _ROW_OVERHEAD + _ITEM_BYTES * (k + 1)), "items")
             .select("items", "tail", F.explode(F.array_intersect("tail", "ext")).alias("x"))
             .select(F.concat("items", F.array("x")).alias("items"), F.filter("tail", lambda y: y > F.col("x")).alias("tail"))
         )
-        occ = cut_lineage(occ)
-        counts.append(occ.groupBy("items").agg(_count()))
+        keep = cut_lineage_observed if k % CUT_EVERY == 0 else persist_observed
+        prev_occ = occ
+        occ, m = keep(nxt, n=F.count(F.lit(1)))
+        if prev_occ.is_cached:
+            prev_occ.unpersist()
+        counts.append(persist_observed(occ.groupBy("items").agg(_count()))[0])
+    if occ.is_cached:
+        occ.unpersist()
     all_counts = reduce(DataFrame.unionByName, counts)
     return (
         cands.join(all_counts, "items", "left")
