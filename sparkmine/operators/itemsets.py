@@ -530,7 +530,7 @@ def count_candidates(tx: DataFrame, candidates: DataFrame) -> DataFrame:
         .join(maybe_broadcast(first, per_level.get(1, 0), _ROW_OVERHEAD + _ITEM_BYTES), "items", "left_semi"),
         n=F.count(F.lit(1)),
     )
-    counts = [persist_observed(occ.groupBy("items").agg(_count()))[0]]  # small: one row per prefix
+    counts = [persist_observed(occ.groupBy("items").agg(_count()), n=F.count(F.lit(1)))[0]]  # small: one row per prefix
     for k in range(2, max_k + 1):
         if m["n"] == 0:
             break
@@ -549,7 +549,7 @@ def count_candidates(tx: DataFrame, candidates: DataFrame) -> DataFrame:
         occ, m = keep(nxt, n=F.count(F.lit(1)))
         if prev_occ.is_cached:
             prev_occ.unpersist()
-        counts.append(persist_observed(occ.groupBy("items").agg(_count()))[0])
+        counts.append(persist_observed(occ.groupBy("items").agg(_count()), n=F.count(F.lit(1)))[0])
     if occ.is_cached:
         occ.unpersist()
     all_counts = reduce(DataFrame.unionByName, counts)
