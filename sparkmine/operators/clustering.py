@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,13 +160,45 @@ def sample_exact(df: DataFrame, b: int, seed: int, iteration: int, id_col: str =
     n = df.count() if n is None else n
     if b > n:
         raise ValueError(f"batch size {b} exceeds the {n} rows")
-    key = F.struct(
-        seeded_hash(seed, F.lit(TAG_SAMPLE), F.lit(iteration), F.col(id_col)).alias("h"), F.col(id_col).alias("id")
-    )
+    key = _sample_key(seed, F.lit(iteration), id_col)
     cutoff = df.select(key.alias("_k")).orderBy("_k").limit(b).agg(F.max("_k")).scalar()
     return df.where(key <= cutoff)
 
 
+def _sample_key(seed: int, iteration, id_col: str):
+    return F.struct(
+        seeded_hash(seed, F.lit(TAG_SAMPLE), iteration, F.col(id_col)).alias("h"), F.col(id_col).alias("id")
+    )
+
+
+def batch_cutoffs(df: DataFrame, b: int, seed: int, iterations: int, id_col: str, n: int) -> dict:
+    """The b-th smallest (hash, id) key of every round in one job (A18 for all
+    rounds at once; the samples do not depend on the centres).
+
+    Keys below twice the expected b-th hash are kept (about 2b per round, a
+    bound set by the parameters), ranked within their round, and the b-th is
+    taken.  If fewer than b keys of a round pass, that round is redone
+    exactly with ``sample_exact``'s TakeOrdered cutoff."""
+    limit = min(float(2**52), (2.0 * b / max(n, 1)) * 2**52 + 2**32)
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("it")
+    keyed = df.select(F.col(id_col), rounds).select("it", _sample_key(seed, F.col("it"), id_col).alias("k"))
+    near = keyed.where(F.col("k.h") < F.lit(limit))
+    w = Window.partitionBy("it").orderBy("k")
+    got = (
+        near.withColumn("r", F.row_number().over(w))
+        .where(F.col("r") <= b)
+        .groupBy("it")
+        .agg(F.max("k").alias("cut"), F.count(F.lit(1)).alias("c"))
+        .collect()
+    )
+    cut = {r["it"]: (r["cut"]["h"], r["cut"]["id"]) for r in got if r["c"] == b}
+    for it in range(iterations):
+        if it not in cut:
+            row = df.select(_sample_key(seed, F.lit(it), id_col).alias("k")).orderBy("k").limit(b).agg(F.max("k")).first()[0]
+            cut[it] = (row["h"], row["id"])
+    return cut
+
+
 def kmeanspp(
     points: DataFrame,
     k: int,
@@ -243,8 +275,13 @@ def minibatch_kmeans(
     mat = np.array([r["center"] for r in rows], dtype=np.float64)
     counts = np.array([r["n"] for r in rows], dtype=np.int64)
     slot = {int(c): i for i, c in enumerate(ids)}
+    if batch_size > n:
+        raise ValueError(f"batch size {batch_size} exceeds the {n} rows")
+    cutoffs = batch_cutoffs(pts, batch_size, seed, max_iter, id_col, n)
     for it in range(max_iter):
-        batch = sample_exact(pts.select(id_col, features_col), batch_size, seed, it, id_col, n=n)
+        h, i = cutoffs[it]
+        key = _sample_key(seed, F.lit(it), id_col)
+        batch = pts.select(id_col, features_col).where(key <= F.struct(F.lit(h).alias("h"), F.lit(i).cast(pts.schema[id_col].dataType).alias("id")))
         assigned = assign_nearest(batch, (ids, mat.copy()), features_col, method)
         # the per-(cluster, position) sums are the model's own size (k x d):
         # one aggregation, assembled on the driver where the model lives
