@@ -155,3 +155,17 @@ def test_ordinal_gap(spark):
     assert got == {"g": 1.0}
     mid = {r["grp"]: (r["n"], r["gap"]) for r in SE.ordinal_gap(df, "grp", "v", "mid", "id").collect()}
     assert mid == {"g": (2, 1.0)}
+
+
+def test_batch_cutoffs_equal_exact_samples(spark):
+    pts = spark.range(300).select(F.col("id").alias("point_id"))
+    for b in (7, 290):  # 290 of 300: the 2x threshold cannot hold b keys, so the exact fallback runs
+        cut = CL.batch_cutoffs(pts, b, seed=9, iterations=4, id_col="point_id", n=300)
+        for it in range(4):
+            want = sorted(r["point_id"] for r in CL.sample_exact(pts, b, 9, it, "point_id", n=300).collect())
+            key = CL._sample_key(9, F.lit(it), "point_id")
+            got = sorted(
+                r["point_id"]
+                for r in pts.where(key <= F.struct(F.lit(cut[it][0]).alias("h"), F.lit(cut[it][1]).cast("long").alias("id"))).collect()
+            )
+            assert got == want and len(got) == b
