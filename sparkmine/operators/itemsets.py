@@ -21,7 +21,9 @@ The next tails come from one equi-join of the occurrence rows with the
 frequent-extension lists of L(k) keyed by prefix; that side has at most
 |L(k)| rows, is broadcast only under a byte bound computed from its exact row
 count, and otherwise goes through a shuffle join where AQE splits hot prefixes.
-Occurrence rows and levels are cut with reliable checkpoints.
+Transactions are written once; occurrence tables are cached, with a written
+table every CUT_EVERY levels; level tables are cached one aggregation away
+from them.  Non-integral items run as int ranks from level 2 on.
 """
 
 from __future__ import annotations
