@@ -142,3 +142,18 @@ def test_scalar_helpers(spark):
         is_subset("t", "c").alias("s2"), euclidean_distance("x", "y").alias("d"),
     ).first()
     assert (r["v"], r["p"], r["s"], r["s2"], r["d"]) == (6, 0.375, True, False, 5.0)
+
+
+def test_line_numbers_across_many_splits(spark):
+    d = tempfile.mkdtemp(prefix="sm-splits-")
+    _write(d, "a.txt", "".join(f"{i} {i + 1}\n" for i in range(3000)))
+    _write(d, "b.txt", "".join(f"{i}\n" for i in range(500)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+        lines = read_lines(spark, d)
+        assert lines.rdd.getNumPartitions() > 5
+        got = [r["value"] for r in lines.orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"{i} {i + 1}" for i in range(3000)] + [str(i) for i in range(500)]
