@@ -45,6 +45,8 @@ log = logging.getLogger(__name__)
 # Occurrence tables are cached; every CUT_EVERY-th level is written instead,
 # so a lost executor replays at most that many map-side steps from a table.
 CUT_EVERY = 4
+# Rows of a cached level table per downstream task.
+_LEVEL_ROWS_PER_TASK = 200_000
 # Rough per-row size bounds used for size-checked broadcasts.
 _ITEM_BYTES = 24
 _ROW_OVERHEAD = 48
@@ -399,6 +401,8 @@ def mine_frequent(
         n_prev = int(ml["n"])
         if n_prev == 0:
             break
+        # read the small cached level with as many tasks as its size needs
+        level = level.coalesce(max(1, -(-n_prev // _LEVEL_ROWS_PER_TASK)))  # never raises the count
         encoded_levels.append(level.select(*g, F.lit(k).alias("k"), "items", "support_count"))
         prev = level
         k += 1
