@@ -195,6 +195,7 @@ def prune_candidates(cands: DataFrame, l_prev: DataFrame, k: int, group_cols=())
 class MiningResult:
     itemsets: DataFrame  # (group..., k, items, support_count)
     candidate_growth: DataFrame | None  # (group..., k, n_candidates)
+    item_counts: DataFrame | None = None  # (group..., item, support_count), every item
 
 
 def _item_dictionary(l1: DataFrame, n_l1: int, item_type) -> list | None:
@@ -318,6 +319,7 @@ def mine_frequent(
     support: float | None = None,
     prepared: bool = False,
     n: int | None = None,
+    item_counts: DataFrame | None = None,
 ) -> MiningResult:
     """Level-wise frequent itemsets of ``tx`` (txn_id, group..., items) with
     count >= min_count (or >= ceil(support * n)).
@@ -327,6 +329,8 @@ def mine_frequent(
     family (SON phase 2).  ``stats`` = 'apriori' or 'son' also returns the
     candidates per level (A8) under that convention.  ``prepared`` says ``tx``
     already comes from ``prepare_transactions`` (``n`` its row count, if known).
+    ``item_counts`` (group..., item, support_count) over every item, when
+    already known, replaces the level-1 pass over the transactions.
 
     Actions: one write per level and one per occurrence table; every count
     that steers the loop is observed during those writes."""
@@ -338,10 +342,9 @@ def mine_frequent(
     if min_count is None:
         n = base.count() if n is None else n
     min_count = resolve_threshold(n if n is not None else 0, min_count, support)
-    counts1, m1 = cut_lineage_observed(
-        base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count()),
-        n_l1=F.count_if(F.col("support_count") >= min_count),
-    )
+    if item_counts is None:
+        item_counts = base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count())
+    counts1, m1 = cut_lineage_observed(item_counts, n_l1=F.count_if(F.col("support_count") >= min_count))
     l1 = counts1.where(F.col("support_count") >= min_count)
     n1 = int(m1["n_l1"])
     if allowed is not None:
@@ -420,7 +423,7 @@ def mine_frequent(
             [base.schema[c] for c in g] + [T.StructField("k", T.IntegerType()), T.StructField("n_candidates", T.LongType())]
         )
         growth_df = base.sparkSession.createDataFrame(growth, schema)
-    return MiningResult(itemsets, growth_df)
+    return MiningResult(itemsets, growth_df, counts1)
 
 
 def apriori(tx: DataFrame, min_count: int | None = None, support: float | None = None) -> DataFrame:
@@ -468,12 +471,14 @@ def son_local(
     return mine_frequent(tx, local_min, [bucket_col], stats="son" if stats else None, prepared=prepared)
 
 
-def son_verify(tx: DataFrame, candidates: DataFrame, min_count: int, prepared: bool = False) -> DataFrame:
+def son_verify(
+    tx: DataFrame, candidates: DataFrame, min_count: int, prepared: bool = False, item_counts: DataFrame | None = None
+) -> DataFrame:
     """Global count of a downward-closed candidate family, kept if >= min_count.
 
     (The union of per-bucket frequent families is downward closed.)"""
     cands = cut_lineage(candidates.select("items").distinct())
-    return mine_frequent(tx, min_count, allowed=cands, prepared=prepared).itemsets
+    return mine_frequent(tx, min_count, allowed=cands, prepared=prepared, item_counts=item_counts).itemsets
 
 
 @dataclass
@@ -503,7 +508,9 @@ def son(
     min_count = resolve_threshold(n, min_count, support)
     local_min = int(math.ceil(min_count / num_partitions))
     local = son_local(base, local_min, stats=stats, prepared=True)
-    verified = son_verify(base.drop("bucket"), local.itemsets, min_count, prepared=True)
+    # global item counts = per-bucket item counts summed (no second pass)
+    global_items = local.item_counts.groupBy("item").agg(F.sum("support_count").cast("long").alias("support_count"))
+    verified = son_verify(base.drop("bucket"), local.itemsets, min_count, prepared=True, item_counts=global_items)
     return SonRun(verified, local.itemsets, local.candidate_growth, n, min_count, local_min)
 
 
