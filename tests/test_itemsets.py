@@ -177,3 +177,15 @@ def test_empty_input(spark):
     blanks = spark.createDataFrame([(0, []), (1, [])], "txn_id long, items array<int>")
     assert IS.apriori(blanks, 1).count() == 0
     assert IS.transaction_profile(blanks).first()["n"] == 2
+
+
+def test_hot_item_and_hot_bucket(spark):
+    import random
+
+    rnd = random.Random(5)
+    # item 0 is in every transaction; a third of the transactions share txn ids = 0 mod 3 (one SON bucket)
+    rows = [sorted({0} | set(rnd.sample(range(1, 9), rnd.randint(1, 4)))) for _ in range(150)]
+    tx = spark.createDataFrame(list(enumerate(rows)), "txn_id long, items array<int>")
+    want = brute_force(rows, 20)
+    assert itemsets(IS.apriori(tx, 20)) == want
+    assert itemsets(IS.son(tx, 3, min_count=20, bucket="mod").itemsets) == want
