@@ -99,8 +99,14 @@ def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame
     return drawn.withColumn("items", F.sort_array(F.array_distinct(F.concat("items", "drawn")))).drop("_need", "drawn")
 
 
-def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",)) -> DataFrame:
-    """the first int(n * fraction) rows in ``order_cols`` order."""
+def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",), dense_ids: bool = False) -> DataFrame:
+    """the first int(n * fraction) rows in ``order_cols`` order.
+
+    ``dense_ids`` says ``txn_id`` already is the 0..n-1 source position (text
+    sources): then it is a filter, with no ranking pass."""
+    if dense_ids:
+        n = tx.count()
+        return tx.where(F.col("txn_id") < int(n * fraction))
     indexed, n = with_group_rank_counted(tx, list(order_cols), (), "_idx")
     keep = int(n * fraction)
     return indexed.where(F.col("_idx") < keep).drop("_idx")

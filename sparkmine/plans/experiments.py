@@ -64,10 +64,10 @@ def default_grid(dataset: str = "transactions") -> list[SweepRow]:
     return grid
 
 
-def modified(tx: DataFrame, row: SweepRow, seed: int) -> DataFrame:
+def modified(tx: DataFrame, row: SweepRow, seed: int, dense_ids: bool = False) -> DataFrame:
     data = tx
     if row.fraction is not None:
-        data = TR.take_fraction(data, row.fraction)
+        data = TR.take_fraction(data, row.fraction, dense_ids=dense_ids)
     if row.pad_target is not None:
         data = TR.pad_transactions(data, row.pad_target, seed)
     if row.restrict_items is not None:
@@ -75,18 +75,19 @@ def modified(tx: DataFrame, row: SweepRow, seed: int) -> DataFrame:
     return data
 
 
-def run_sweep(tx: DataFrame, grid: list[SweepRow], seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def run_sweep(tx: DataFrame, grid: list[SweepRow], seed: int = 0, dense_ids: bool = False) -> tuple[DataFrame, DataFrame]:
     """K1: one SON run per grid row -> (runs, run_candidates) (K2).
 
     The base table is written once; each modified table is written once per
     run, so the profile, both SON phases and the counts all see the same rows
-    (the modifiers are seeded)."""
+    (the modifiers are seeded).  ``dense_ids``: txn_id is the 0..n-1 source
+    position (text sources), so F6 is a filter."""
     spark = tx.sparkSession
     base = IS.prepare_transactions(tx)
     runs, cands = [], []
     for run_id, row in enumerate(grid):
         changed = row.fraction is not None or row.pad_target is not None or row.restrict_items is not None
-        bag = cut_lineage(modified(base, row, seed)) if changed else base
+        bag = cut_lineage(modified(base, row, seed, dense_ids)) if changed else base
         # A3 sees the bag (F3 output may repeat items); mining counts sets
         prof = IS.transaction_profile(bag).first()
         data = IS.prepare_transactions(bag) if changed else base

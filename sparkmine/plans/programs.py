@@ -49,7 +49,8 @@ def son_program(
     """The experiment sweeps (default: the 37 runs) -> (runs, run_candidates),
     appended to ``out``/runs and ``out``/run_candidates as CSV when given."""
     tx = read_transactions(spark, path)
-    runs, cands = run_sweep(tx, grid if grid is not None else default_grid(path.rsplit("/", 1)[-1]), seed)
+    # txn_id from a text source is the dense line number
+    runs, cands = run_sweep(tx, grid if grid is not None else default_grid(path.rsplit("/", 1)[-1]), seed, dense_ids=True)
     if out:
         write_results(runs, f"{out}/runs")
         write_results(cands, f"{out}/run_candidates")

@@ -157,3 +157,8 @@ def test_line_numbers_across_many_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"{i} {i + 1}" for i in range(3000)] + [str(i) for i in range(500)]
+
+
+def test_take_fraction_dense_ids(tiny):
+    a = sorted(r["txn_id"] for r in TR.take_fraction(tiny, 0.7, dense_ids=True).collect())
+    assert a == sorted(r["txn_id"] for r in TR.take_fraction(tiny, 0.7).collect()) == [0, 1, 2, 3, 4, 5]
