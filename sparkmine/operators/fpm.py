@@ -15,7 +15,8 @@ def fp_growth(tx: DataFrame, min_count: int, n: int | None = None, num_partition
     threshold is exactly min_count (c/n*n can round above c)."""
     n = tx.count() if n is None else n
     if n == 0:
-        return tx.sparkSession.createDataFrame([], "k int, items array<string>, support_count long")
+        item_type = tx.schema["items"].dataType.simpleString()
+        return tx.sparkSession.createDataFrame([], f"k int, items {item_type}, support_count long")
     fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)

@@ -50,6 +50,8 @@ def histogram_density(df: DataFrame, col: str, bins: int = 1000, lo: float = -3.
     index corrected against the edges); density = n / width / in-range total,
     NULL when nothing is in range; empty bins appear with n = 0."""
     spark = df.sparkSession
+    if not (hi > lo) or bins < 1:
+        raise ValueError(f"need lo < hi and bins >= 1, got ({lo}, {hi}) and {bins}")
     v = F.col(col).cast("double")
     inr = df.select(v.alias("v")).where(F.col("v").isNotNull() & (F.col("v") >= lo) & (F.col("v") <= hi))
     f = (F.col("v") - F.lit(float(lo))) / F.lit(float(hi - lo)) * F.lit(float(bins))
@@ -93,10 +95,13 @@ def gaussian_smooth(df: DataFrame, pos: str, value: str, sigma: float = 2.0, tru
     spark = df.sparkSession
     weights = gaussian_kernel(sigma, truncate)
     r = (len(weights) - 1) // 2
-    n = df.count()
     series = df.select(F.col(pos).cast("long").alias("q"), F.col(value).cast("double").alias("v"))
+    shape = series.agg(F.count(F.lit(1)).alias("n"), F.min("q").alias("lo"), F.max("q").alias("hi"), F.count_distinct("q").alias("d")).first()
+    n = shape["n"]
     if n == 0:
         return series.select(F.col("q").alias(pos), F.col("v").alias(value))
+    if (shape["lo"], shape["hi"], shape["d"]) != (0, n - 1, n):
+        raise ValueError("positions must be 0..n-1, each once (index the series first, F5)")
     bounds = spark.range(-r, 0).union(spark.range(n, n + r)).select(F.col("id").alias("q"))
     m = F.pmod(F.col("q"), F.lit(2 * n))
     bounds = bounds.withColumn("s", F.when(m < n, m).otherwise(F.lit(2 * n - 1) - m))

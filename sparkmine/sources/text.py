@@ -55,17 +55,24 @@ def read_transactions(spark: SparkSession, path: str, item_type: str = "int") ->
 def read_points(spark: SparkSession, features_path: str, labels_path: str) -> DataFrame:
     """Feature lines and label lines paired by position ->
     (point_id, features array<float>, label int). Raises on unequal line
-    counts or ragged vectors."""
+    counts, ragged vectors or NaN."""
     feats = read_lines(spark, features_path).select(
         F.col("line_no").alias("point_id"), _tokens().cast("array<float>").alias("features")
     )
     labels = read_lines(spark, labels_path).select(
         F.col("line_no").alias("point_id"), F.trim("value").cast("int").alias("label")
     )
-    stats = feats.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")).first()
+    stats = feats.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.size("features")).alias("lo"),
+        F.max(F.size("features")).alias("hi"),
+        F.count_if(F.exists("features", lambda x: F.isnan(x))).alias("nan"),
+    ).first()
     n_labels = labels.count()
     if stats["n"] != n_labels:
         raise ValueError(f"{stats['n']} feature lines but {n_labels} label lines")
     if stats["n"] and stats["lo"] != stats["hi"]:
         raise ValueError(f"ragged feature vectors: lengths {stats['lo']}..{stats['hi']}")
+    if stats["nan"]:
+        raise ValueError(f"{stats['nan']} feature vectors contain NaN")
     return feats.join(labels, "point_id")

@@ -168,3 +168,11 @@ def test_batch_cutoffs_equal_exact_samples(spark):
                 for r in pts.where(key <= F.struct(F.lit(cut[it][0]).alias("h"), F.lit(cut[it][1]).cast("long").alias("id"))).collect()
             )
             assert got == want and len(got) == b
+
+
+def test_series_validation(spark):
+    df = spark.createDataFrame([(0, 1.0), (2, 1.0)], "p long, v double")
+    with pytest.raises(ValueError):
+        SE.gaussian_smooth(df, "p", "v", 2.0)
+    with pytest.raises(ValueError):
+        SE.histogram_density(df, "v", 4, 1.0, 1.0)

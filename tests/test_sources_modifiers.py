@@ -162,3 +162,9 @@ def test_line_numbers_across_many_splits(spark):
 def test_take_fraction_dense_ids(tiny):
     a = sorted(r["txn_id"] for r in TR.take_fraction(tiny, 0.7, dense_ids=True).collect())
     assert a == sorted(r["txn_id"] for r in TR.take_fraction(tiny, 0.7).collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_read_points_rejects_nan(spark):
+    d = tempfile.mkdtemp(prefix="sm-nan-")
+    with pytest.raises(ValueError):
+        read_points(spark, _write(d, "f.txt", "0 NaN\n1 1\n"), _write(d, "l.txt", "1\n2\n"))
