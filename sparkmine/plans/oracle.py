@@ -183,6 +183,14 @@ SELECT CAST(n AS BIGINT) AS n, round(avg_len, 6) AS avg_len, CAST(di AS BIGINT)
     q["son_brand"] = q["apriori_brand"]
     q["fp_growth"] = q["apriori_brand"]
     q["candidate_growth"] = _growth(_frequent("p_brand", BRAND_SUPPORT), None, "SELECT n FROM lvl WHERE k = 1")
+    q["prune_candidates"] = _frequent("p_brand", BRAND_SUPPORT) + """,
+f2 AS (SELECT items FROM f WHERE k = 2),
+cand AS (SELECT list_append(a.items, b2.items[-1]) AS items FROM f2 a JOIN f2 b2
+         ON a.items[1:1] = b2.items[1:1] AND a.items[-1] < b2.items[-1]),
+cs AS (SELECT items, list_concat(items[1:i - 1], items[i + 1:]) AS sub
+       FROM (SELECT items, unnest(range(1, 4)) AS i FROM cand)),
+bad AS (SELECT DISTINCT cs.items FROM cs LEFT JOIN f2 ON f2.items = cs.sub WHERE f2.items IS NULL)
+SELECT array_to_string(items, ',') AS items FROM (SELECT items FROM cand EXCEPT SELECT items FROM bad)"""
     q["son_local"] = _son_local_cte("p_brand", BRAND_SUPPORT, SON_BUCKETS) + """
 SELECT CAST(bucket AS INTEGER) AS bucket, k, array_to_string(items, ',') AS items, support_count FROM f"""
     q["son_candidate_stats"] = _growth(

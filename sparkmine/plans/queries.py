@@ -98,6 +98,14 @@ def q_candidate_growth(spark: SparkSession, d: str) -> DataFrame:
     return IS.candidate_growth(brand_baskets(spark, d), convention="apriori", support=BRAND_SUPPORT)
 
 
+def q_prune_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """J1 + J2: the 3-candidates joined from the frequent brand pairs and
+    pruned by their 2-subsets (the candidates themselves, not just counts)."""
+    l2 = IS.apriori(brand_baskets(spark, d), support=BRAND_SUPPORT).where(F.col("k") == 2).select("items")
+    cands = IS.prune_candidates(IS.join_candidates(l2, 3), l2, 3)
+    return cands.select(itemset_string("items").alias("items"))
+
+
 def q_son_type(spark: SparkSession, d: str) -> DataFrame:
     run = IS.son(type_baskets(spark, d), SON_BUCKETS, support=TYPE_SUPPORT, stats=False)
     return _itemset_out(run.itemsets)
@@ -306,6 +314,7 @@ QUERIES = {
     "apriori_type": q_apriori_type,
     "apriori_brand": q_apriori_brand,
     "candidate_growth": q_candidate_growth,
+    "prune_candidates": q_prune_candidates,
     "son_type": q_son_type,
     "son_brand": q_son_brand,
     "son_local": q_son_local,
