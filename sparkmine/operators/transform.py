@@ -169,17 +169,19 @@ def explode_matrix(df: DataFrame, arr_col: str, keep_cols=()) -> DataFrame:
 def expand_by_weight(df: DataFrame, weight_col: str, chunk: int = 1_000_000) -> DataFrame:
     """repeat every row ``weight`` times; rows with weight <= 0 vanish.
 
-    Weights are cut into chunks of at most ``chunk`` copies first; when some
-    weight exceeds one chunk the chunk rows are spread over tasks before the
-    copies are generated, so one heavy row never sits in a single task."""
+    Rows with at most ``chunk`` copies are expanded in place.  Heavier rows are
+    cut into chunks of ``chunk`` copies, and the chunk rows are spread over
+    tasks before the copies are generated, so one heavy row never sits in a
+    single task (that branch shuffles nothing when no row is heavy)."""
     w = F.col(weight_col).cast("long")
     cols = df.columns
-    chunks = (
-        df.where(w >= 1)
-        .withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((w - 1) / chunk).cast("long"))))
+    light = df.where((w >= 1) & (w <= chunk)).withColumn("_r", F.explode(F.sequence(F.lit(1).cast("long"), w))).select(*cols)
+    heavy = (
+        df.where(w > chunk)
+        .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((w - 1) / chunk).cast("long"))))
         .withColumn("_len", F.least(F.lit(chunk).cast("long"), w - F.col("_c") * chunk))
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_c", *cols)
+        .withColumn("_r", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_len"))))
+        .select(*cols)
     )
-    max_w = df.agg(F.max(w)).first()[0]
-    if max_w is not None and max_w > chunk:
-        chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_c", *cols)
-    return chunks.withColumn("_r", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_len")))).select(*cols)
+    return light.unionByName(heavy)
