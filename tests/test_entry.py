@@ -1,4 +1,6 @@
 import __spark_entry__ as E
+from sparkmine.plans.oracle import oracle_sql
+from sparkmine.plans.queries import QUERIES
 
 
 def test_entry_flagship(spark):
@@ -11,4 +13,6 @@ def test_entry_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
