@@ -157,8 +157,8 @@ def _pack_minima(batches):
 
 
 def _trees(rows: pd.DataFrame) -> pd.DataFrame:
-    """Deep internal nodes of one group; per document, the paths that start in
-    a document with a smaller id too."""
+    """Deep internal nodes of one group: the leaves that also start in a
+    document with a smaller id, one row each."""
     docs = np.concatenate([np.frombuffer(x, np.int64) for x in rows["docs"]])
     counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"]])
     paths = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["paths"]])
@@ -169,12 +169,7 @@ def _trees(rows: pd.DataFrame) -> pd.DataFrame:
     node = np.flatnonzero(np.concatenate(([True], paths[1:] != paths[:-1])))
     smallest = np.minimum.reduceat(leaf, node)
     repeat = leaf > np.repeat(smallest, np.diff(np.append(node, len(leaf))))
-    leaf, paths = leaf[repeat], paths[repeat]
-    order = np.argsort(leaf, kind="stable")
-    leaf, paths = leaf[order], paths[order]
-    cut = np.flatnonzero(np.concatenate(([True], leaf[1:] != leaf[:-1]))) if len(leaf) else np.zeros(0, dtype=np.int64)
-    ends = np.append(cut, len(leaf))
-    return pd.DataFrame({"doc_id": leaf[cut], "paths": [np.unique(paths[ends[i] : ends[i + 1]]).tobytes() for i in range(len(cut))]})
+    return pd.DataFrame({"doc_id": leaf[repeat], "path": paths[repeat].view(np.int64)})
 
 
 def _remove(k: int):
@@ -183,9 +178,9 @@ def _remove(k: int):
             texts, repeats, given = batch.column(1), batch.column(2), batch.column(0)
             total, removed, digest = [], [], []
             for chunk in K.chunks(texts):
-                some = [repeats[i].as_py() for i in range(chunk.lo, chunk.hi)]
+                some = [repeats[i].values.to_numpy().view(np.uint64) if repeats[i].is_valid else None for i in range(chunk.lo, chunk.hi)]
                 at = full = None
-                if any(some):
+                if any(x is not None for x in some):
                     h, doc = chunk.words()
                     at, full = K.windows(h, doc, k)
                     first = np.searchsorted(doc, np.arange(chunk.hi - chunk.lo + 1))
@@ -194,9 +189,8 @@ def _remove(k: int):
                 for i in range(chunk.hi - chunk.lo):
                     w = raw[chunk.offsets[i] : chunk.offsets[i + 1]].split()
                     gone = 0
-                    if some[i]:
-                        bad = np.concatenate([np.frombuffer(x, np.uint64) for x in some[i]])
-                        hit = at[wfirst[i] : wfirst[i + 1]][np.isin(full[wfirst[i] : wfirst[i + 1]], bad)] - first[i]
+                    if some[i] is not None:
+                        hit = at[wfirst[i] : wfirst[i + 1]][np.isin(full[wfirst[i] : wfirst[i + 1]], some[i])] - first[i]
                         step = np.zeros(len(w) + 1, dtype=np.int64)
                         np.add.at(step, hit, 1)
                         np.add.at(step, hit + k, -1)
@@ -214,8 +208,8 @@ def _remove(k: int):
 
 
 def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, max_group: int = MAX_GROUP) -> DataFrame:
-    """(doc_id, paths): per document the hashes of its ``k``-word windows that
-    also start in a document with a smaller id, one row per group that has any."""
+    """(doc_id, path): the hash of every ``k``-word window that also starts in a
+    document with a smaller id."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = text_bytes(src) // BYTES_PER_WORD
     bins = 1 << max(2, (total // max_group).bit_length())
@@ -230,13 +224,13 @@ def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         minima = src.mapInArrow(_hot_minima(k, bins, heavy), "grp long, path long, doc long").groupBy("grp", "path").agg(F.min("doc").alias("doc"))
         salted = minima.select("grp", "path", "doc", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         packed = packed.unionByName(salted.mapInArrow(_pack_minima, _PACKED))
-    return packed.groupBy("grp", "salt").applyInPandas(_trees, "doc_id long, paths binary")
+    return packed.groupBy("grp", "salt").applyInPandas(_trees, "doc_id long, path long")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, max_group: int = MAX_GROUP) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and the SHA-256 of the kept
     words joined by one space."""
-    repeats = repeated_paths(docs, id_col, text_col, k, max_group).groupBy("doc_id").agg(F.collect_list("paths").alias("repeats"))
+    repeats = repeated_paths(docs, id_col, text_col, k, max_group).groupBy("doc_id").agg(F.collect_set("path").alias("repeats"))
     repeats = cut_lineage(repeats).withColumnRenamed("doc_id", "owner")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     owner = F.coalesce(F.col("doc_id"), F.lit(int(NO_ID)))
