@@ -3,10 +3,12 @@ that SQL can express."""
 
 from __future__ import annotations
 
+from sparkmine.llm.jaccard_join import op6_jaccard_join
 from sparkmine.llm.substring_dedup import op3_substring_dedup
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
