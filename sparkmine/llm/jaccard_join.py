@@ -102,14 +102,16 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
 def _profile(k: int):
     def run(batches):
         for batch in batches:
-            n, a, b = [], [], []
+            n, key, marks = [], [], []
             for chunk in K.chunks(batch.column(1)):
                 for s in K.shingle_sets(chunk, k):
                     n.append(len(s))
-                    x, y = _set_key(s)
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, pa.int64()) for v in (n, a, b))], ["doc_id", "n_shingles", "k1", "k2"])
+                    key.append(_set_key(s))
+                    marks.append(sketch(s))
+            key = np.array(key, dtype=np.int64).reshape(-1, 2)
+            marks = np.array(marks, dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
+            columns = [*key.T, *marks.T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in columns)], _PROFILE_NAMES)
 
     return run
 
@@ -152,6 +154,7 @@ def _emit(k: int, buckets: int):
     return run
 
 
+_PROFILE_NAMES = ["doc_id", "n", "k1", "k2", *(f"s{j}" for j in range(SKETCH))]
 _SHARED = "grp long, pivot long, doc_id long"
 
 
@@ -188,34 +191,17 @@ def _stars(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"grp": grp[sel], "pivot": pivot[sel], "doc_id": doc[sel]})
 
 
-def _sets(k: int):
-    def run(batches):
-        for batch in batches:
-            for chunk in K.chunks(batch.column(1)):
-                found = list(K.shingle_sets(chunk, k))
-                marks = np.array([sketch(s) for s in found]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(chunk.lo, chunk.hi - chunk.lo),
-                        pa.array([len(s) for s in found], pa.int64()),
-                        *(pa.array(marks[:, j]) for j in range(SKETCH)),
-                        pa.array([s.tobytes() for s in found], pa.binary()),
-                    ],
-                    ["doc_id", "n", *(f"s{j}" for j in range(SKETCH)), "shingles"],
-                )
-
-    return run
+def _exact(k: int, threshold: int):
+    """Keep pairs whose texts' shingle sets meet the threshold (in percent)."""
 
-
-def _exact(threshold: int):
-    """Keep pairs whose sets meet the threshold (in percent)."""
+    def sets(texts):
+        for chunk in K.chunks(texts):
+            yield from K.shingle_sets(chunk, k)
 
     def run(batches):
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
             keep = []
-            for i in range(batch.num_rows):
-                p, q = (np.frombuffer(v[i].as_buffer(), np.uint64) for v in (x, y))
+            for p, q in zip(sets(batch.column(2)), sets(batch.column(3))):
                 shared = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * shared >= threshold * (len(p) + len(q) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -230,30 +216,33 @@ def _may_link(x: str, y: str, threshold: int) -> Column:
     return (F.lit(100) * F.least(nx, ny) >= F.lit(threshold) * F.greatest(nx, ny)) & (F.lit(100 + threshold) * apart <= F.lit(100 - threshold) * (nx + ny))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link; first by sketches, then by the sets."""
-    small = sets.drop("shingles")
+def _verified(pairs: DataFrame, marks: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) that link; first by sketches, then by their texts."""
     near = (
-        pairs.join(small.alias("x"), F.col("a") == F.col("x.doc_id")).join(small.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
+        pairs.join(marks.alias("x"), F.col("a") == F.col("x.doc_id")).join(marks.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
     )
-    body = sets.select("doc_id", "shingles")
-    both = near.join(body.select(F.col("doc_id").alias("a"), F.col("shingles").alias("p")), "a").join(body.select(F.col("doc_id").alias("b"), F.col("shingles").alias("q")), "b")
-    return both.select("a", "b", "p", "q").mapInArrow(_exact(threshold), "a long, b long").distinct()
+    texts = cut_lineage(near).join(src.select(F.col("doc_id").alias("a"), F.col("text").alias("p")), "a").join(src.select(F.col("doc_id").alias("b"), F.col("text").alias("q")), "b")
+    return texts.select("a", "b", "p", "q").mapInArrow(_exact(k, threshold), "a long, b long").distinct()
+
 
+def shingle_profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
+    """Per document (written table): doc_id, set size n, two set keys, sketch."""
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return cut_lineage(src.mapInArrow(_profile(k), ", ".join(f"{c} long" for c in _PROFILE_NAMES)))
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
+
+def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Links (a, b) between class representatives that connect every pair of
-    different sets with a Jaccard similarity of at least 0.8."""
+    different sets with a Jaccard similarity of at least 0.8.  ``profile`` is
+    the documents' ``shingle_profile``."""
     threshold = 80  # the pigeonhole numbers above hold for this similarity
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # 0.6 signatures a word are expected at 6 bytes a word
     buckets = 1 + text_bytes(src) // 10 // max_bucket
     packed = src.mapInArrow(_emit(k, buckets), "bucket long, docs binary, set_keys binary, counts binary, sigs binary")
     shared = cut_lineage(packed.groupBy("bucket").applyInPandas(_stars, _SHARED))
-    wanted = shared.select("doc_id").union(shared.select("pivot")).distinct()
-    fields = "doc_id long, n long, " + ", ".join(f"s{j} long" for j in range(SKETCH)) + ", shingles binary"
-    sets = cut_lineage(src.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), fields))
-    links = cut_lineage(_verified(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), sets, threshold))
+    marks = profile.where("n > 0").drop("k1", "k2")
+    links = cut_lineage(_verified(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), marks, src, k, threshold))
     part = connected_components(links)
     labelled = (
         shared.join(part, F.col("doc_id") == F.col("node"), "left")
@@ -262,27 +251,26 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .select("grp", "doc_id", "label", F.coalesce("pivot_component", "pivot").alias("pivot_label"))
     )
     mixed = labelled.groupBy("grp").agg(F.max(F.col("label") != F.col("pivot_label")).alias("open")).where("open").select("grp")
-    rest = cut_lineage(labelled.select("grp", "doc_id", "label").join(mixed, "grp", "left_semi").join(sets.drop("shingles"), "doc_id"))
+    rest = labelled.select("grp", "doc_id", "label").join(mixed, "grp", "left_semi").join(marks, "doc_id")
     more = (
         rest.alias("x")
         .join(rest.alias("y"), (F.col("x.grp") == F.col("y.grp")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y", threshold))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
-    return links.unionByName(_verified(more, sets, threshold)).distinct()
+    return links.unionByName(_verified(more, marks, src, k, threshold)).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest doc_id
     reachable by links."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profile = cut_lineage(src.mapInArrow(_profile(k), "doc_id long, n_shingles long, k1 long, k2 long"))
-    key = ["n_shingles", "k1", "k2"]
-    classes = profile.where(F.col("n_shingles") > 0).groupBy(*key).agg(F.min("doc_id").alias("class"))
-    found = connected_components(jaccard_links(docs, id_col, text_col, k, max_bucket))
+    profile = shingle_profile(docs, id_col, text_col, k)
+    key = ["n", "k1", "k2"]
+    classes = profile.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("class"))
+    found = connected_components(jaccard_links(docs, profile, id_col, text_col, k, max_bucket))
     classes = classes.join(found, F.col("class") == F.col("node"), "left").select(*key, F.coalesce("component", "class").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return profile.join(classes, key, "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return profile.join(classes, key, "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
