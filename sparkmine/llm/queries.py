@@ -4,11 +4,20 @@ that SQL can express."""
 from __future__ import annotations
 
 from sparkmine.llm.jaccard_join import op6_jaccard_join
+from sparkmine.llm.mixing import OP9_SQL, op9_mixing
+from sparkmine.llm.quality import OP1_SQL, op1_quality_rules
+from sparkmine.llm.sharding import op8_sharding
 from sparkmine.llm.substring_dedup import op3_substring_dedup
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op8_sharding": op8_sharding,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
+    "op9_mixing": OP9_SQL,
+}
