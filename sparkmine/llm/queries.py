@@ -3,18 +3,22 @@ that SQL can express."""
 
 from __future__ import annotations
 
+from sparkmine.llm.decontaminate import op2_decontaminate
 from sparkmine.llm.jaccard_join import op6_jaccard_join
 from sparkmine.llm.mixing import OP9_SQL, op9_mixing
 from sparkmine.llm.quality import OP1_SQL, op1_quality_rules
 from sparkmine.llm.sharding import op8_sharding
 from sparkmine.llm.substring_dedup import op3_substring_dedup
+from sparkmine.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
