@@ -1,10 +1,73 @@
-"""The corpus pipeline over ``documents``."""
+"""The corpus pipeline over ``documents``: five stages, each a table of its own.
+
+quality rules (rejected documents go) -> n-gram Jaccard join (the smallest doc_id
+of each group stays) -> benchmark decontamination (documents that hold an item go)
+-> mixing sources to target weights (documents repeated or left out) -> sharding
+(slot and shard of every row).
+
+A stage takes (spark, docs, sf_dir) and returns a table with the columns of
+``docs``; the last adds slot and shard.  Rows with a null doc_id link with nothing
+and stay in the second stage; of rows that share a doc_id it keeps one.  An empty
+table passes through as an empty table.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkmine.llm.decontaminate import decontaminate
+from sparkmine.llm.jaccard_join import jaccard_components
+from sparkmine.llm.mixing import mix
+from sparkmine.llm.quality import quality_filter
+from sparkmine.llm.sharding import assign_shards
+from sparkmine.session import ensure_checkpoint_dir
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_filter(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard_components(docs)
+    stays = found.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_stays")).distinct()
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.join(stays, F.col("doc_id") == F.col("_stays"), "left_semi").dropDuplicates(["doc_id"]).select(*own)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return assign_shards(docs)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources", mixing_stage),
+    ("sharding", sharding_stage),
+]
+
+#: SimHash windows and the pigeonhole join are not expressible in SQL at this
+#: scale; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage over ``documents``, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{i}")
+        docs = spark.read.parquet(f"{root}/{i}")
+    return docs
