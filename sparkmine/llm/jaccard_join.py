@@ -19,7 +19,7 @@ symmetric difference, which for linked sets is at most (|A| + |B|) / 9.
    size.  Sets that agree in a signature and in their whole-set hash are one
    class, represented by its smallest doc_id.  Each signature shared by several
    classes gives a star around its smallest one.
-4. *Verify.* Star pairs pass a size and 512-bit sketch test and then an exact
+4. *Verify.* Star pairs pass a size and 2,048-bit sketch test and then an exact
    comparison of the sets.  Connected components contract what they link.
 5. *Rest.* Within a shared signature, classes that are not yet connected are
    compared with each other: the pair must lie in different components and pass
@@ -48,7 +48,7 @@ SHINGLE = 5
 #: Signatures of one bucket (about 30 bytes each while it is joined).
 MAX_BUCKET = 2_000_000
 #: Words of the verification sketch (64 bits each).
-SKETCH = 8
+SKETCH = 32
 
 
 def _bands(limit: int) -> list[tuple[int, int, int]]:
@@ -89,7 +89,7 @@ def band_signatures(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """512-bit parity sketch as eight words."""
+    """Parity sketch of 64 * SKETCH bits."""
     bit = K.mix(shingles, 8) % K.U64(64 * SKETCH)
     odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.uint64)
