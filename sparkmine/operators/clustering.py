@@ -162,7 +162,10 @@ def sample_exact(df: DataFrame, b: int, seed: int, iteration: int, id_col: str =
         raise ValueError(f"batch size {b} exceeds the {n} rows")
     key = _sample_key(seed, F.lit(iteration), id_col)
     cutoff = df.select(key.alias("_k")).orderBy("_k").limit(b).agg(F.max("_k")).scalar()
-    return df.where(key <= cutoff)
+    sample = df.where(key <= cutoff)
+    if b and sample.select(id_col).count() != b:
+        raise ValueError(f"{id_col} is not unique")
+    return sample
 
 
 def _sample_key(seed: int, iteration, id_col: str):
@@ -211,7 +214,7 @@ def kmeanspp(
     """Weighted seeding.  The first centre is uniform; each next one is
     drawn with probability proportional to (distance to the nearest chosen
     centre) ** power via an exponential race (smallest -ln(u)/w wins, ties by
-    id); chosen points have weight 0.  Returns (centres frame, chosen ids).
+    id); chosen points are left out, so equal points never repeat one.  Returns (centres frame, chosen ids).
 
     Each step is one job: it extends the cached per-point minimum distance by
     the newest centre and takes the race winner (TakeOrdered 1).  The state's
@@ -238,7 +241,7 @@ def kmeanspp(
             nxt = nxt.persist()
         weight = F.pow(F.col("_min_dist"), F.lit(float(power))) if power != 1.0 else F.col("_min_dist")
         key = race_key(seed, weight, F.lit(TAG_SEED), F.lit(step), F.col(id_col))
-        pick = nxt.orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
+        pick = nxt.where(~F.col(id_col).isin(chosen_ids)).orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
         if cached is not None:
             cached.unpersist()
         cached = nxt if step % cut_every else None

@@ -5,7 +5,7 @@ one-row table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,35 +21,30 @@ def contingency(df: DataFrame, a: str, b: str, marginals: bool = True) -> DataFr
 def entropy(df: DataFrame, col: str) -> DataFrame:
     """One row, -sum p log2 p over the values of ``col``."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("c"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("c")).scalar()
     p = F.col("c") / total
     return counts.agg(F.coalesce(-F.sum(p * F.log2(p)), F.lit(0.0)).alias("entropy"))
 
 
 def nmi(df: DataFrame, label_col: str, cluster_col: str) -> DataFrame:
     """One row, normalised mutual information MI / ((H_C + H_L) / 2);
-    NULL when both entropies are 0 (one label and one cluster)."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    joint = df.groupBy(label_col, cluster_col).agg(F.count(F.lit(1)).alias("c_lc"))
-    by_l = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("c_l"))
-    by_c = df.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("c_c"))
-    h_l = by_l.agg(-F.sum((F.col("c_l") / total) * F.log2(F.col("c_l") / total))).scalar()
-    h_c = by_c.agg(-F.sum((F.col("c_c") / total) * F.log2(F.col("c_c") / total))).scalar()
-    p_lc = F.col("c_lc") / total
-    mi_term = p_lc * F.log2(p_lc / ((F.col("c_l") / total) * (F.col("c_c") / total)))
-    mi = joint.join(by_l, label_col).join(by_c, cluster_col).agg(F.sum(mi_term).alias("mi"))
-    denom = (h_c + h_l) / F.lit(2.0)
-    return mi.select(
-        "mi",
-        h_l.alias("h_label"),
-        h_c.alias("h_cluster"),
-        F.when(denom > 0, F.col("mi") / denom).alias("nmi"),
+    NULL when both entropies are 0 (one label and one cluster).
+
+    Everything comes from the joint counts (one row per label and cluster), so
+    the input is read once; a null label or cluster is a value like any other."""
+    joint = df.groupBy(F.col(label_col).alias("l"), F.col(cluster_col).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    share = lambda *by: F.sum("n").over(Window.partitionBy(*by)) / F.sum("n").over(Window.partitionBy())
+    p = joint.select((F.col("n") / F.sum("n").over(Window.partitionBy())).alias("p"), share("l").alias("p_l"), share("c").alias("p_c"))
+    sums = p.agg(
+        F.sum(F.col("p") * F.log2(F.col("p") / (F.col("p_l") * F.col("p_c")))).alias("mi"),
+        (-F.sum(F.col("p") * F.log2("p_l"))).alias("h_label"),
+        (-F.sum(F.col("p") * F.log2("p_c"))).alias("h_cluster"),
     )
+    denom = (F.col("h_cluster") + F.col("h_label")) / F.lit(2.0)
+    return sums.select("mi", "h_label", "h_cluster", F.when(denom > 0, F.col("mi") / denom).alias("nmi"))
 
 
 def frequency_table(df: DataFrame, col: str) -> DataFrame:
     """(value, n, share) with share = n / total."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")).select(
-        "value", "n", (F.col("n") / total).alias("share")
-    )
+    counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("value", "n", (F.col("n") / counts.agg(F.sum("n")).scalar()).alias("share"))

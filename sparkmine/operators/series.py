@@ -21,9 +21,9 @@ def ordinal_gap(df: DataFrame, grp: str, value: str, n="mid", tiebreak: str | No
     order = [value] + ([tiebreak] if tiebreak else [])
     ranked = with_group_rank(df.select(grp, *order), order, [grp], "_rank")
     if n == "mid":
-        sizes = df.groupBy(grp).agg(F.count(F.lit(1)).alias("_size"))
+        sizes = df.groupBy(F.col(grp).alias("_own")).agg(F.count(F.lit(1)).alias("_size"))
         n_groups = sizes.count()
-        ranked = ranked.join(maybe_broadcast(sizes, n_groups, 48), grp)
+        ranked = ranked.join(maybe_broadcast(sizes, n_groups, 48), F.col(grp).eqNullSafe(F.col("_own"))).drop("_own")
         target = F.floor(F.col("_size") / 2)
     else:
         target = F.lit(int(n))

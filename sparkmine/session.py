@@ -67,15 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and
     read it back: one job, columnar and compressed, no lineage to the inputs,
-    and it survives executor loss.  (Set SPARKMINE_CUT=checkpoint for
-    Dataset.checkpoint instead.)"""
+    and it survives executor loss."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
-    if os.environ.get("SPARKMINE_CUT") == "checkpoint":
-        cached = df.persist()
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out
     path = f"{root.rstrip('/')}/sparkmine-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

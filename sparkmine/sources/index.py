@@ -60,11 +60,14 @@ def with_group_rank_counted(
     blocks = blocks.withColumn(
         "_offset",
         F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_pid", *group_cols, "_offset", "_first")
+    ).select(F.col("_pid").alias("_block"), *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)), "_offset", "_first")
     n_blocks = blocks.count()
-    joined = tagged.join(maybe_broadcast(blocks, n_blocks, 64 + 32 * len(group_cols)), ["_pid", *group_cols])
+    same = F.col("_pid") == F.col("_block")
+    for i, c in enumerate(group_cols):  # a null group is a group
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = tagged.join(maybe_broadcast(blocks, n_blocks, 64 + 32 * len(group_cols)), same)
     out = joined.withColumn(rank_col, (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("long")).drop(
-        "_mid", "_pid", "_pos", "_offset", "_first"
+        "_mid", "_pid", "_pos", "_offset", "_first", "_block", *(f"_g{i}" for i in range(len(group_cols)))
     )
     return out, int(m["n"])
 
