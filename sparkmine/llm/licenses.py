@@ -173,8 +173,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     names = [f"w{c}" for c in range(len(model.classes))]
     bigrams = F.broadcast(model.weights.where(~F.col("tri")).selectExpr("key AS two", *one))
     key = ["doc_id", "version", "line", "n"]
-    # few positions are left after this join
-    hits = each.select(*key, F.col("p.two").alias("two"), F.col("p.three").alias("three")).join(bigrams, "two")
+    # few positions are left after this join; they are written, so the words are gone over once
+    hits = cut_lineage(each.select(*key, F.col("p.two").alias("two"), F.col("p.three").alias("three")).join(bigrams, "two"))
     trigrams = F.broadcast(model.weights.where(F.col("tri")).selectExpr("key AS three", *one))
     found = hits.select(*key, F.col("two").alias("g"), *names).unionByName(hits.select(*key, "three").join(trigrams, "three").select(*key, F.col("three").alias("g"), *names))
     scores = found.groupBy(*key, "g").agg(*(F.first(c).alias(c) for c in names)).groupBy(*key).agg(*((F.sum(c) + F.lit(b)).alias(c) for c, b in zip(names, model.intercepts)))
