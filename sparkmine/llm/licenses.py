@@ -10,10 +10,13 @@ trigrams (lower case, without punctuation) that occur in the licence templates.
 2. *Calibration.* On rows kept out of the fit, a one-variable logistic regression
    of "names a family" on the margin between the best family and ``none`` gives a
    probability; below one half the paragraph is ``unknown``.
-3. *Scan.* One row per word position carries two 64-bit hashes (bigram, trigram);
-   a broadcast join with the model's bigrams (bounded by the templates) leaves the
-   few that matter, and paragraphs without any are ``none``: their score is the
-   intercept, where ``none`` is highest.  Scores are sums per paragraph.
+3. *Scan.* A *cue* is a template word of three letters or more that few paragraphs
+   of the sample have.  A paragraph in which no cue occurs, also not inside a
+   longer word, is ``none`` by definition and is not cut into words.  In the
+   others, one row per word position carries two 64-bit hashes (bigram, trigram); a
+   broadcast join with the model's bigrams (bounded by the templates) leaves the few
+   that matter; without any, the score is the intercept, where ``none`` is highest.
+   Scores are sums per paragraph.
 4. *Confirmation.* A family is confirmed if the paragraph's trigrams cover at
    least half of one of its templates, or half of the paragraph lies in one.
    Unconfirmed ones count as ``unknown``.
@@ -25,6 +28,9 @@ that share a doc_id are told apart by their text.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -92,11 +98,18 @@ NONE, UNKNOWN = "none", "unknown"
 #: Corpus paragraphs taken as negative rows (the first of a hash order).
 NEGATIVES = 1500
 COVER = 0.5
+#: A template word of three letters or more is a cue if at most this share of the sampled paragraphs has it.
+CUE_SHARE = 0.01
+
+
+def _words(text: Column) -> Column:
+    """Lower-case words without ASCII punctuation."""
+    return F.array_remove(F.split(F.lower(F.regexp_replace(text, r"[\p{Punct}]", " ")), SPACES), "")
 
 
 def _grams(text: Column) -> Column:
-    """Lower-case words without ASCII punctuation; bigrams and trigrams as one array of strings."""
-    w = F.array_remove(F.split(F.lower(F.regexp_replace(text, r"[\p{Punct}]", " ")), SPACES), "")
+    """Bigrams and trigrams of a text's words as one array of strings."""
+    w = _words(text)
     two = F.zip_with(w, F.slice(w, 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
     three = F.zip_with(two, F.slice(w, 3, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
     # zip_with pads the shorter side with nulls, which concat carries on
@@ -110,23 +123,48 @@ def _word_runs(text: str) -> list[str]:
     return [" ".join(w[i : i + n]) for n in range(least, len(w) + 1) for i in range(len(w) - n + 1)] or [text]
 
 
-def _examples(spark: SparkSession, paragraphs: DataFrame, negatives: int) -> DataFrame:
-    """(text, family) rows: template runs, fixed other texts, a bounded sample."""
+def _template_words() -> list[set[str]]:
+    """The words of each template, as ``_words`` cuts them."""
+    return [set("".join(c if c.isalnum() else " " for c in t.lower()).split()) for texts in TEMPLATES.values() for t in texts]
+
+
+def _cues(sample: DataFrame) -> list[str]:
+    """Template words that few paragraphs of the sample have; a template without
+    any gives all its words."""
+    every = sorted(set().union(*_template_words()))
+    has = F.broadcast(sample.sparkSession.createDataFrame([(w,) for w in every], "word string"))
+    n = sample.count()
+    found = sample.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).join(has, "word").groupBy("word").count()
+    common = {r["word"] for r in found.where(F.col("count") > CUE_SHARE * n).collect()}  # bounded by the templates
+    cues = {w for w in every if len(w) > 2 and w not in common}
+    for own in _template_words():
+        if not own & cues:
+            cues |= {w for w in own if len(w) > 2}
+    return sorted(cues)
+
+
+def _has_cue(text: Column, cues: list[str]) -> Column:
+    """True if a cue occurs in the lower-cased text (also inside a longer word)."""
+    # as a lambda's variable the lower-cased text is made once, not once per cue
+    return F.exists(F.array(F.lower(F.coalesce(text, F.lit("")))), lambda low: reduce(or_, (F.contains(low, F.lit(c)) for c in cues)))
+
+
+def _examples(spark: SparkSession, sample: DataFrame) -> DataFrame:
+    """(text, family) rows: template runs, fixed other texts, the corpus sample."""
     rows = [(run, family) for family, texts in TEMPLATES.items() for t in texts for run in _word_runs(t)[-60:]]
     rows += [(run, NONE) for t in OTHER_TEXTS for run in _word_runs(t)[-10:]]
     fixed = spark.createDataFrame(rows, "text string, family string")
     templates = spark.createDataFrame([(t,) for texts in TEMPLATES.values() for t in texts], "text string")
     known = F.broadcast(templates.select(F.explode(_grams(F.col("text"))).alias("g")).where(F.size(F.split("g", " ")) == 3).distinct())
-    sample = cut_lineage(paragraphs.where(F.length("text") > 20).orderBy(F.xxhash64("text"), "text").limit(negatives))
     clash = sample.select("text", F.explode(_grams(F.col("text"))).alias("g")).join(known, "g").select("text").distinct()
     return fixed.unionByName(sample.join(F.broadcast(clash), "text", "left_anti").select("text", F.lit(NONE).alias("family")))
 
 
 class Model:
-    """Weights per n-gram hash and class as a small table, intercepts, calibration."""
+    """Cues, weights per n-gram hash and class as a small table, intercepts, calibration."""
 
-    def __init__(self, classes, intercepts, weights, slope, offset):
-        self.classes, self.intercepts, self.weights, self.slope, self.offset = classes, intercepts, weights, slope, offset
+    def __init__(self, cues, classes, intercepts, weights, slope, offset):
+        self.cues, self.classes, self.intercepts, self.weights, self.slope, self.offset = cues, classes, intercepts, weights, slope, offset
 
 
 def _key(gram: Column) -> Column:
@@ -135,7 +173,10 @@ def _key(gram: Column) -> Column:
 
 def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES) -> Model:
     """Fit and calibrate; ``paragraphs`` has a column ``text``."""
-    rows = cut_lineage(_examples(spark, paragraphs, negatives).withColumn("grams", _grams(F.col("text"))))
+    sample = cut_lineage(paragraphs.where(F.length("text") > 20).orderBy(F.xxhash64("text"), "text").limit(negatives))
+    cues = _cues(sample)
+    # a few thousand rows at most: few partitions keep the solver's rounds short
+    rows = cut_lineage(_examples(spark, sample).withColumn("grams", _grams(F.col("text"))).coalesce(4))
     classes = [NONE, *TEMPLATES]
     index = F.array_position(F.array(*map(F.lit, classes)), F.col("family")).cast("double") - 1
     vocabulary = sorted(r["g"] for r in rows.where(F.col("family") != NONE).select(F.explode("grams").alias("g")).distinct().collect())  # bounded by the templates
@@ -151,7 +192,7 @@ def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES
     matrix = fitted.coefficientMatrix.toArray()
     table = [(g, [float(matrix[c][j]) for c in range(len(classes))]) for j, g in enumerate(vocabulary)]
     weights = spark.createDataFrame(table, "gram string, w array<double>").select(_key(F.col("gram")).alias("key"), (F.size(F.split("gram", " ")) == 3).alias("tri"), "w")
-    return Model(classes, [float(x) for x in fitted.interceptVector], weights, float(platt.coefficients[0]), float(platt.intercept))
+    return Model(cues, classes, [float(x) for x in fitted.interceptVector], weights, float(platt.coefficients[0]), float(platt.intercept))
 
 
 def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,8 +205,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(doc_id, version, line, family, probability, cover): every paragraph that
     names a family or, as ``unknown``, something close to one."""
     spark = docs.sparkSession
-    words = F.array_remove(F.split(F.lower(F.regexp_replace("text", r"[\p{Punct}]", " ")), SPACES), "")
-    lines = paragraphs_of(docs, id_col, text_col).select("doc_id", "version", "line", words.alias("w"))
+    near = paragraphs_of(docs.where(_has_cue(F.col(text_col), model.cues)), id_col, text_col).where(_has_cue(F.col("text"), model.cues))
+    lines = near.select("doc_id", "version", "line", _words(F.col("text")).alias("w"))
     two = F.zip_with("w", F.slice("w", 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
     pairs = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.struct(_key(a).alias("two"), F.when(a.isNotNull() & b.isNotNull(), _key(F.concat(a, F.lit(" "), b))).alias("three"), a.isNotNull().alias("ok")))
     each = lines.select("doc_id", "version", "line", F.size("w").alias("n"), F.explode(pairs).alias("p")).where("p.ok")
