@@ -49,6 +49,8 @@ SHINGLE = 5
 MAX_BUCKET = 2_000_000
 #: Words of the verification sketch (64 bits each).
 SKETCH = 32
+#: log2 of the bits of the candidates' bitmap.
+MARK_BITS = 25
 
 
 def _bands(limit: int) -> list[tuple[int, int, int]]:
@@ -216,12 +218,26 @@ def _may_link(x: str, y: str, threshold: int) -> Column:
     return (F.lit(100) * F.least(nx, ny) >= F.lit(threshold) * F.greatest(nx, ny)) & (F.lit(100 + threshold) * apart <= F.lit(100 - threshold) * (nx + ny))
 
 
+def _marked(src: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``src`` whose doc_id may be in ``ids``, by a broadcast bitmap of
+    2**MARK_BITS bits (4 MB, whatever the number of ids); others may stay, none is lost."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+    bits = ids.select(slot.alias("slot")).select(F.shiftright("slot", 15).alias("page"), F.col("slot").bitwiseAND(32767).alias("at")).groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits"))
+    own = src.withColumn("slot", slot).withColumn("page", F.shiftright("slot", 15)).join(F.broadcast(bits), "page")
+    at = F.col("slot").bitwiseAND(32767).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return own.where(F.call_function("getbit", byte, at.bitwiseAND(7)) == 1).select(*src.columns)
+
+
 def _verified(pairs: DataFrame, marks: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
     """The pairs (a, b) that link; first by sketches, then by their texts."""
     near = (
         pairs.join(marks.alias("x"), F.col("a") == F.col("x.doc_id")).join(marks.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
     )
-    texts = cut_lineage(near).join(src.select(F.col("doc_id").alias("a"), F.col("text").alias("p")), "a").join(src.select(F.col("doc_id").alias("b"), F.col("text").alias("q")), "b")
+    near = cut_lineage(near)
+    # only texts of candidates are shuffled
+    held = cut_lineage(_marked(src, near.select(F.col("a").alias("doc_id")).union(near.select("b"))))
+    texts = near.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("p")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("q")), "b")
     return texts.select("a", "b", "p", "q").mapInArrow(_exact(k, threshold), "a long, b long").distinct()
 
 
