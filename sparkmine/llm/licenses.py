@@ -175,14 +175,14 @@ def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES
     """Fit and calibrate; ``paragraphs`` has a column ``text``."""
     sample = cut_lineage(paragraphs.where(F.length("text") > 20).orderBy(F.xxhash64("text"), "text").limit(negatives))
     cues = _cues(sample)
-    # a few thousand rows at most: few partitions keep the solver's rounds short
-    rows = cut_lineage(_examples(spark, sample).withColumn("grams", _grams(F.col("text"))).coalesce(4))
+    # a few thousand short rows (templates and ``negatives``): one partition keeps the solver's rounds short
+    rows = cut_lineage(_examples(spark, sample).withColumn("grams", _grams(F.col("text"))).coalesce(1))
     classes = [NONE, *TEMPLATES]
     index = F.array_position(F.array(*map(F.lit, classes)), F.col("family")).cast("double") - 1
     vocabulary = sorted(r["g"] for r in rows.where(F.col("family") != NONE).select(F.explode("grams").alias("g")).distinct().collect())  # bounded by the templates
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True).transform(rows.withColumn("label", index))
     fold = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(5)) == 0
-    lr = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=120, standardization=False)
+    lr = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=40, standardization=False)
     fitted = lr.fit(vectors.where(~fold))
     scored = fitted.transform(vectors.where(fold)).select("label", "rawPrediction")
     raw = vector_to_array("rawPrediction")
