@@ -229,11 +229,13 @@ def _marked(src: DataFrame, ids: DataFrame) -> DataFrame:
     return own.where(F.call_function("getbit", byte, at.bitwiseAND(7)) == 1).select(*src.columns)
 
 
-def _verified(pairs: DataFrame, marks: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link; first by sketches, then by their texts."""
-    near = (
-        pairs.join(marks.alias("x"), F.col("a") == F.col("x.doc_id")).join(marks.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
-    )
+def _near(pairs: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) that pass the size and sketch tests."""
+    return pairs.join(marks.alias("x"), F.col("a") == F.col("x.doc_id")).join(marks.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
+
+
+def _verified(near: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose texts link; ``near`` has passed the sketch test."""
     near = cut_lineage(near)
     # only texts of candidates are shuffled
     held = cut_lineage(_marked(src, near.select(F.col("a").alias("doc_id")).union(near.select("b"))))
@@ -258,7 +260,7 @@ def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", t
     packed = src.mapInArrow(_emit(k, buckets), "bucket long, docs binary, set_keys binary, counts binary, sigs binary")
     shared = cut_lineage(packed.groupBy("bucket").applyInPandas(_stars, _SHARED))
     marks = profile.where("n > 0").drop("k1", "k2")
-    links = cut_lineage(_verified(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), marks, src, k, threshold))
+    links = cut_lineage(_verified(_near(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), marks, threshold), src, k, threshold))
     part = connected_components(links)
     labelled = (
         shared.join(part, F.col("doc_id") == F.col("node"), "left")
@@ -274,7 +276,7 @@ def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", t
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
-    return links.unionByName(_verified(more, marks, src, k, threshold)).distinct()
+    return links.unionByName(_verified(more, src, k, threshold)).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
