@@ -132,13 +132,15 @@ def prune_infrequent(tx: DataFrame, l1: DataFrame, group_cols=(), drop_empty: bo
             .drop("_keep")
         )
     else:
-        long = tx.select("txn_id", *g, F.explode(_norm_items()).alias("item"))
-        kept = long.join(l1.select(*g, "item"), [*g, "item"], "left_semi")
-        out = kept.groupBy("txn_id", *g).agg(F.sort_array(F.collect_list("item")).alias("items"))
-        if not drop_empty:
-            out = tx.select("txn_id", *g).join(out, ["txn_id", *g], "left").withColumn(
-                "items", F.coalesce("items", F.array().cast(tx.schema["items"].dataType))
-            )
+        # keyed by a row id: repeated txn_ids stay apart and every column stays
+        rows = cut_lineage(tx.withColumn("_rid", F.monotonically_increasing_id()))
+        long = rows.select("_rid", *g, F.explode(_norm_items()).alias("item"))
+        kept = long.join(l1.select(*g, "item"), [*g, "item"], "left_semi").groupBy("_rid").agg(F.sort_array(F.collect_list("item")).alias("_keep"))
+        out = (
+            rows.join(kept, "_rid", "left")
+            .withColumn("items", F.coalesce("_keep", F.array().cast(tx.schema["items"].dataType)))
+            .select(*tx.columns)
+        )
     if drop_empty:
         out = out.where(F.size("items") > 0)
     return out
@@ -230,9 +232,10 @@ def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int, dictionary:
         ext = l1.groupBy(*g).agg(F.sort_array(F.collect_list(F.element_at("items", 1))).alias("ext"))
         pruned = base.join(maybe_broadcast(ext, n_l1, _ITEM_BYTES), g).select(*g, F.array_intersect("items", "ext").alias("r"))
     else:
-        long = base.select("txn_id", F.explode("items").alias("item"))
+        # a row id, not txn_id: transactions that share an id stay apart
+        long = base.select(F.monotonically_increasing_id().alias("_rid"), "items").select("_rid", F.explode("items").alias("item"))
         kept = long.join(l1.select(F.element_at("items", 1).alias("item")), ["item"], "left_semi")
-        pruned = kept.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("r")).select(*g, "r")
+        pruned = kept.groupBy("_rid").agg(F.sort_array(F.collect_list("item")).alias("r")).select(*g, "r")
     if dictionary is not None:
         pruned = pruned.select(*g, _encode(F.col("r"), dictionary, item_type).alias("r"))
     return (

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.columns import TWO_POW_52, seeded_hash, seeded_uniform
-from sparkmine.session import LITERAL_LIMIT, maybe_broadcast
+from sparkmine.session import LITERAL_LIMIT, cut_lineage, maybe_broadcast
 from sparkmine.sources.index import with_dense_index, with_group_rank_counted
 
 # Tags separating the random streams of the modifiers.
@@ -31,7 +31,8 @@ def _draw_from_pool(tx: DataFrame, need: str, pool, n_pool: int, seed, tag: str,
 
     ``pool`` is either a driver list (at most LITERAL_LIMIT items, shipped as
     one literal array: no shuffle) or a DataFrame (idx, item) with idx
-    0..n_pool-1, joined on idx with the draws regrouped by transaction."""
+    0..n_pool-1, joined on idx with the draws regrouped by ``_rid``, the row id
+    that ``tx`` then carries (repeated txn_ids stay apart)."""
     type_str = item_type.simpleString()
     empty = F.array().cast(f"array<{type_str}>")
     if isinstance(pool, list):
@@ -43,13 +44,18 @@ def _draw_from_pool(tx: DataFrame, need: str, pool, n_pool: int, seed, tag: str,
         return tx.withColumn("drawn", F.when(F.col(need) > 0, drawn).otherwise(empty))
     slots = (
         tx.where(F.col(need) > 0)
-        .select("txn_id", F.explode(F.sequence(F.lit(1), F.col(need))).alias("slot"))
+        .select("_rid", "txn_id", F.explode(F.sequence(F.lit(1), F.col(need))).alias("slot"))
         .withColumn("idx", F.floor(seeded_uniform(seed, F.lit(tag), F.col("txn_id"), F.col("slot")) * n_pool).cast("long"))
     )
-    picked = slots.join(maybe_broadcast(pool, n_pool, 64), "idx").groupBy("txn_id").agg(
+    picked = slots.join(maybe_broadcast(pool, n_pool, 64), "idx").groupBy("_rid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("slot", "item"))), lambda st: st["item"]).alias("drawn")
     )
-    return tx.join(picked, "txn_id", "left").withColumn("drawn", F.coalesce("drawn", empty))
+    return tx.join(picked, "_rid", "left").withColumn("drawn", F.coalesce("drawn", empty))
+
+
+def _with_row_id(tx: DataFrame) -> DataFrame:
+    """``tx`` as a written table with a row id ``_rid``."""
+    return cut_lineage(tx.withColumn("_rid", F.monotonically_increasing_id()))
 
 
 def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = False) -> DataFrame:
@@ -67,10 +73,11 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
     else:
         pool = with_dense_index(counts, [F.desc("n"), F.asc("item")], "idx").where(F.col("idx") < n_items).select("idx", "item")
         n_pool = pool.count()
-        kept_long = tx.select("txn_id", F.explode("items").alias("item")).join(pool.select("item"), "item", "left_semi")
-        staged = tx.join(
-            kept_long.groupBy("txn_id").agg(F.sort_array(F.collect_list("item")).alias("_kept")), "txn_id", "left"
-        ).withColumn("_kept", F.coalesce("_kept", F.array().cast(tx.schema["items"].dataType)))
+        rows = _with_row_id(tx)
+        # distinct items in input order, as array_intersect leaves them
+        kept_long = rows.select("_rid", F.posexplode(F.array_distinct("items")).alias("pos", "item")).join(pool.select("item"), "item", "left_semi")
+        kept = kept_long.groupBy("_rid").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda p: p["item"]).alias("_kept"))
+        staged = rows.join(kept, "_rid", "left").withColumn("_kept", F.coalesce("_kept", F.array().cast(tx.schema["items"].dataType)))
     if n_pool == 0:
         return tx.withColumn("items", F.array().cast(tx.schema["items"].dataType))
     staged = staged.withColumn("_need", F.size("items") - F.size("_kept"))
@@ -78,7 +85,7 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
     items = F.concat("_kept", "drawn")
     if as_set:
         items = F.sort_array(F.array_distinct(items))
-    return drawn.withColumn("items", items).drop("_kept", "_need", "drawn")
+    return drawn.withColumn("items", items).select(*tx.columns)
 
 
 def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame:
@@ -91,12 +98,12 @@ def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame
     if n_pool == 0:
         return tx
     if n_pool <= LITERAL_LIMIT:
-        pool = [r["item"] for r in distinct.orderBy("item").collect()]
+        pool, rows = [r["item"] for r in distinct.orderBy("item").collect()], tx
     else:
-        pool = with_dense_index(distinct, ["item"], "idx").select("idx", "item")
-    staged = tx.withColumn("_need", F.greatest(F.lit(target_len) - F.size("items"), F.lit(0)))
+        pool, rows = with_dense_index(distinct, ["item"], "idx").select("idx", "item"), _with_row_id(tx)
+    staged = rows.withColumn("_need", F.greatest(F.lit(target_len) - F.size("items"), F.lit(0)))
     drawn = _draw_from_pool(staged, "_need", pool, n_pool, seed, TAG_PAD, item_type)
-    return drawn.withColumn("items", F.sort_array(F.array_distinct(F.concat("items", "drawn")))).drop("_need", "drawn")
+    return drawn.withColumn("items", F.sort_array(F.array_distinct(F.concat("items", "drawn")))).select(*tx.columns)
 
 
 def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",), dense_ids: bool = False) -> DataFrame:
