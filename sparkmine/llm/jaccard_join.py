@@ -19,8 +19,9 @@ symmetric difference, which for linked sets is at most (|A| + |B|) / 9.
    size.  Sets that agree in a signature and in their whole-set hash are one
    class, represented by its smallest doc_id.  Each signature shared by several
    classes gives a star around its smallest one.
-4. *Verify.* Star pairs pass a size and 2,048-bit sketch test and then an exact
-   comparison of the sets.  Connected components contract what they link.
+4. *Verify.* Star pairs pass a size and 2,048-bit sketch test, long sets also the
+   test of a sketch as wide as the set, and then an exact comparison of the sets.
+   Connected components contract what they link.
 5. *Rest.* Within a shared signature, classes that are not yet connected are
    compared with each other: the pair must lie in different components and pass
    the sketch test before it is formed, and is verified exactly.  So every pair
@@ -49,6 +50,8 @@ SHINGLE = 5
 MAX_BUCKET = 2_000_000
 #: Words of the verification sketch (64 bits each).
 SKETCH = 32
+#: Sets with more elements than that sketch has bits get a wider one as well.
+LONG = 64 * SKETCH
 #: log2 of the bits of the candidates' bitmap.
 MARK_BITS = 25
 
@@ -97,6 +100,23 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.uint64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes | None:
+    """Parity sketch of a long set, of the least power of two of bits that is not
+    below its size (an eighth to a quarter of a byte per element)."""
+    n = len(shingles)
+    if n <= LONG:
+        return None
+    bits = 1 << (n - 1).bit_length()
+    bit = (K.mix(shingles, 8) & K.U64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two wide sketches; the wider one is folded."""
+    x, y = sorted((np.frombuffer(v, np.uint64) for v in (x, y)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def _set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(K.mix(shingles, 1).sum(dtype=np.uint64).view(np.int64)), int(K.mix(shingles, 2).sum(dtype=np.uint64).view(np.int64))
 
@@ -104,16 +124,17 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
 def _profile(k: int):
     def run(batches):
         for batch in batches:
-            n, key, marks = [], [], []
+            n, key, marks, wide = [], [], [], []
             for chunk in K.chunks(batch.column(1)):
                 for s in K.shingle_sets(chunk, k):
                     n.append(len(s))
                     key.append(_set_key(s))
                     marks.append(sketch(s))
+                    wide.append(wide_sketch(s))
             key = np.array(key, dtype=np.int64).reshape(-1, 2)
             marks = np.array(marks, dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
             columns = [*key.T, *marks.T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in columns)], _PROFILE_NAMES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in columns), pa.array(wide, pa.binary())], [*_PROFILE_NAMES, "wide"])
 
     return run
 
@@ -162,7 +183,8 @@ _SHARED = "grp long, pivot long, doc_id long"
 
 def _stars(rows: pd.DataFrame) -> pd.DataFrame:
     """Signatures of one bucket that several classes share, as stars around the
-    smallest class; of signatures shared by the same classes one is kept."""
+    smallest class; of signatures shared by the same classes one is kept.  ``grp``
+    is a hash of these classes, so that other buckets' copies can go as well."""
     docs, keys = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("docs", "set_keys"))
     counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"]])
     low = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["sigs"]]).reshape(-1, 6)
@@ -189,7 +211,7 @@ def _stars(rows: pd.DataFrame) -> pd.DataFrame:
     keep &= size > 1
     sel, pivot = np.repeat(keep, size), np.repeat(pivot, size)
     sel &= doc != pivot
-    grp = sig | (int(rows["bucket"].iloc[0]) << 48 & 0x7FFF000000000000) if len(sig) else sig
+    grp = np.repeat(members, size).view(np.int64)
     return pd.DataFrame({"grp": grp[sel], "pivot": pivot[sel], "doc_id": doc[sel]})
 
 
@@ -218,6 +240,18 @@ def _may_link(x: str, y: str, threshold: int) -> Column:
     return (F.lit(100) * F.least(nx, ny) >= F.lit(threshold) * F.greatest(nx, ny)) & (F.lit(100 + threshold) * apart <= F.lit(100 - threshold) * (nx + ny))
 
 
+def _wide_test(threshold: int):
+    """Leave out pairs of long sets whose wide sketches are too far apart to link."""
+
+    def run(batches):
+        for batch in batches:
+            nx, x, ny, y = (batch.column(j).to_pylist() for j in range(2, 6))
+            keep = [u is None or v is None or (100 + threshold) * wide_distance(u, v) <= (100 - threshold) * (m + n) for m, u, n, v in zip(nx, x, ny, y)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _marked(src: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``src`` whose doc_id may be in ``ids``, by a broadcast bitmap of
     2**MARK_BITS bits (4 MB, whatever the number of ids); others may stay, none is lost."""
@@ -234,9 +268,18 @@ def _near(pairs: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(marks.alias("x"), F.col("a") == F.col("x.doc_id")).join(marks.alias("y"), F.col("b") == F.col("y.doc_id")).where(_may_link("x", "y", threshold)).select("a", "b").distinct()
 
 
-def _verified(near: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
+def _long(profile: DataFrame) -> DataFrame:
+    """Wide sketches by doc_id; an id with several rows has several sets and gets none."""
+    repeated = profile.groupBy("doc_id").count().where("count > 1")
+    return profile.where(F.col("wide").isNotNull()).join(repeated, "doc_id", "left_anti").select("doc_id", "n", "wide")
+
+
+def _verified(near: DataFrame, long: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose texts link; ``near`` has passed the sketch test."""
     near = cut_lineage(near)
+    x, y = (long.select(F.col("doc_id").alias(own), F.col("n").alias(f"n{own}"), F.col("wide").alias(f"wide_{own}")) for own in ("a", "b"))
+    tested = near.join(x, "a", "left").join(y, "b", "left").select("a", "b", "na", "wide_a", "nb", "wide_b")
+    near = cut_lineage(tested.mapInArrow(_wide_test(threshold), "a long, b long").distinct())
     # only texts of candidates are shuffled
     held = cut_lineage(_marked(src, near.select(F.col("a").alias("doc_id")).union(near.select("b"))))
     texts = near.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("p")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("q")), "b")
@@ -244,9 +287,10 @@ def _verified(near: DataFrame, src: DataFrame, k: int, threshold: int) -> DataFr
 
 
 def shingle_profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """Per document (written table): doc_id, set size n, two set keys, sketch."""
+    """Per document (written table): doc_id, set size n, two set keys, sketch,
+    wide sketch (null unless the set is long)."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return cut_lineage(src.mapInArrow(_profile(k), ", ".join(f"{c} long" for c in _PROFILE_NAMES)))
+    return cut_lineage(src.mapInArrow(_profile(k), ", ".join(f"{c} long" for c in _PROFILE_NAMES) + ", wide binary"))
 
 
 def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -258,9 +302,10 @@ def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", t
     # 0.6 signatures a word are expected at 6 bytes a word
     buckets = 1 + text_bytes(src) // 10 // max_bucket
     packed = src.mapInArrow(_emit(k, buckets), "bucket long, docs binary, set_keys binary, counts binary, sigs binary")
-    shared = cut_lineage(packed.groupBy("bucket").applyInPandas(_stars, _SHARED))
-    marks = profile.where("n > 0").drop("k1", "k2")
-    links = cut_lineage(_verified(_near(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), marks, threshold), src, k, threshold))
+    shared = cut_lineage(packed.groupBy("bucket").applyInPandas(_stars, _SHARED).distinct())
+    long = _long(profile)
+    marks = profile.where("n > 0").drop("k1", "k2", "wide")
+    links = cut_lineage(_verified(_near(shared.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), marks, threshold), long, src, k, threshold))
     part = connected_components(links)
     labelled = (
         shared.join(part, F.col("doc_id") == F.col("node"), "left")
@@ -276,7 +321,7 @@ def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", t
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
-    return links.unionByName(_verified(more, src, k, threshold)).distinct()
+    return links.unionByName(_verified(more, long, src, k, threshold)).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bucket: int = MAX_BUCKET) -> DataFrame:

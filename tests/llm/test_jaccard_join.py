@@ -78,6 +78,39 @@ def test_signatures_never_miss_a_linked_pair():
             assert apart <= len(a) + len(b) - 2 * same <= (len(a) + len(b)) / 9
 
 
+def test_wide_sketches_bound_the_difference():
+    r = np.random.default_rng(6)
+    assert J.wide_sketch(np.arange(J.LONG, dtype=np.uint64)) is None
+    for _ in range(40):
+        a = np.unique(r.integers(0, 2**63, int(r.integers(J.LONG + 400, 20_000)), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[int(r.integers(0, 300)) :], r.integers(0, 2**63, int(r.integers(0, 1 + len(a))), dtype=np.uint64))))
+        differ = len(np.setxor1d(a, b))
+        assert J.wide_distance(J.wide_sketch(a), J.wide_sketch(b)) <= differ
+        other = np.unique(r.integers(0, 2**63, len(a), dtype=np.uint64))
+        assert 180 * J.wide_distance(J.wide_sketch(a), J.wide_sketch(other)) > 20 * (len(a) + len(other))
+
+
+def test_long_sets_equal_brute_force(spark):
+    r = random.Random(3)
+    vocab = [f"w{i}" for i in range(5000)]
+    rows, base = [], [r.choice(vocab) for _ in range(4500)]
+    for i in range(14):
+        w = list(base) if i % 2 else [r.choice(vocab) for _ in range(r.choice([2300, 4200, 6000]))] + base[:300]
+        for _ in range(r.choice([0, 20, 60, 95, 110, 140])):
+            w[r.randrange(len(w))] = r.choice(vocab)
+        rows.append((i, " ".join(w)))
+    # ids 20 and 21 have a long text and a short one each; the short ones link
+    rows += [(d, " ".join(r.choice(vocab) for _ in range(3000))) for d in (20, 21)]
+    df = spark.createDataFrame(rows + [(20, "a b c d e f g"), (21, "a b c d e f g h")] + [(20, "p q r s t u v w x y"), (21, "p q r s t u v w x z")], "doc_id long, text string")
+    found = {x["component_id"] for x in J.jaccard_components(df, max_bucket=2000).where("doc_id >= 20").collect()}
+    assert found == {20, 21}  # 7 of 10 and 5 of 7 shingles are no link
+    df = spark.createDataFrame(rows + [(d, "a b c d e f g h i" + " j" * (d - 20)) for d in (20, 21)], "doc_id long, text string")
+    assert {x["component_id"] for x in J.jaccard_components(df, max_bucket=2000).where("doc_id >= 20 AND n_shingles < 10").collect()} == {20}
+    rows = rows[:-2]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(x) for x in J.jaccard_components(df, max_bucket=2000).collect()), key=str) == brute(rows)
+
+
 def test_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n long")
     assert J.jaccard_components(df).count() == 0
