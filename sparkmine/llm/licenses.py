@@ -10,12 +10,11 @@ trigrams (lower case, without punctuation) that occur in the licence templates.
 2. *Calibration.* On rows kept out of the fit, a one-variable logistic regression
    of "names a family" on the margin between the best family and ``none`` gives a
    probability; below one half the paragraph is ``unknown``.
-3. *Scan.* A *cue* is a template word of three letters or more that few paragraphs
-   of the sample have.  A paragraph in which no cue occurs, also not inside a
-   longer word, is ``none`` by definition and is not cut into words.  In the
-   others, one row per word position carries two 64-bit hashes (bigram, trigram); a
-   broadcast join with the model's bigrams (bounded by the templates) leaves the few
-   that matter; without any, the score is the intercept, where ``none`` is highest.
+3. *Scan.* A paragraph that holds no template bigram has the intercept as its
+   score, where ``none`` is highest; one regular expression over all template bigrams
+   finds it exactly, before it is cut into words.  In the others, each position
+   with a template bigram carries two 64-bit hashes (bigram, trigram); a broadcast
+   join with the model's n-grams (bounded by the templates) gives their weights.
    Scores are sums per paragraph.
 4. *Confirmation.* A family is confirmed if the paragraph's trigrams cover at
    least half of one of its templates, or half of the paragraph lies in one.
@@ -28,9 +27,6 @@ that share a doc_id are told apart by their text.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -98,8 +94,8 @@ NONE, UNKNOWN = "none", "unknown"
 #: Corpus paragraphs taken as negative rows (the first of a hash order).
 NEGATIVES = 1500
 COVER = 0.5
-#: A template word of three letters or more is a cue if at most this share of the sampled paragraphs has it.
-CUE_SHARE = 0.01
+#: What separates the words of ``_words``: white space and ASCII punctuation.
+_BREAK = r"[\x20\x09-\x0D\p{Punct}]"
 
 
 def _words(text: Column) -> Column:
@@ -123,30 +119,21 @@ def _word_runs(text: str) -> list[str]:
     return [" ".join(w[i : i + n]) for n in range(least, len(w) + 1) for i in range(len(w) - n + 1)] or [text]
 
 
-def _template_words() -> list[set[str]]:
-    """The words of each template, as ``_words`` cuts them."""
-    return [set("".join(c if c.isalnum() else " " for c in t.lower()).split()) for texts in TEMPLATES.values() for t in texts]
-
-
-def _cues(sample: DataFrame) -> list[str]:
-    """Template words that few paragraphs of the sample have; a template without
-    any gives all its words."""
-    every = sorted(set().union(*_template_words()))
-    has = F.broadcast(sample.sparkSession.createDataFrame([(w,) for w in every], "word string"))
-    n = sample.count()
-    found = sample.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).join(has, "word").groupBy("word").count()
-    common = {r["word"] for r in found.where(F.col("count") > CUE_SHARE * n).collect()}  # bounded by the templates
-    cues = {w for w in every if len(w) > 2 and w not in common}
-    for own in _template_words():
-        if not own & cues:
-            cues |= {w for w in own if len(w) > 2}
-    return sorted(cues)
+def _prefix_tree(words: list[str]) -> str:
+    """A regular expression for any of the words, branching letter by letter."""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            by.setdefault(w[0], []).append(w[1:])
+    if not by:
+        return ""
+    branches = [f"\\x{{{ord(c):X}}}{_prefix_tree(rest)}" if c != " " else f"{_BREAK}+{_prefix_tree(rest)}" for c, rest in sorted(by.items())]
+    return f"(?:{'|'.join(branches)}){'?' if '' in words else ''}"
 
 
-def _has_cue(text: Column, cues: list[str]) -> Column:
-    """True if a cue occurs in the lower-cased text (also inside a longer word)."""
-    # as a lambda's variable the lower-cased text is made once, not once per cue
-    return F.exists(F.array(F.lower(F.coalesce(text, F.lit("")))), lambda low: reduce(or_, (F.contains(low, F.lit(c)) for c in cues)))
+def _has_bigram(text: Column, bigrams: list[str]) -> Column:
+    """True if two consecutive words of the text, as ``_words`` cuts them, are one of ``bigrams``."""
+    return F.lower(text).rlike(f"(?:\\A|{_BREAK}){_prefix_tree(sorted(set(bigrams)))}(?:{_BREAK}|\\z)")
 
 
 def _examples(spark: SparkSession, sample: DataFrame) -> DataFrame:
@@ -161,10 +148,10 @@ def _examples(spark: SparkSession, sample: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Cues, weights per n-gram hash and class as a small table, intercepts, calibration."""
+    """Template bigrams, weights per n-gram hash and class as a small table, intercepts, calibration."""
 
-    def __init__(self, cues, classes, intercepts, weights, slope, offset):
-        self.cues, self.classes, self.intercepts, self.weights, self.slope, self.offset = cues, classes, intercepts, weights, slope, offset
+    def __init__(self, bigrams, classes, intercepts, weights, slope, offset):
+        self.bigrams, self.classes, self.intercepts, self.weights, self.slope, self.offset = bigrams, classes, intercepts, weights, slope, offset
 
 
 def _key(gram: Column) -> Column:
@@ -174,7 +161,6 @@ def _key(gram: Column) -> Column:
 def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES) -> Model:
     """Fit and calibrate; ``paragraphs`` has a column ``text``."""
     sample = cut_lineage(paragraphs.where(F.length("text") > 20).orderBy(F.xxhash64("text"), "text").limit(negatives))
-    cues = _cues(sample)
     # a few thousand short rows (templates and ``negatives``): one partition keeps the solver's rounds short
     rows = cut_lineage(_examples(spark, sample).withColumn("grams", _grams(F.col("text"))).coalesce(1))
     classes = [NONE, *TEMPLATES]
@@ -192,7 +178,7 @@ def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES
     matrix = fitted.coefficientMatrix.toArray()
     table = [(g, [float(matrix[c][j]) for c in range(len(classes))]) for j, g in enumerate(vocabulary)]
     weights = spark.createDataFrame(table, "gram string, w array<double>").select(_key(F.col("gram")).alias("key"), (F.size(F.split("gram", " ")) == 3).alias("tri"), "w")
-    return Model(cues, classes, [float(x) for x in fitted.interceptVector], weights, float(platt.coefficients[0]), float(platt.intercept))
+    return Model([g for g in vocabulary if g.count(" ") == 1], classes, [float(x) for x in fitted.interceptVector], weights, float(platt.coefficients[0]), float(platt.intercept))
 
 
 def paragraphs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,11 +191,13 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(doc_id, version, line, family, probability, cover): every paragraph that
     names a family or, as ``unknown``, something close to one."""
     spark = docs.sparkSession
-    near = paragraphs_of(docs.where(_has_cue(F.col(text_col), model.cues)), id_col, text_col).where(_has_cue(F.col("text"), model.cues))
+    near = paragraphs_of(docs.where(_has_bigram(F.col(text_col), model.bigrams)), id_col, text_col).where(_has_bigram(F.col("text"), model.bigrams))
     lines = near.select("doc_id", "version", "line", _words(F.col("text")).alias("w"))
     two = F.zip_with("w", F.slice("w", 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
-    pairs = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.struct(_key(a).alias("two"), F.when(a.isNotNull() & b.isNotNull(), _key(F.concat(a, F.lit(" "), b))).alias("three"), a.isNotNull().alias("ok")))
-    each = lines.select("doc_id", "version", "line", F.size("w").alias("n"), F.explode(pairs).alias("p")).where("p.ok")
+    grams = F.zip_with(two, F.slice("w", 3, 1 << 30), lambda a, b: F.struct(a.alias("two"), F.concat(a, F.lit(" "), b).alias("three")))
+    known = F.filter(grams, lambda g: F.coalesce(g["two"].isin(model.bigrams), F.lit(False)))
+    pairs = F.transform(known, lambda g: F.struct(_key(g["two"]).alias("two"), F.when(g["three"].isNotNull(), _key(g["three"])).alias("three")))
+    each = lines.select("doc_id", "version", "line", F.size("w").alias("n"), F.explode(pairs).alias("p"))
     one = [f"w[{c}] AS w{c}" for c in range(len(model.classes))]
     names = [f"w{c}" for c in range(len(model.classes))]
     bigrams = F.broadcast(model.weights.where(~F.col("tri")).selectExpr("key AS two", *one))
