@@ -1,8 +1,12 @@
 """Operator 4: training-order materialisation as fixed-stride binary shards.
 
 Every text becomes sequences of ``LENGTH`` token ids (the last one padded with 0;
-a text without tokens has none).  The sequences are numbered in scan order with
-one count per input partition and a prefix scan over those counts.  A keyed Feistel
+a text without tokens has none).  With a tokenizer the ids are those of its
+byte-level BPE, and the records decode to the texts; without one they are hashed
+words, which no vocabulary decodes.  The texts are tokenised once, into a table in
+``spark.checkpoint.dir`` that stores each row's partition and first sequence.  One
+count per partition and a prefix scan over those counts number the sequences; both
+come from the written table, never from a second scan.  A keyed Feistel
 permutation of the next even power of two, walked along its cycle until it falls
 below the number of sequences, maps the number to a global slot: a bijection that
 needs no table and can be inverted.  Shard s holds the slots from s * SHARD_SLOTS;
@@ -12,9 +16,8 @@ lies at byte (t mod SHARD_SLOTS) * stride and reading can resume anywhere.
 Record: doc_id (int64), number within the document (int32), tokens used (int32),
 the token ids (uint16) and a two-byte record end.
 
-Defined cases: null, empty and blank texts have no sequence; a null doc_id is
-written as -1; repeated rows get sequences of their own.  The table must be read
-from files (its scan is repeated and must meet the same partitions).
+Defined cases: null and empty texts have no sequence, nor have blank ones without a
+tokenizer; a null doc_id is written as -1; repeated rows get sequences of their own.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from sparkmine.llm import textkernel as K
 from sparkmine.llm import tokenfiles as TF
 from sparkmine.llm.common import documents
-from sparkmine.session import ensure_checkpoint_dir
+from sparkmine.session import cut_lineage, ensure_checkpoint_dir
 
 LENGTH = 512
 SHARD_SLOTS = 8192
@@ -85,13 +88,26 @@ def index_of(slot: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return _walk(slot, n, key, range(ROUNDS - 1, -1, -1))
 
 
-def _count(length: int):
+def _tokenised(length: int, tokenizer: str | None):
+    """(part, first, pieces, doc_id, tokens) of every text that has tokens;
+    ``first``: sequences of the partition before it."""
+
     def run(batches):
-        total = 0
+        part, first = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for chunk in K.chunks(batch.column(0)):
-                total += int((-(-chunk.counts(chunk.words()[1]) // length)).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total], pa.int64())], ["task", "n"])
+            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for at in range(0, batch.num_rows, 512):
+                texts = batch.column(1).slice(at, 512)
+                tokens = list(TF.word_ids(texts, VOCABULARY) if tokenizer is None else TF.bpe_ids(texts, tokenizer))
+                pieces = np.array([-(-len(t) // length) for t in tokens], np.int64)
+                if max(map(len, tokens)) and max(int(t.max()) for t in tokens if len(t)) > 65_535:
+                    raise ValueError("token ids above 65,535 do not fit the records")
+                some = np.flatnonzero(pieces)
+                before = first + np.cumsum(pieces) - pieces
+                first += int(pieces.sum())
+                body = pa.array([tokens[i].astype("<u2").tobytes() for i in some], pa.binary())
+                cols = (np.full(len(some), part, np.int64), before[some], pieces[some], ids[at : at + len(tokens)][some])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), body], ["part", "first", "pieces", "doc_id", "tokens"])
 
     return run
 
@@ -100,27 +116,24 @@ def _records(start: dict[int, int], total: int, length: int, shard_slots: int, k
     kind = record_type(length)
 
     def run(batches):
-        number = start.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                tokens = list(TF.word_ids(part.column(1), VOCABULARY))
-                pieces = np.array([-(-len(t) // length) for t in tokens])
+                rows = batch.slice(at, 512)
+                part, before, pieces, ids = (rows.column(j).to_numpy(zero_copy_only=False) for j in range(4))
                 out = np.zeros(int(pieces.sum()), kind)
                 if not len(out):
                     continue
-                out["doc_id"] = np.repeat(ids[at : at + len(tokens)], pieces)
-                first = np.concatenate(([0], np.cumsum(pieces)[:-1]))
+                out["doc_id"] = np.repeat(ids, pieces)
+                first = np.cumsum(pieces) - pieces
                 out["seq"] = np.arange(len(out)) - np.repeat(first, pieces)
-                for f, p, t in zip(first.tolist(), pieces.tolist(), tokens):
-                    if p:
-                        padded = np.zeros(p * length, np.uint16)
-                        padded[: len(t)] = t
-                        out["tokens"][f : f + p] = padded.reshape(p, length)
-                        out["n"][f : f + p] = np.minimum(length, len(t) - np.arange(p) * length)
-                slot = slot_of(number + np.arange(len(out)), total, key)
-                number += len(out)
+                for i, (f, p) in enumerate(zip(first.tolist(), pieces.tolist())):
+                    t = np.frombuffer(rows.column(4)[i].as_buffer(), "<u2")
+                    padded = np.zeros(p * length, np.uint16)
+                    padded[: len(t)] = t
+                    out["tokens"][f : f + p] = padded.reshape(p, length)
+                    out["n"][f : f + p] = np.minimum(length, len(t) - np.arange(p) * length)
+                number = np.repeat(np.array([start[x] for x in part.tolist()]) + before, pieces) + out["seq"]
+                slot = slot_of(number, total, key)
                 raw = out.view(np.uint8).reshape(len(out), kind.itemsize)[:, :-2]
                 body = pa.array([r.tobytes() for r in raw], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(slot // shard_slots), pa.array(slot), body], ["shard", "slot", "value"])
@@ -128,16 +141,20 @@ def _records(start: dict[int, int], total: int, length: int, shard_slots: int, k
     return run
 
 
-def write_training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY) -> int:
-    """Write the shards under ``path`` as ``shard=<s>/part-*``; the number of sequences."""
+def write_training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY, tokenizer: str | None = None) -> int:
+    """Write the shards under ``path`` as ``shard=<s>/part-*``; the number of
+    sequences.  ``tokenizer``: ranks file of a BPE, or None for hashed words."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    held = cut_lineage(src.mapInArrow(_tokenised(length, tokenizer), "part long, first long, pieces long, doc_id long, tokens binary"))
     # one row per input partition
-    per_task = {r["task"]: r["n"] for r in src.select("text").mapInArrow(_count(length), "task long, n long").collect()}
+    parts = held.groupBy("part").agg(F.sum("pieces").alias("n"), F.max(F.col("first") + F.col("pieces")).alias("end")).collect()
     start, total = {}, 0
-    for task in sorted(per_task):
-        start[task] = total
-        total += per_task[task]
-    rows = src.mapInArrow(_records(start, max(1, total), length, shard_slots, key), "shard long, slot long, value binary")
+    for r in sorted(parts, key=lambda r: r["part"]):
+        if r["n"] != r["end"]:
+            raise RuntimeError(f"partition {r['part']} holds {r['n']} sequences and numbers {r['end']}")
+        start[r["part"]] = total
+        total += r["n"]
+    rows = held.mapInArrow(_records(start, max(1, total), length, shard_slots, key), "shard long, slot long, value binary")
     shards = max(1, -(-total // shard_slots))
     sorted_rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot").select("shard", "value")
     TF.write_flat(sorted_rows, path, RECORD_END, partition_by="shard")
@@ -170,5 +187,5 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over every whole text of ``documents``: the records as read
     back from the written shards."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/training-order/{uuid.uuid4().hex}"
-    write_training_order(documents(spark, sf_dir), path)
+    write_training_order(documents(spark, sf_dir), path, tokenizer=TF.TOKENIZER)
     return read_training_order(spark, path)
