@@ -7,13 +7,14 @@ last one.  A document may span blocks; a prefix scan over the (few, small) block
 summaries of a file adds the tokens that earlier blocks left open.
 
 Files are bounded by ``DOCS_PER_FILE`` documents, and one task reads one file at
-a time.
+a time.  The folder of a token file names the input file and the row number in it of
+its first document, the others follow in order, so documents and counts meet by
+stored places that do not depend on how a scan was split; a total that differs raises.
 
 Defined cases: consecutive separators are documents of 0 tokens; tokens after a
 file's last separator form an unterminated document; empty files give no rows.
 For tables: null and empty texts are documents of 0 tokens; repeated rows are
-counted row by row.  The table must be read from files, since a document's place
-in the token files is its place in the scan.
+counted row by row.  A table that does not give file places is written once first.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkmine.llm import tokenfiles as TF
 from sparkmine.llm.common import documents
-from sparkmine.session import ensure_checkpoint_dir
+from sparkmine.session import cut_lineage, cut_lineage_observed, ensure_checkpoint_dir
 
 #: Tokens searched at once.
 BLOCK = 1 << 20
@@ -35,17 +37,36 @@ DOCS_PER_FILE = 2_000
 _SUMMARY = "file string, block long, n_separators long, head long, tail long, inner array<long>"
 
 
-def write_token_files(docs: DataFrame, path: str, text_col: str = "text", tokenizer: str = TF.TOKENIZER, end: int = TF.END_OF_DOCUMENT, dtype: str = "uint16") -> None:
-    """Tokenise every text and write flat files; record r of file c of task p is
-    row c * DOCS_PER_FILE + r of the task's rows."""
-    kind = np.dtype(TF.DTYPES[dtype]).newbyteorder("<")
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, source, row): each row with its file's hash and its number in that file."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    place = [F.xxhash64("_metadata.file_path").alias("source"), F.col("_metadata.row_index").alias("row")]
+    try:
+        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *place)
+    except AnalysisException:
+        return cut_lineage(own).select("doc_id", "text", *place)
+
+
+def write_token_files(placed: DataFrame, path: str, tokenizer: str = TF.TOKENIZER, end: int = TF.END_OF_DOCUMENT, dtype: str = "uint16") -> None:
+    """Tokenise every text of ``placed`` (text, source, row) and write flat files
+    ``source=<s>/first=<r>/part-*``: the documents of rows r, r + 1, ... of source s."""
+    kind, most = np.dtype(TF.DTYPES[dtype]).newbyteorder("<"), DOCS_PER_FILE
 
     def run(batches):
+        last, first = None, 0
         for batch in batches:
+            source, row = (batch.column(j).to_numpy(zero_copy_only=False) for j in (1, 2))
+            firsts = []
+            for s, r in zip(source.tolist(), row.tolist()):
+                if last != (s, r - 1) or r - first >= most:
+                    first = r
+                last = (s, r)
+                firsts.append(first)
             body = [ids.astype(kind).tobytes() for ids in TF.bpe_ids(batch.column(0), tokenizer)]
-            yield pa.RecordBatch.from_arrays([pa.array(body, pa.binary())], ["value"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(firsts, pa.int64()), batch.column(2), pa.array(body, pa.binary())], ["source", "first", "row", "value"])
 
-    TF.write_flat(docs.select(text_col).mapInArrow(run, "value binary"), path, np.array([end], kind).tobytes(), most_records=DOCS_PER_FILE)
+    flat = placed.select("text", "source", "row").mapInArrow(run, "source long, first long, row long, value binary")
+    TF.write_flat(flat.sortWithinPartitions("source", "first", "row").select("source", "first", "value"), path, np.array([end], kind).tobytes(), partition_by=["source", "first"])
 
 
 def _scan(end: int, dtype: str, block: int):
@@ -88,14 +109,18 @@ def document_token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """(doc_id, n_tokens): tokenise into flat files and count there."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens/{uuid.uuid4().hex}"
-    write_token_files(docs, path, text_col, tokenizer)
-    part = F.regexp_extract("file", r"part-(\d+)-", 1).cast("long")
-    piece = F.regexp_extract("file", r"-c(\d+)\D*$", 1).cast("long")
-    counts = token_counts(spark, path).select(part.alias("task"), (piece * DOCS_PER_FILE + F.col("ordinal")).alias("row"), "n_tokens")
-    # the same scan numbers its rows (task << 33) + row
-    place = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("place"))
-    place = place.select("doc_id", F.shiftright("place", 33).alias("task"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row"))
-    return place.join(counts, ["task", "row"]).select("doc_id", "n_tokens")
+    placed = _placed(docs, id_col, text_col)
+    write_token_files(placed, path, tokenizer)
+    source, first = (F.regexp_extract("file", f"/{c}=(-?[0-9]+)/", 1).cast("long") for c in ("source", "first"))
+    counts = token_counts(spark, path).select(source.alias("source"), (first + F.col("ordinal")).alias("row"), "n_tokens")
+    rows = placed.select("doc_id", "source", "row", F.lit(1).alias("held"))
+    out, seen = cut_lineage_observed(
+        rows.join(counts, ["source", "row"], "full").select("doc_id", "n_tokens", "held"),
+        rows=F.count("held"), counted=F.count("n_tokens"), both=F.count_if(F.col("held").isNotNull() & F.col("n_tokens").isNotNull()),
+    )
+    if not seen["rows"] == seen["counted"] == seen["both"]:
+        raise RuntimeError(f"{seen['rows']} documents and {seen['counted']} counts, {seen['both']} in the same place")
+    return out.select("doc_id", "n_tokens")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

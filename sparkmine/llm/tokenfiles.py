@@ -53,7 +53,7 @@ def word_ids(texts: pa.Array, vocabulary: int):
         yield from np.split(ids, np.cumsum(chunk.counts(doc))[:-1])
 
 
-def write_flat(records: DataFrame, path: str, end: bytes, partition_by: str | None = None, most_records: int = 0) -> None:
+def write_flat(records: DataFrame, path: str, end: bytes, partition_by: str | list[str] | None = None, most_records: int = 0) -> None:
     """Write a binary column ``value``: each record's bytes and then ``end``."""
     out = records.withColumn("value", records["value"].cast("string")).write
     if partition_by:
