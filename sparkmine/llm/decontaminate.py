@@ -13,8 +13,12 @@ any other window has similarity 0.
    where a shingle weighs log(1 + items / items that contain it); the threshold
    is 0.8.
 
-The items are read in blocks of a fixed number and each block goes over all
-documents once, so what a task holds of the benchmark is bounded.
+Items and items per shingle are counted once over the whole benchmark.  The items
+are read in blocks of a fixed number and each block goes over all documents once,
+so what a task holds of the benchmark is bounded.  With several blocks a window may
+hold shingles of another block's items, whose weights the task lacks: candidates
+that can still reach the threshold are written with those shingles, which then
+meet their counts in a join.  Results do not depend on the size of the blocks.
 
 Defined cases: null or blank texts match nothing; items of fewer than five words
 are ignored; of several equally good windows the first is given; rows with equal
@@ -25,11 +29,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.llm import textkernel as K
-from sparkmine.llm.common import documents
+from sparkmine.llm.common import cut_lineage, documents
 
 SHINGLE = 5
 RADIUS = 12
@@ -56,9 +61,11 @@ def _blocks() -> list[tuple[int, int]]:
 
 
 class Items:
-    """The benchmark items of one block: shingles, weights and the multi-index."""
+    """The benchmark items of one block: shingles, weights and the multi-index.
+    ``total`` and ``counts`` (shingle -> items) are those of the whole benchmark
+    if this is a block of several."""
 
-    def __init__(self, ids: list, texts: list[str | None]):
+    def __init__(self, ids: list, texts: list[str | None], total: int | None = None, counts: dict[int, int] | None = None):
         self.ids, self.length, self.shingles, prints = [], [], [], []
         at = 0
         for chunk in K.chunks(pa.array(texts, pa.string())):
@@ -78,8 +85,12 @@ class Items:
         self.key = np.array([p[0] for p in pairs], dtype=np.uint64)
         self.item = np.array([p[1] for p in pairs], dtype=np.int64)
         self.known, n = np.unique(self.key, return_counts=True)
-        self.weight = np.log1p(len(self.ids) / n) if len(n) else np.zeros(0)
-        self.other = float(np.log1p(len(self.ids)))
+        if counts is not None:
+            n = np.array([counts[x] for x in self.known.view(np.int64).tolist()], dtype=np.int64)
+        self.whole = counts is None
+        total = len(self.ids) if total is None else total
+        self.weight = np.log1p(total / n) if len(n) else np.zeros(0)
+        self.other = float(np.log1p(total))
         self.mark = np.zeros(_BITS, dtype=bool)
         self.mark[self.key & K.U64(_BITS - 1)] = True
         self.index = []
@@ -114,16 +125,30 @@ class Items:
         b, nb = np.unique(self.shingles[item], return_counts=True)
         both, x, y = np.intersect1d(a, b, assume_unique=True, return_indices=True)
         shared = float((self.weights(both) * np.minimum(na[x], nb[y])).sum())
-        return shared / (float((self.weights(a) * na).sum()) + float((self.weights(b) * nb).sum()) - shared)
+        return round(shared / (float((self.weights(a) * na).sum()) + float((self.weights(b) * nb).sum()) - shared), 12)
+
+    def partial(self, window: np.ndarray, item: int) -> tuple[float, float, np.ndarray] | None:
+        """Weight of the intersection, of the union without the shingles this block
+        does not know, and those shingles; None if the similarity cannot reach the threshold."""
+        strange = window[~np.isin(window, self.known)]
+        a, na = np.unique(window[np.isin(window, self.known)], return_counts=True)
+        b, nb = np.unique(self.shingles[item], return_counts=True)
+        both, x, y = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+        shared = float((self.weights(both) * np.minimum(na[x], nb[y])).sum())
+        union = float((self.weights(a) * na).sum()) + float((self.weights(b) * nb).sum()) - shared
+        # no weight is below log(2); the margin is for rounding
+        return (shared, union, strange) if shared >= (SIMILARITY - 1e-9) * (union + len(strange) * np.log(2)) else None
 
     def matches(self, words: np.ndarray, shingles: np.ndarray, hits: np.ndarray):
         """(item, similarity, first word, window words) of the best window of every
-        item that a document matches; ``hits``: positions of shingles known to the items."""
+        item that a document matches; ``hits``: positions of shingles known to the items.
+        For a block of several: (item, ``partial``, first word, words) of every candidate."""
         n = len(words)
         lo, hi = np.searchsorted(self.key, shingles[hits], "left"), np.searchsorted(self.key, shingles[hits], "right")
         items = np.unique(np.concatenate([self.item[a:b] for a, b in zip(lo, hi)]))
         votes = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(_signs(words), axis=0, dtype=np.int32)))
         best: dict[int, tuple] = {}
+        open_ = []
         for length in np.unique(self.length[items]):
             wanted = np.zeros(len(self.ids), dtype=bool)
             wanted[items[self.length[items] == length]] = True
@@ -136,10 +161,15 @@ class Items:
             start = np.flatnonzero(np.cumsum(step[:-1]) > 0)
             win, item = self.near(simhash(votes[start + size] - votes[start]), wanted)
             for s, i in zip(start[win].tolist(), item.tolist()):
+                if not self.whole:
+                    part = self.partial(shingles[s : s + size - SHINGLE + 1], i)
+                    if part is not None:
+                        open_.append((i, part, s, size))
+                    continue
                 sim = self.similarity(shingles[s : s + size - SHINGLE + 1], i)
                 if sim >= SIMILARITY and (i not in best or (-sim, s) < (-best[i][0], best[i][1])):
                     best[i] = (sim, s, size)
-        return [(i, *best[i]) for i in sorted(best)]
+        return [(i, *best[i]) for i in sorted(best)] if self.whole else open_
 
 
 def _scan(items: Items, texts: pa.Array):
@@ -159,22 +189,90 @@ def _scan(items: Items, texts: pa.Array):
                 yield (chunk.lo + int(i), *m)
 
 
-def _item_blocks(bench: DataFrame, id_col: str, text_col: str, size: int):
-    """The benchmark in blocks of about ``size`` items."""
-    rows = bench.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
-    n = 1 + rows.count() // size
+def _shingles_of(batches):
+    """(item's number of words is enough, its distinct shingles) of every text."""
+    for batch in batches:
+        for chunk in K.chunks(batch.column(0)):
+            h, doc = chunk.drop_punctuation().words(lower=True)
+            at, w = K.windows(h, doc, SHINGLE)
+            own = doc[at]
+            each = [np.unique(w[own == i]).view(np.int64) for i in np.unique(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(each, pa.list_(pa.int64()))], ["shingles"])
+
+
+def _frequencies(bench: DataFrame, text_col: str) -> tuple[int, DataFrame]:
+    """Items of the whole benchmark, and (shingle, n): items that contain it."""
+    items = cut_lineage(bench.select(text_col).mapInArrow(_shingles_of, "shingles array<long>"))
+    return items.count(), cut_lineage(items.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _item_blocks(rows: DataFrame, n: int, frequencies: tuple[int, DataFrame] | None):
+    """The benchmark (item_id, text) in ``n`` blocks."""
     for b in range(n):
-        part = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
-        yield Items([r["item_id"] for r in part], [r["text"] for r in part])
+        block = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b)
+        part = block.collect()
+        ids, texts = [r["item_id"] for r in part], [r["text"] for r in part]
+        if frequencies is None:
+            yield Items(ids, texts)
+        else:
+            own = block.select("text").mapInArrow(_shingles_of, "shingles array<long>").select(F.explode("shingles").alias("shingle")).distinct()
+            counts = {r["shingle"]: r["n"] for r in frequencies[1].join(own, "shingle").collect()}  # bounded by the block
+            yield Items(ids, texts, frequencies[0], counts)
+
+
+_CANDIDATE = "doc_id long, k1 long, k2 long, item_id long, place long, shared double, known double, strange array<long>, start_word long, window_words long"
+
+
+def _verified(src: DataFrame, rows: DataFrame, n: int) -> DataFrame:
+    """(doc_id, k1, k2, item_id, similarity, start_word, window_words) by several
+    blocks; ``k1`` and ``k2`` are hashes of the text."""
+    frequencies = _frequencies(rows, "text")
+    keyed = src.select("doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2"))
+    found = None
+    for block, items in enumerate(_item_blocks(rows, n, frequencies)):
+
+        def run(batches, items=items, block=block):
+            # an item and a document row by their places in this scan
+            seen, task = 0, TaskContext.get().partitionId()
+            for batch in batches:
+                got = list(_scan(items, batch.column(1)))
+                at = pa.array([g[0] for g in got], pa.int64())
+                place = pa.array([(task << 33) + seen + g[0] for g in got], pa.int64())
+                seen += batch.num_rows
+                own = [batch.column(j).take(at) for j in (0, 2, 3)]
+                item = pa.array([items.ids[g[1]] for g in got], pa.int64())
+                more = [pa.array([g[2][0] for g in got], pa.float64()), pa.array([g[2][1] for g in got], pa.float64()), pa.array([g[2][2].view(np.int64) for g in got], pa.list_(pa.int64()))]
+                number = pa.array([block << 32 | g[1] for g in got], pa.int64())
+                words = [pa.array([g[j] for g in got], pa.int64()) for j in (3, 4)]
+                yield pa.RecordBatch.from_arrays([*own, item, place, *more, *words, number], ["doc_id", "k1", "k2", "item_id", "place", "shared", "known", "strange", "start_word", "window_words", "number"])
+
+        # written block by block, so one plan never holds more than one block of items
+        one = cut_lineage(keyed.mapInArrow(run, f"{_CANDIDATE}, number long"))
+        found = one if found is None else found.unionByName(one)
+    total, counts = frequencies
+    key = ["number", "place", "start_word", "window_words"]
+    strange = found.select(*key, F.explode("strange").alias("shingle")).join(counts, "shingle", "left")
+    extra = strange.groupBy(*key).agg(F.sum(F.log1p(F.lit(float(total)) / F.coalesce("n", F.lit(1)))).alias("extra"))
+    scored = found.join(extra, key, "left").withColumn("similarity", F.round(F.col("shared") / (F.col("known") + F.coalesce("extra", F.lit(0.0))), 12))
+    best = F.min_by(F.struct("doc_id", "k1", "k2", "item_id", "similarity", "start_word", "window_words"), F.struct(-F.col("similarity"), F.col("start_word"))).alias("best")
+    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("number", "place").agg(best).select("best.*")
+
+
+def _benchmark(bench: DataFrame, id_col: str, text_col: str, size: int) -> tuple[DataFrame, int]:
+    """(item_id, text) and the number of blocks of about ``size`` items."""
+    rows = bench.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
+    return rows, 1 + rows.count() // size
 
 
 def find_contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, window_words): the best window
     of every item that a document holds."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    bench = bench.withColumn(item_id, F.col(item_id).cast("long"))
+    rows, n = _benchmark(bench, item_id, item_text, item_block)
+    if n > 1:
+        return _verified(src, rows, n).select("doc_id", "item_id", "similarity", "start_word", "window_words")
     out = None
-    for items in _item_blocks(bench, item_id, item_text, item_block):
+    for items in _item_blocks(rows, n, None):
 
         def run(batches, items=items):
             for batch in batches:
@@ -198,9 +296,16 @@ def find_contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id"
 
 def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
     """The rows of ``docs`` that match no item, with all their columns."""
+    rows, n = _benchmark(bench, item_id, item_text, item_block)
+    if n > 1:
+        # whether a row matches depends on its text only
+        text = F.col(f"`{text_col}`")
+        leaks = cut_lineage(_verified(docs.select(F.lit(None).cast("long").alias("doc_id"), text.alias("text")), rows, n).select("k1", "k2").distinct())
+        own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
+        return own.join(leaks, ["k1", "k2"], "left_anti").select("_row.*")
     place = docs.columns.index(text_col)
     out = docs
-    for items in _item_blocks(bench, item_id, item_text, item_block):
+    for items in _item_blocks(rows, n, None):
 
         def run(batches, items=items):
             for batch in batches:
