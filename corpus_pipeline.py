@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from sparkmine.llm.decontaminate import decontaminate
 from sparkmine.llm.jaccard_join import jaccard_components
 from sparkmine.llm.mixing import mix
-from sparkmine.llm.quality import quality_filter
+from sparkmine.llm.quality import length_free_rules, quality_filter
 from sparkmine.llm.sharding import assign_shards
 from sparkmine.session import ensure_checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_filter(docs)
+    return quality_filter(docs, rules=length_free_rules())
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+DISTINCT_WINDOW = 1000
+#: Scripts written without spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: Rows (by hash of the text) on which the rules' cost and selectivity are measured.
 SAMPLE_ROWS = 2000
 
@@ -84,7 +87,7 @@ def base_counts(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def default_rules() -> list[Rule]:
-    """The method's rules beyond the base; wide enough for clean prose in any language."""
+    """The method's rules beyond the base, as ``OP1_SQL`` states them."""
     b = lambda c: F.col(f"_base.{c}")
     n = b("n_words")
     shouting = F.size(F.filter("_words", lambda w: (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 1)))
@@ -100,6 +103,22 @@ def default_rules() -> list[Rule]:
     ]
 
 
+def length_free_rules() -> list[Rule]:
+    """``default_rules`` for deleting texts: distinct words are counted in windows of
+    ``DISTINCT_WINDOW`` words, so a long text is not rejected for its length, and
+    characters of scripts written without spaces do not count as word length."""
+    b = lambda c: F.col(f"_base.{c}")
+    n = b("n_words")
+    starts = F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / DISTINCT_WINDOW).cast("int"))
+    distinct = F.aggregate(starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice("_words", i * DISTINCT_WINDOW + 1, DISTINCT_WINDOW))))
+    unspaced = F.length("_text") - F.length(F.regexp_replace("_text", UNSPACED, ""))
+    own = {
+        "few_distinct_words": (n >= 100) & (10 * distinct < n),
+        "word_length": (b("word_chars") < 2 * n) | ((b("word_chars") > 25 * n) & (b("word_chars") - unspaced > 25 * n)),
+    }
+    return [Rule(r.name, own.get(r.name, r.rejects)) for r in default_rules()]
+
+
 @dataclass(frozen=True)
 class Measured:
     rule: Rule
