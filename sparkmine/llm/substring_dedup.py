@@ -1,10 +1,9 @@
-"""Operator 3: substring dedup by prefix-partitioned suffix trees.
+"""Operator 3: substring dedup by repeated windows of ``k`` words.
 
-Every word position that has ``k`` words left in its document starts a suffix;
-the trees are built to a depth of ``k`` words, because only whether two suffixes
-share their first ``k`` words matters (longer maximal repeats are unions of
-consecutive such windows).  Tree paths are labelled by 64-bit hashes of the word
-sequence instead of the words.
+Every word position that has ``k`` words left in its document starts a suffix, of
+which only the first ``k`` words are kept, as a 64-bit hash (its path).  This stands
+in for suffix trees: there is no suffix order beyond ``k`` words and no maximal
+repeat; a longer shared passage is the union of its windows.
 
 1. *Prefixes.* One pass counts the suffixes under hashed prefixes of 1, 2, 4 and
    ``k`` words.  A suffix belongs to the shortest prefix whose count fits
@@ -48,6 +47,7 @@ BYTES_PER_WORD = 6
 NO_ID = np.iinfo(np.int64).max
 _PACKED = "grp long, salt int, docs binary, counts binary, paths binary"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+_KEPT = "doc_id long, n_words long, kept string, spans array<array<long>>"
 
 
 def _depths(k: int) -> list[int]:
@@ -172,11 +172,11 @@ def _trees(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": leaf[repeat], "path": paths[repeat].view(np.int64)})
 
 
-def _remove(k: int):
+def _remove(k: int, texts_too: bool = False):
     def run(batches):
         for batch in batches:
             texts, repeats, given = batch.column(1), batch.column(2), batch.column(0)
-            total, removed, digest = [], [], []
+            total, removed, digest, kept, spans = [], [], [], [], []
             for chunk in K.chunks(texts):
                 some = [repeats[i].values.to_numpy().view(np.uint64) if repeats[i].is_valid else None for i in range(chunk.lo, chunk.hi)]
                 at = full = None
@@ -188,7 +188,7 @@ def _remove(k: int):
                 raw = chunk.buf.tobytes()
                 for i in range(chunk.hi - chunk.lo):
                     w = raw[chunk.offsets[i] : chunk.offsets[i + 1]].split()
-                    gone = 0
+                    gone, cuts = 0, []
                     if some[i] is not None:
                         hit = at[wfirst[i] : wfirst[i + 1]][np.isin(full[wfirst[i] : wfirst[i + 1]], some[i])] - first[i]
                         step = np.zeros(len(w) + 1, dtype=np.int64)
@@ -197,11 +197,20 @@ def _remove(k: int):
                         keep = np.cumsum(step[:-1]) == 0
                         gone = len(w) - int(keep.sum())
                         w_kept = [x for x, y in zip(w, keep.tolist()) if y]
+                        cuts = np.flatnonzero(np.diff(np.concatenate(([True], keep, [True])).astype(np.int8))).reshape(-1, 2).tolist()
                     else:
                         w_kept = w
                     total.append(len(w))
                     removed.append(gone)
-                    digest.append(hashlib.sha256(b" ".join(w_kept)).hexdigest())
+                    left = b" ".join(w_kept)
+                    if texts_too:
+                        kept.append(left.decode())
+                        spans.append(cuts)
+                    else:
+                        digest.append(hashlib.sha256(left).hexdigest())
+            if texts_too:
+                yield pa.RecordBatch.from_arrays([given, pa.array(total, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["doc_id", "n_words", "kept", "spans"])
+                continue
             yield pa.RecordBatch.from_arrays([given, pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return run
@@ -227,14 +236,25 @@ def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return packed.groupBy("grp", "salt").applyInPandas(_trees, "doc_id long, path long")
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, max_group: int = MAX_GROUP) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed and the SHA-256 of the kept
-    words joined by one space."""
+def _with_repeats(docs: DataFrame, id_col: str, text_col: str, k: int, max_group: int) -> DataFrame:
+    """(doc_id, text, repeats): every document with its repeated paths."""
     repeats = repeated_paths(docs, id_col, text_col, k, max_group).groupBy("doc_id").agg(F.collect_set("path").alias("repeats"))
     repeats = cut_lineage(repeats).withColumnRenamed("doc_id", "owner")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     owner = F.coalesce(F.col("doc_id"), F.lit(int(NO_ID)))
-    return src.join(repeats, owner == F.col("owner"), "left").select("doc_id", "text", "repeats").mapInArrow(_remove(k), _RESULT)
+    return src.join(repeats, owner == F.col("owner"), "left").select("doc_id", "text", "repeats")
+
+
+def substring_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, max_group: int = MAX_GROUP) -> DataFrame:
+    """Per document: doc_id, n_words, the kept words joined by one space, and the
+    removed spans as [first word, word after the last]."""
+    return _with_repeats(docs, id_col, text_col, k, max_group).mapInArrow(_remove(k, texts_too=True), _KEPT)
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WINDOW, max_group: int = MAX_GROUP) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed and the SHA-256 of the text that
+    ``substring_kept`` gives."""
+    return _with_repeats(docs, id_col, text_col, k, max_group).mapInArrow(_remove(k), _RESULT)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
