@@ -7,6 +7,7 @@ from sparkmine.llm.decontaminate import op2_decontaminate
 from sparkmine.llm.jaccard_join import op6_jaccard_join
 from sparkmine.llm.licenses import op5_license_scan
 from sparkmine.llm.mixing import OP9_SQL, op9_mixing
+from sparkmine.llm.periodic_runs import OP13_SQL, op13_periodic_runs
 from sparkmine.llm.quality import OP1_SQL, op1_quality_rules
 from sparkmine.llm.sharding import op8_sharding
 from sparkmine.llm.substring_dedup import op3_substring_dedup
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op9_mixing": OP9_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
