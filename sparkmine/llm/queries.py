@@ -4,6 +4,7 @@ that SQL can express."""
 from __future__ import annotations
 
 from sparkmine.llm.decontaminate import op2_decontaminate
+from sparkmine.llm.fingerprints import OP11_SQL, op11_fingerprints
 from sparkmine.llm.jaccard_join import op6_jaccard_join
 from sparkmine.llm.licenses import op5_license_scan
 from sparkmine.llm.mixing import OP9_SQL, op9_mixing
@@ -26,11 +27,13 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_fingerprints": op11_fingerprints,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_fingerprints": OP11_SQL,
     "op13_periodic_runs": OP13_SQL,
 }
