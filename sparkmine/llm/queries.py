@@ -3,6 +3,7 @@ that SQL can express."""
 
 from __future__ import annotations
 
+from sparkmine.llm.collocations import OP12_SQL, op12_collocations
 from sparkmine.llm.decontaminate import op2_decontaminate
 from sparkmine.llm.fingerprints import OP11_SQL, op11_fingerprints
 from sparkmine.llm.jaccard_join import op6_jaccard_join
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op11_fingerprints": op11_fingerprints,
+    "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -35,5 +37,6 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op9_mixing": OP9_SQL,
     "op11_fingerprints": OP11_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_periodic_runs": OP13_SQL,
 }
