@@ -45,9 +45,9 @@ MIN_COUNT = 10
 TOP = 2000
 DROP_PERCENT = 50
 #: Words whose windows a task packs at once.
-FLUSH = 2_000_000
+FLUSH = 600_000
 #: Windows of one group (about 60 bytes each while it is counted).
-MAX_GROUP = 1_000_000
+MAX_GROUP = 750_000
 #: Assumed bytes per word when the number of groups is chosen from the size of the texts.
 BYTES_PER_WORD = 6
 #: log2 of the bits of the wanted words' bitmap (4 MB).
@@ -131,16 +131,18 @@ def _pack(lang: str, word: np.ndarray, piece: np.ndarray, n: int, bins: int, hea
     """One row per group of the windows that start at the first ``n`` words."""
     ids, code = np.unique(word, return_inverse=True)
     ids = np.concatenate((np.zeros(1, dtype=np.uint64), ids))
+    code = code.reshape(-1).astype(np.int32) + np.int32(1)
     bits = int(len(ids) - 1).bit_length()
     if ORDER * bits > 63:
         raise ValueError("too many different words in one flush")
     key = np.zeros(n, dtype=np.int64)
-    for col in _windows(code.reshape(-1) + 1, piece):
+    for col in _windows(code, piece):
         key = key << bits | col[:n]
     key, counts = np.unique(key, return_counts=True)
-    code = [key >> bits * (ORDER - 1 - j) & (1 << bits) - 1 for j in range(ORDER)]
+    code = [(key >> bits * (ORDER - 1 - j) & (1 << bits) - 1).astype(np.int32) for j in range(ORDER)]
+    del key
     prefix = _bins([ids[c] for c in code], bins)
-    depth, group = np.zeros(len(key), dtype=np.int64), prefix[0]
+    depth, group = np.zeros(len(counts), dtype=np.int64), prefix[0]
     for j in range(1, ORDER):
         deeper = (depth == j - 1) & np.isin(prefix[j - 1], heavy[j - 1])
         depth[deeper] = j
