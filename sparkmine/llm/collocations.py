@@ -18,7 +18,7 @@ into words ``[^\\x20\\x09]+``; everything is counted per language.
 4. *ROLLUP.* Spark sums the padded windows over (lang, w1, w2, w3): the subtotals
    are all counts of one-, two- and three-word phrases and of the languages' words.
 5. *Scores* are exact decimals; longer candidates join their parts to drop them.
-   Ranks are taken per language with a limit before the shuffle.
+   Places are taken in hashed parts of a language first, then in what they leave.
 6. *Strings.* A second scan fetches the words of the phrases that are left, found by
    a bitmap of fixed size, and the ranks are settled by the phrases' bytes.
 
@@ -273,7 +273,7 @@ def _score(a: str, left: str, right: str) -> Column:
 
 
 def scored_phrases(counts: DataFrame, drop_percent: int = DROP_PERCENT) -> DataFrame:
-    """(lang, k, w1, w2, w3, a, l, r, n, score) of the candidates (two and three
+    """(lang, k, w1, w2, w3, a, l, r, score) of the candidates (two and three
     words), by their lowest-scoring cut, without those that a longer one covers."""
 
     def part(k: int, names: list[str], n: str) -> DataFrame:
@@ -299,8 +299,19 @@ def scored_phrases(counts: DataFrame, drop_percent: int = DROP_PERCENT) -> DataF
     )
     cuts = [F.struct(_score("a", f"l{c}", f"r{c}").alias("score"), F.lit(c).alias("cut"), F.col(f"l{c}").alias("l"), F.col(f"r{c}").alias("r")) for c in (1, 2)]
     three = three.select("lang", F.lit(3).alias("k"), "w1", "w2", "w3", "a", F.least(*cuts).alias("best"))
-    all_words = counts.where(F.col("k") == 0).select("lang", "n")
-    return two.unionByName(three).join(all_words, "lang").select("lang", "k", "w1", "w2", "w3", "a", "best.l", "best.r", "n", "best.score")
+    return two.unionByName(three).select("lang", "k", "w1", "w2", "w3", "a", "best.l", "best.r", "best.score")
+
+
+def _first(scored: DataFrame, top: int) -> DataFrame:
+    """The rows of the first ``top`` places of each language, with all ties of the
+    last place: first within hashed parts of a language, then of what they leave."""
+    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_score = [F.col("score").desc(), F.col("a").desc()]
+    dealt = scored.withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(parts)))
+    for keys in (["lang", "part"], ["lang"]):
+        placed = dealt.withColumn("place", F.rank().over(Window.partitionBy(*keys).orderBy(*by_score)))
+        dealt = placed.where(F.col("place") <= top).drop("place")
+    return dealt.drop("part")
 
 
 def _spell(bitmap):
@@ -351,9 +362,8 @@ def collocations(
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     counts = cut_lineage(phrase_counts(docs, text_col, lang_col, min_count, max_group, flush))
     by_score = [F.col("score").desc(), F.col("a").desc()]
-    # rank() keeps all ties of the last place; the limit is applied before the shuffle too
-    near = scored_phrases(counts, drop_percent).withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*by_score)))
-    near = cut_lineage(near.where(F.col("place") <= top).drop("place"))
+    near = _first(scored_phrases(counts, drop_percent), top)
+    near = cut_lineage(near.join(counts.where(F.col("k") == 0).select("lang", "n"), "lang"))
     cols = [f"w{j + 1}" for j in range(ORDER)]
     long = near.select(*near.columns, F.posexplode(F.slice(F.array(*cols), 1, F.col("k"))).alias("pos", "id"))
     names = spelled(docs, long.select("id").distinct(), text_col)
