@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmine.functions.columns import euclidean_distance, race_key, seeded_hash
-from sparkmine.session import BROADCAST_LIMIT_BYTES, LITERAL_LIMIT, cut_lineage
+from sparkmine.session import BROADCAST_LIMIT_BYTES, cut_lineage
 
 # Tags of the random streams.
 TAG_SAMPLE = "sample"
@@ -81,10 +81,8 @@ def assign_nearest(points: DataFrame, centers, features_col: str = "features", m
 
     'arrow': one vectorised pandas UDF (squared differences in double).
     'native': built-in higher-order functions over a literal centre array
-    (only up to LITERAL_LIMIT centre values; larger models use 'arrow')."""
+    ."""
     ids, mat = _centers_matrix(centers)
-    if method == "native" and mat.size > LITERAL_LIMIT:
-        method = "arrow"  # the native path inlines the centres as a literal
     if method == "arrow":
         fn = _arrow_assigner(points.sparkSession, ids, mat)
         return points.withColumn("_a", fn(F.col(features_col))).select(

@@ -9,21 +9,20 @@ Input transactions are ``(txn_id, items)`` with ``items`` a sorted, duplicate
 free array (S1/S3 produce that; the miners normalise anyway).  Itemsets are
 sorted arrays, so they can be grouped and joined on directly.
 
-How a level is counted (A4/A6/A7).  For every transaction t and frequent
-(k-1)-itemset J contained in t the miner keeps one *occurrence row*
-``(J, tail)``, where ``tail`` holds the items of t after J's last item that
-extend J's prefix to a frequent (k-1)-itemset (J's frequent siblings).  Level
-k is then: explode the tails -> J + [y] -> partial/final hash aggregate ->
-filter by the threshold.  The counted sets are exactly the Apriori join of
-L(k-1) (two frequent sets sharing their first k-2 items), each counted once
-per containing transaction, without ever joining back to the transactions.
-The next tails come from one equi-join of the occurrence rows with the
-frequent-extension lists of L(k) keyed by prefix; that side has at most
-|L(k)| rows, is broadcast only under a byte bound computed from its exact row
-count, and otherwise goes through a shuffle join where AQE splits hot prefixes.
-Transactions are written once; occurrence tables are cached, with a written
-table every CUT_EVERY levels; level tables are cached one aggregation away
-from them.  Non-integral items run as int ranks from level 2 on.
+How a level is counted (A4/A6/A7).  The frequent itemsets form a prefix tree, one
+written table per level: (node, parent, code, path, support_count), where a code
+is the level-1 node of an item (unique per group) and a path the codes of a set.
+A transaction is an array of codes, made once by an equi-join of its items with
+level 1 on (group, item).  For every transaction and frequent (k-1)-set in it
+there is an occurrence row (node, tail): the codes after the set's last item.
+Level k explodes the tails to (node, y), keeps the pairs that are candidates (J1
+and J2 on the tree, so nothing is aggregated that a pruned candidate would count),
+aggregates and writes the level; the next occurrence rows are one lookup of
+(node, y) in that level.  Every lookup is a hash probe of one key, so the cost of a
+row does not depend on the number of frequent items.  Tables are broadcast when the
+bytes measured at their writing fit, else both sides are shuffled by the whole key
+and hot keys, known from the supports, are broadcast (``joins.probe``).
+Occurrence tables are cached, with a written table every CUT_EVERY levels.
 """
 
 from __future__ import annotations
@@ -33,23 +32,22 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmine.functions.columns import drop_one_subsets, min_count_from_support, seeded_uniform
-from sparkmine.session import LITERAL_LIMIT, cut_lineage, cut_lineage_observed, maybe_broadcast, persist_observed
+from sparkmine.operators.joins import ordered_pairs, probe
+from sparkmine.session import cut_lineage, cut_lineage_observed, persist_observed, row_bytes
 
 log = logging.getLogger(__name__)
 
 # Occurrence tables are cached; every CUT_EVERY-th level is written instead,
 # so a lost executor replays at most that many map-side steps from a table.
 CUT_EVERY = 4
-# Rows of a cached level table per downstream task.
-_LEVEL_ROWS_PER_TASK = 200_000
-# Rough per-row size bounds used for size-checked broadcasts.
-_ITEM_BYTES = 24
-_ROW_OVERHEAD = 48
+# Bytes of a row of a level table in a hash table: its values and the row itself.
+_LONG_BYTES = 8
+_ROW_OVERHEAD = 40
 
 
 def _norm_items(col="items"):
@@ -116,31 +114,22 @@ def transaction_profile(tx: DataFrame) -> DataFrame:
 def prune_infrequent(tx: DataFrame, l1: DataFrame, group_cols=(), drop_empty: bool = True) -> DataFrame:
     """restrict each transaction to frequent single items ``l1`` (group..., item).
 
-    Small L1 (checked by count) is shipped as a literal / broadcast list, so no
-    shuffle; a large L1 goes through a long-form semi-join and a regroup by
-    transaction."""
+    One equi-join of the items with ``l1`` and a regroup by row id, so repeated
+    txn_ids stay apart and every column stays."""
     g = list(group_cols)
-    n_l1 = l1.count()
-    if n_l1 <= LITERAL_LIMIT and not g:
-        keep = [r["item"] for r in l1.select("item").collect()]
-        out = tx.withColumn("items", F.array_intersect(_norm_items(), F.lit(keep).cast(tx.schema["items"].dataType)))
-    elif n_l1 <= LITERAL_LIMIT:
-        lists = l1.groupBy(*g).agg(F.collect_list("item").alias("_keep"))
-        out = (
-            tx.join(maybe_broadcast(lists, n_l1, _ITEM_BYTES), g, "left")
-            .withColumn("items", F.array_intersect(_norm_items(), F.coalesce("_keep", F.array().cast(tx.schema["items"].dataType))))
-            .drop("_keep")
-        )
-    else:
-        # keyed by a row id: repeated txn_ids stay apart and every column stays
-        rows = cut_lineage(tx.withColumn("_rid", F.monotonically_increasing_id()))
-        long = rows.select("_rid", *g, F.explode(_norm_items()).alias("item"))
-        kept = long.join(l1.select(*g, "item"), [*g, "item"], "left_semi").groupBy("_rid").agg(F.sort_array(F.collect_list("item")).alias("_keep"))
-        out = (
-            rows.join(kept, "_rid", "left")
-            .withColumn("items", F.coalesce("_keep", F.array().cast(tx.schema["items"].dataType)))
-            .select(*tx.columns)
-        )
+    own = [c for c in ("support_count",) if c in l1.columns]
+    keep, m = cut_lineage_observed(
+        l1.select(*g, "item", *own), bytes=F.sum(row_bytes([*g, "item"], l1.schema)), total=F.sum("support_count") if own else F.lit(0)
+    )
+    rows = cut_lineage(tx.withColumn("_rid", F.monotonically_increasing_id()))
+    long = rows.select("_rid", *g, F.explode(_norm_items()).alias("item"))
+    found = probe(long, keep, [*g, "item"], int(m["bytes"]), int(m["total"]), "left_semi")
+    kept = found.groupBy("_rid").agg(F.sort_array(F.collect_list("item")).alias("_keep"))
+    out = (
+        rows.join(kept, "_rid", "left")
+        .withColumn("items", F.coalesce("_keep", F.array().cast(tx.schema["items"].dataType)))
+        .select(*tx.columns)
+    )
     if drop_empty:
         out = out.where(F.size("items") > 0)
     return out
@@ -157,14 +146,12 @@ def join_candidates(l_prev: DataFrame, k: int, group_cols=()) -> DataFrame:
     For k >= 3 an equi-join on (group, prefix) with a.last < b.last.  A prefix
     group holds at most |L1| itemsets (frequent single items), a bound set by
     the threshold, not by the data volume.  For k = 2 the prefix is empty and
-    the candidates are all pairs of frequent items; the miner never builds
-    them (their number is C(|L1|, 2)), this form exists for direct use."""
+    the candidates are all pairs of frequent items, formed block by block; the
+    miner never builds them (their number is C(|L1|, 2))."""
     g = list(group_cols)
     if k == 2:
-        a = l_prev.select(*g, F.element_at("items", 1).alias("a"))
-        b = l_prev.select(*[F.col(c).alias(f"_b_{c}") for c in g], F.element_at("items", 1).alias("b"))
-        cond = [a[c] == b[f"_b_{c}"] for c in g] + [a["a"] < b["b"]]
-        return a.join(b, reduce(lambda x, y: x & y, cond)).select(*g, F.array("a", "b").alias("items"))
+        singles = l_prev.select(*g, F.element_at("items", 1).alias("x"))
+        return ordered_pairs(singles, "x", g).select(*g, F.array("a", "b").alias("items"))
     a = l_prev.select(*g, F.slice("items", 1, k - 2).alias("prefix"), F.element_at("items", -1).alias("a_last"))
     b = l_prev.select(*g, F.slice("items", 1, k - 2).alias("prefix"), F.element_at("items", -1).alias("b_last"))
     return (
@@ -200,88 +187,34 @@ class MiningResult:
     item_counts: DataFrame | None = None  # (group..., item, support_count), every item
 
 
-def _item_dictionary(l1: DataFrame, n_l1: int, item_type) -> list | None:
-    """Frequent single items in ascending order, used to encode non-integral
-    items as ints (the rank keeps the sort order); None when the items are
-    integral already or there are too many to ship as a literal."""
-    if isinstance(item_type.elementType, T.IntegralType) or n_l1 == 0 or n_l1 > LITERAL_LIMIT:
-        return None
-    return [r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).distinct().orderBy("item").collect()]
-
-
-def _encode(arr, dictionary: list, item_type):
-    lit = F.lit(dictionary).cast(item_type)
-    return F.transform(arr, lambda x: (F.array_position(lit, x) - 1).cast("int"))
-
-
-def _decode(arr, dictionary: list, item_type):
-    lit = F.lit(dictionary).cast(item_type)
-    return F.transform(arr, lambda i: F.element_at(lit, i + 1))
-
-
-def _first_tails(base: DataFrame, l1: DataFrame, g: list, n_l1: int, dictionary: list | None) -> DataFrame:
-    """Level-1 occurrence rows: (group..., items=[x], tail = frequent items of t
-    after x), with items as dictionary ids when a dictionary is given."""
-    item_type = base.schema["items"].dataType
-    if not g and n_l1 <= LITERAL_LIMIT:
-        keep = dictionary if dictionary is not None else sorted(
-            r["item"] for r in l1.select(F.element_at("items", 1).alias("item")).collect()
-        )
-        pruned = base.select(F.array_intersect("items", F.lit(keep).cast(item_type)).alias("r"))
-    elif g:
-        ext = l1.groupBy(*g).agg(F.sort_array(F.collect_list(F.element_at("items", 1))).alias("ext"))
-        pruned = base.join(maybe_broadcast(ext, n_l1, _ITEM_BYTES), g).select(*g, F.array_intersect("items", "ext").alias("r"))
-    else:
-        # a row id, not txn_id: transactions that share an id stay apart
-        long = base.select(F.monotonically_increasing_id().alias("_rid"), "items").select("_rid", F.explode("items").alias("item"))
-        kept = long.join(l1.select(F.element_at("items", 1).alias("item")), ["item"], "left_semi")
-        pruned = kept.groupBy("_rid").agg(F.sort_array(F.collect_list("item")).alias("r")).select(*g, "r")
-    if dictionary is not None:
-        pruned = pruned.select(*g, _encode(F.col("r"), dictionary, item_type).alias("r"))
-    return (
-        pruned.where(F.size("r") > 1)
-        .select(*g, "r", F.posexplode("r").alias("pos", "x"))
-        .select(*g, F.array("x").alias("items"), F.slice("r", F.col("pos") + 2, F.size("r")).alias("tail"))
-        .where(F.size("tail") > 0)
-    )
+@dataclass
+class _Level:
+    """One level of the prefix tree: (node, parent, code, path, support_count).
 
+    ``code`` is the level-1 node of the set's last item, ``path`` those of all its
+    items; ``parent`` is the node of the set without its last item."""
 
-def _extend_tails(occ: DataFrame, level: DataFrame, k: int, g: list, n_level: int) -> DataFrame:
-    """Occurrence rows of level k from those of level k-1 and the frequent
-    k-itemsets ``level``: tails are cut to J's frequent siblings.
+    rows: DataFrame
+    n: int
+    total: int  # sum of the supports
 
-    The extension table has one row per prefix with >= 2 frequent extensions
-    and holds every itemset of ``level`` at most once, so its size is bounded
-    by the exact level count ``n_level``."""
-    ext = (
-        level.groupBy(*g, F.slice("items", 1, k - 1).alias("items"))
-        .agg(F.sort_array(F.collect_list(F.element_at("items", -1))).alias("ext"), F.count(F.lit(1)).alias("m"))
-        .where(F.col("m") >= 2)
-        .drop("m")
-    )
-    return (
-        occ.join(maybe_broadcast(ext, n_level, _ROW_OVERHEAD + _ITEM_BYTES * (k + 1)), [*g, "items"])
-        .select(*g, "items", F.array_intersect("tail", "ext").alias("r"))
-        .where(F.size("r") > 1)
-        .select(*g, "items", "r", F.posexplode("r").alias("pos", "x"))
-        .select(*g, F.concat("items", F.array("x")).alias("items"), F.slice("r", F.col("pos") + 2, F.size("r")).alias("tail"))
-        .where(F.size("tail") > 0)
-    )
+    def children(self) -> DataFrame:
+        return self.rows.select(F.col("parent").alias("_parent"), F.col("code").alias("_code"), F.col("node").alias("_child"), "support_count")
 
 
-def _candidate_counts(l_prev: DataFrame, k: int, g: list, alive_counts: list[Row]) -> list[tuple]:
-    """|C_k| per group (J1 + J2 on L(k-1)); 0 rows for groups that are alive."""
-    if k == 2:
-        return [tuple(r[c] for c in g) + (r["n"] * (r["n"] - 1) // 2,) for r in alive_counts]
-    cands = prune_candidates(join_candidates(l_prev, k, g), l_prev, k, g)
-    got = {tuple(r[c] for c in g): r["n"] for r in cands.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [tuple(r[c] for c in g) + (got.get(tuple(r[c] for c in g), 0),) for r in alive_counts]
+def _candidates(prev: _Level, k: int) -> DataFrame:
+    """J1 and J2 on the tree: (node, y, items = path) of every k-set (k >= 3) whose
+    (k-1)-subsets are all in the level before."""
+    a = prev.rows.select("parent", "node", F.col("path").alias("p"), F.col("code").alias("c"))
+    b = prev.rows.select("parent", F.col("code").alias("y"))
+    joined = a.join(b, "parent").where(F.col("c") < F.col("y")).select("node", "y", F.concat("p", F.array("y")).alias("items"))
+    return prune_candidates(joined, prev.rows.select(F.col("path").alias("items")), k)
 
 
 def prepare_transactions(tx: DataFrame, group_cols=()) -> DataFrame:
-    """Normalised (txn_id, group..., items sorted distinct), written once to the
+    """Normalised (txn_id, group..., items sorted distinct, _rid), written once to the
     checkpoint folder so every pass of a miner reads the same rows without
-    recomputing the upstream joins."""
+    recomputing the upstream joins; ``_rid`` tells rows that share a txn_id apart."""
     return prepare_transactions_counted(tx, group_cols)[0]
 
 
@@ -289,11 +222,9 @@ def prepare_transactions_counted(tx: DataFrame, group_cols=()) -> tuple[DataFram
     """``prepare_transactions`` plus the number of transactions (observed
     during the write, no extra job)."""
     g = list(group_cols)
-    cols = (["txn_id"] if "txn_id" in tx.columns else []) + g
-    base = tx.select(*cols, _norm_items().alias("items"))
-    if "txn_id" not in base.columns:
-        base = base.withColumn("txn_id", F.monotonically_increasing_id())
-    out, m = cut_lineage_observed(base, n=F.count(F.lit(1)))
+    rid = F.monotonically_increasing_id().alias("_rid")
+    ids = F.col("txn_id") if "txn_id" in tx.columns else F.monotonically_increasing_id().alias("txn_id")
+    out, m = cut_lineage_observed(tx.select(ids, *g, _norm_items().alias("items"), rid), n=F.count(F.lit(1)))
     return out, int(m["n"])
 
 
@@ -309,8 +240,8 @@ def resolve_threshold(n: int, min_count: int | None, support: float | None) -> i
     return int(min_count)
 
 
-def _per_group(df: DataFrame, g: list) -> list[Row]:
-    return df.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()
+def _per_group(df: DataFrame, g: list) -> dict:
+    return {tuple(r[c] for c in g): r["n"] for r in df.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def mine_frequent(
@@ -333,10 +264,7 @@ def mine_frequent(
     candidates per level (A8) under that convention.  ``prepared`` says ``tx``
     already comes from ``prepare_transactions`` (``n`` its row count, if known).
     ``item_counts`` (group..., item, support_count) over every item, when
-    already known, replaces the level-1 pass over the transactions.
-
-    Actions: one write per level and one per occurrence table; every count
-    that steers the loop is observed during those writes."""
+    already known, replaces the level-1 pass over the transactions."""
     g = list(group_cols)
     if prepared:
         base = tx
@@ -347,86 +275,129 @@ def mine_frequent(
     min_count = resolve_threshold(n if n is not None else 0, min_count, support)
     if item_counts is None:
         item_counts = base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count())
-    counts1, m1 = cut_lineage_observed(item_counts, n_l1=F.count_if(F.col("support_count") >= min_count))
+    # node ids are written with the level, so every later pass sees the same ones
+    counts1, m1 = cut_lineage_observed(
+        item_counts.select(*g, "item", "support_count", F.monotonically_increasing_id().alias("node")),
+        n_l1=F.count_if(F.col("support_count") >= min_count),
+        bytes=F.sum(F.when(F.col("support_count") >= min_count, row_bytes([*g, "item", "node"], item_counts.schema))),
+        total=F.sum(F.when(F.col("support_count") >= min_count, F.col("support_count"))),
+    )
     l1 = counts1.where(F.col("support_count") >= min_count)
-    n1 = int(m1["n_l1"])
     if allowed is not None:
-        l1, m1 = cut_lineage_observed(
-            l1.join(allowed.where(F.size("items") == 1).select(F.element_at("items", 1).alias("item")), "item", "left_semi"),
-            n_l1=F.count(F.lit(1)),
-        )
-        n1 = int(m1["n_l1"])
-    l1 = l1.select(*g, F.array("item").alias("items"), "support_count")
+        l1 = l1.join(allowed.where(F.size("items") == 1).select(F.element_at("items", 1).alias("item")), "item", "left_semi")
+        l1, m1 = cut_lineage_observed(l1, n_l1=F.count(F.lit(1)), bytes=F.sum(row_bytes([*g, "item", "node"], l1.schema)), total=F.sum("support_count"))
+        allowed = _allowed_paths(allowed, l1)
+    n_prev = int(m1["n_l1"])
 
     growth: list[tuple] = []
-    if stats == "son":
-        growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in _per_group(counts1, g)]
-    elif stats == "apriori":
-        if g:
-            growth += [tuple(r[c] for c in g) + (1, r["n"]) for r in _per_group(l1, g)]
-        else:
-            growth.append((1, n1))
-
-    levels = [l1.select(*g, F.lit(1).alias("k"), "items", "support_count")]
-    item_type = base.schema["items"].dataType
-    # levels >= 2 run on int ids when the items are not integral (smaller rows,
-    # cheaper hashing); decoded once at the end
-    dictionary = _item_dictionary(l1, n1, item_type)
-    if dictionary is not None and allowed is not None:
-        enc = _encode(F.col("items"), dictionary, item_type)
-        allowed = allowed.select(enc.alias("items")).where(~F.exists("items", lambda i: i < 0))
-    encoded_levels = []
-    prev, n_prev = l1, n1
-    occ = None
-    k = 2
+    alive: dict = {}
+    if stats:
+        alive = _per_group(l1, g) if g else {(): n_prev}
+        first = (_per_group(counts1, g) if g else {(): counts1.count()}) if stats == "son" else {k: c for k, c in alive.items() if c or not g}
+        growth += [key + (1, c) for key, c in first.items()]
+
+    # transactions as arrays of frequent level-1 nodes: an equi-join on (group, item), then one regroup by row
+    long = base.select("_rid", *g, F.explode("items").alias("item"))
+    seen = probe(long, l1.select(*g, "item", "node", "support_count"), [*g, "item"], int(m1["bytes"]), int(m1["total"]))
+    rows = seen.groupBy("_rid").agg(F.sort_array(F.collect_list("node")).alias("r")).where(F.size("r") > 1).select("r")
+    held, mo = persist_observed(rows, n=F.count(F.lit(1)))
+    occ = held.select(F.posexplode("r").alias("pos", "node"), "r").select("node", F.slice("r", F.col("pos") + 2, F.size("r")).alias("tail")).where(F.size("tail") > 0)
+    tree: list[_Level] = []
+    k, alive_rows = 2, mo["n"]
     while n_prev > 0:
+        cands, n_cands = None, None
+        if k > 2 and allowed is None:
+            cands, n_cands = cut_lineage_observed(_candidates(tree[-1], k), n=F.count(F.lit(1)))
+            n_cands = int(n_cands["n"])
+        elif allowed is not None:
+            cands, n_cands = _allowed_children(allowed, tree[-1] if tree else None, k)
         if stats:
-            rows = _candidate_counts(prev, k, g, _per_group(prev, g) if g else [Row(n=n_prev)])
-            growth += [r[:-1] + (k, r[-1]) for r in rows]
-            if sum(r[-1] for r in rows) == 0:
+            per = {key: c * (c - 1) // 2 for key, c in alive.items()} if k == 2 else _grouped(cands.select(F.element_at("items", 1).alias("top")), l1, g, n_cands)
+            growth += [key + (k, per.get(key, 0)) for key in alive]
+            if sum(per.values()) == 0:
                 break
-        nxt = _first_tails(base, prev, g, n_prev, dictionary) if k == 2 else _extend_tails(occ, prev, k - 1, g, n_prev)
-        keep = cut_lineage_observed if (k - 1) % CUT_EVERY == 0 else persist_observed
-        new_occ, mo = keep(nxt, n=F.count(F.lit(1)))
-        if occ is not None and occ.is_cached:
-            occ.unpersist()
-        occ = new_occ
-        if mo["n"] == 0:
+        if n_cands == 0 or not alive_rows:
             break
-        counted = (
-            occ.select(*g, "items", F.explode("tail").alias("y"))
-            .groupBy(*g, F.concat("items", F.array("y")).alias("items"))
-            .agg(_count())
-            .where(F.col("support_count") >= min_count)
-        )
-        if allowed is not None:
-            counted = counted.join(allowed.where(F.size("items") == k).select("items"), "items", "left_semi")
-        # small (bounded by the candidates) and one aggregation away from the
-        # written occurrence table: cached, not written
-        level, ml = persist_observed(counted, n=F.count(F.lit(1)))
+        pairs = occ.select("node", F.explode("tail").alias("y"))
+        if cands is not None:
+            # J2 before counting: only candidates are aggregated
+            pairs = probe(pairs, cands.select("node", "y"), ["node", "y"], n_cands * (2 * _LONG_BYTES + _ROW_OVERHEAD), how="left_semi")
+        counted = pairs.groupBy("node", "y").agg(_count()).where(F.col("support_count") >= min_count)
+        if k == 2:
+            paths = counted.select("node", "y", F.array("node", "y").alias("path"), "support_count")
+        else:
+            paths = counted.join(cands.select("node", "y", F.col("items").alias("path")), ["node", "y"])
+        level = paths.select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("parent"), F.col("y").alias("code"), "path", "support_count")
+        level, ml = cut_lineage_observed(level, n=F.count(F.lit(1)), total=F.sum("support_count"))
         n_prev = int(ml["n"])
         if n_prev == 0:
             break
-        # read the small cached level with as many tasks as its size needs
-        level = level.coalesce(max(1, -(-n_prev // _LEVEL_ROWS_PER_TASK)))  # never raises the count
-        encoded_levels.append(level.select(*g, F.lit(k).alias("k"), "items", "support_count"))
-        prev = level
+        tree.append(_Level(level, n_prev, int(ml["total"])))
+        if stats:
+            alive = _grouped(level.select(F.element_at("path", 1).alias("top")), l1, g, n_prev)
+        # occurrence rows of the level: one probe per item of a tail, whatever the number of frequent items
+        at = occ.select("node", "tail", F.posexplode("tail").alias("pos", "y")).where(F.col("pos") + 1 < F.size("tail"))
+        at = at.withColumnsRenamed({"node": "_parent", "y": "_code"})
+        met = probe(at, tree[-1].children(), ["_parent", "_code"], n_prev * (3 * _LONG_BYTES + _ROW_OVERHEAD), tree[-1].total)
+        nxt = met.select(F.col("_child").alias("node"), F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"))
+        keep = cut_lineage_observed if k % CUT_EVERY == 0 else persist_observed
+        occ, mo = keep(nxt, n=F.count(F.lit(1)))
+        alive_rows = mo["n"]
+        if held is not None and held.is_cached:
+            held.unpersist()
+        held = occ
         k += 1
+    if held is not None and held.is_cached:
+        held.unpersist()
 
-    if occ is not None and occ.is_cached:
-        occ.unpersist()
-    for lv in encoded_levels:
-        if dictionary is not None:
-            lv = lv.withColumn("items", _decode(F.col("items"), dictionary, item_type))
-        levels.append(lv)
-    itemsets = reduce(DataFrame.unionByName, levels)
+    levels = [l1.select(*g, F.lit(1).alias("k"), F.array("item").alias("items"), "support_count")]
+    if tree:
+        levels.append(_decoded(tree, l1, g))
     growth_df = None
     if stats:
         schema = T.StructType(
             [base.schema[c] for c in g] + [T.StructField("k", T.IntegerType()), T.StructField("n_candidates", T.LongType())]
         )
         growth_df = base.sparkSession.createDataFrame(growth, schema)
-    return MiningResult(itemsets, growth_df, counts1)
+    return MiningResult(reduce(DataFrame.unionByName, levels), growth_df, counts1.drop("node"))
+
+
+def _grouped(tops: DataFrame, l1: DataFrame, g: list, n: int) -> dict:
+    """Rows per group, by the group of the first item's node."""
+    if not g:
+        return {(): n}
+    return _per_group(tops.join(l1.select(*g, F.col("node").alias("top")), "top"), g)
+
+
+def _decoded(tree: list[_Level], l1: DataFrame, g: list) -> DataFrame:
+    """(group..., k, items, support_count) of the levels from 2 on."""
+    all_levels = reduce(DataFrame.unionByName, (lv.rows.select(F.lit(i + 2).alias("k"), "node", "path", "support_count") for i, lv in enumerate(tree)))
+    long = all_levels.select("k", "node", "support_count", F.explode("path").alias("code"))
+    named = long.join(l1.select(*g, "item", F.col("node").alias("code")), "code")
+    return (
+        named.groupBy(*g, "k", "node", "support_count")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
+        .select(*g, "k", "items", "support_count")
+    )
+
+
+def _allowed_paths(allowed: DataFrame, l1: DataFrame) -> DataFrame:
+    """The allowed sets of two and more items as paths of level-1 nodes; sets with an
+    item that is not frequent vanish."""
+    many = allowed.where(F.size("items") > 1).select("items", F.explode("items").alias("item"))
+    coded = many.join(l1.select("item", "node"), "item").groupBy("items").agg(F.sort_array(F.collect_list("node")).alias("path"))
+    return cut_lineage(coded.where(F.size("path") == F.size("items")).select("path", F.size("path").alias("k")))
+
+
+def _allowed_children(allowed: DataFrame, prev: _Level | None, k: int) -> tuple[DataFrame, int]:
+    """(node, y, items = path) of the allowed k-sets whose prefix is in the level before."""
+    own = allowed.where(F.col("k") == k).select("path", F.element_at("path", -1).alias("y"), F.slice("path", 1, k - 1).alias("prefix"))
+    if prev is None:
+        found = own.select(F.element_at("prefix", 1).alias("node"), "y", F.col("path").alias("items"))
+    else:
+        found = own.join(prev.rows.select("node", F.col("path").alias("prefix")), "prefix").select("node", "y", F.col("path").alias("items"))
+    out, m = cut_lineage_observed(found, n=F.count(F.lit(1)))
+    return out, int(m["n"])
 
 
 def apriori(tx: DataFrame, min_count: int | None = None, support: float | None = None) -> DataFrame:
@@ -522,57 +493,57 @@ def son(
 # ---------------------------------------------------------------------------
 
 
-def count_candidates(tx: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(items, support_count) for every candidate itemset, 0 if absent.
-
-    Walks the prefixes of the candidates level by level: an occurrence row
-    (J, tail) only continues with items y of the transaction's tail for which
-    J + [y] is a prefix of some candidate.  Work is the number of
-    (transaction, candidate prefix) containments, with one equi-join per level
-    against the prefix table (size-checked broadcast, else shuffle)."""
-    cands = cut_lineage(candidates.select(_norm_items().alias("items")).where(F.size("items") > 0).distinct())
-    prefixes = cut_lineage(
+def _candidate_tree(cands: DataFrame) -> DataFrame:
+    """The prefix tree of any set of itemsets, as a written table (j, parent, item,
+    node, items): one row per distinct prefix ``items`` of j items."""
+    prefixes = (
         cands.select(F.explode(F.sequence(F.lit(1), F.size("items"))).alias("j"), "items")
         .select(F.col("j").cast("int").alias("j"), F.slice("items", 1, F.col("j")).alias("items"))
         .distinct()
     )
-    per_level = {r["j"]: r["n"] for r in prefixes.groupBy("j").agg(F.count(F.lit(1)).alias("n")).collect()}
-    max_k = max(per_level, default=0)
-    base = tx.select(_norm_items().alias("items"))
-    first = prefixes.where(F.col("j") == 1).select("items")
-    occ, m = persist_observed(
-        base.select("items", F.posexplode("items").alias("pos", "x"))
-        .select(F.array("x").alias("items"), F.slice("items", F.col("pos") + 2, F.size("items")).alias("tail"))
-        .join(maybe_broadcast(first, per_level.get(1, 0), _ROW_OVERHEAD + _ITEM_BYTES), "items", "left_semi"),
-        n=F.count(F.lit(1)),
-    )
-    counts = [persist_observed(occ.groupBy("items").agg(_count()), n=F.count(F.lit(1)))[0]]  # small: one row per prefix
-    for k in range(2, max_k + 1):
-        if m["n"] == 0:
-            break
-        ext = (
-            prefixes.where(F.col("j") == k)
-            .groupBy(F.slice("items", 1, k - 1).alias("items"))
-            .agg(F.collect_list(F.element_at("items", -1)).alias("ext"))
-        )
-        nxt = (
-            occ.join(maybe_broadcast(ext, per_level.get(k, 0), _ROW_OVERHEAD + _ITEM_BYTES * (k + 1)), "items")
-            .select("items", "tail", F.explode(F.array_intersect("tail", "ext")).alias("x"))
-            .select(F.concat("items", F.array("x")).alias("items"), F.filter("tail", lambda y: y > F.col("x")).alias("tail"))
-        )
+    nodes = cut_lineage(prefixes.withColumn("node", F.monotonically_increasing_id()))
+    above = nodes.select(F.col("items").alias("_prefix"), F.col("node").alias("parent"))
+    own = nodes.select("j", "items", "node", F.element_at("items", -1).alias("item"), F.slice("items", 1, F.col("j") - 1).alias("_prefix"))
+    return cut_lineage(own.join(above, "_prefix", "left").select("j", "parent", "item", "node", "items"))
+
+
+def count_candidates(tx: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(items, support_count) for every candidate itemset, 0 if absent.  The
+    family need not be downward closed.
+
+    Walks the prefix tree of the candidates level by level: an occurrence row
+    (node, tail) goes on with every item of its tail that is a child of the node.
+    Work is the number of items met after (transaction, candidate prefix)
+    containments, one lookup of (node, item) each."""
+    cands = cut_lineage(candidates.select(_norm_items().alias("items")).where(F.size("items") > 0).distinct())
+    tree = _candidate_tree(cands)
+    sizes = tree.groupBy("j").agg(F.sum(row_bytes(["parent", "item", "node"], tree.schema)).alias("bytes")).collect()
+    per_level = {r["j"]: int(r["bytes"]) for r in sizes}  # as many rows as the longest candidate has items
+    occ, held, counts = None, None, []
+    for k in range(1, max(per_level, default=0) + 1):
+        children = tree.where(F.col("j") == k).select(F.col("parent").alias("_parent"), F.col("item").alias("_item"), F.col("node").alias("_child"))
+        if k == 1:
+            at = tx.select(_norm_items().alias("tail")).select("tail", F.posexplode("tail").alias("pos", "_item"))
+            met = probe(at, children.drop("_parent"), ["_item"], per_level[k])
+        else:
+            at = occ.select(F.col("node").alias("_parent"), "tail", F.posexplode("tail").alias("pos", "_item"))
+            met = probe(at, children, ["_parent", "_item"], per_level[k])
+        nxt = met.select(F.col("_child").alias("node"), F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"))
         keep = cut_lineage_observed if k % CUT_EVERY == 0 else persist_observed
-        prev_occ = occ
         occ, m = keep(nxt, n=F.count(F.lit(1)))
-        if prev_occ.is_cached:
-            prev_occ.unpersist()
-        counts.append(persist_observed(occ.groupBy("items").agg(_count()), n=F.count(F.lit(1)))[0])
-    if occ.is_cached:
-        occ.unpersist()
-    all_counts = reduce(DataFrame.unionByName, counts)
-    return (
-        cands.join(all_counts, "items", "left")
-        .select("items", F.coalesce("support_count", F.lit(0)).cast("long").alias("support_count"))
-    )
+        counts.append(cut_lineage(occ.groupBy("node").agg(_count())))  # one row per prefix
+        if held is not None and held.is_cached:
+            held.unpersist()
+        held = occ
+        if m["n"] == 0:
+            break
+    if held is not None and held.is_cached:
+        held.unpersist()
+    zero = F.coalesce("support_count", F.lit(0)).cast("long").alias("support_count")
+    if not counts:
+        return cands.select("items", F.lit(0).cast("long").alias("support_count"))
+    named = tree.select("items", "node").join(reduce(DataFrame.unionByName, counts), "node").select("items", "support_count")
+    return cands.join(named, "items", "left").select("items", zero)
 
 
 # ---------------------------------------------------------------------------

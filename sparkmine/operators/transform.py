@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.columns import TWO_POW_52, seeded_hash, seeded_uniform
-from sparkmine.session import LITERAL_LIMIT, cut_lineage, maybe_broadcast
+from sparkmine.operators.joins import probe
+from sparkmine.session import cut_lineage, cut_lineage_sized
 from sparkmine.sources.index import with_dense_index, with_group_rank_counted
 
 # Tags separating the random streams of the modifiers.
@@ -25,32 +26,20 @@ TAG_NOISE_R = "noise_r"
 TAG_NOISE_T = "noise_t"
 
 
-def _draw_from_pool(tx: DataFrame, need: str, pool, n_pool: int, seed, tag: str, item_type) -> DataFrame:
-    """Add array column ``drawn``: for slot s in 1..need, pool[floor(u(seed, tag,
-    txn_id, s) * n_pool)] (with replacement), in slot order.
-
-    ``pool`` is either a driver list (at most LITERAL_LIMIT items, shipped as
-    one literal array: no shuffle) or a DataFrame (idx, item) with idx
-    0..n_pool-1, joined on idx with the draws regrouped by ``_rid``, the row id
-    that ``tx`` then carries (repeated txn_ids stay apart)."""
-    type_str = item_type.simpleString()
-    empty = F.array().cast(f"array<{type_str}>")
-    if isinstance(pool, list):
-        arr = F.lit(pool).cast(f"array<{type_str}>")
-        drawn = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.col(need), F.lit(1))),
-            lambda s: F.element_at(arr, (F.floor(seeded_uniform(seed, F.lit(tag), F.col("txn_id"), s) * n_pool) + 1).cast("int")),
-        )
-        return tx.withColumn("drawn", F.when(F.col(need) > 0, drawn).otherwise(empty))
+def _draw_from_pool(tx: DataFrame, need: str, pool: DataFrame, n_pool: int, pool_bytes: int, seed, tag: str) -> DataFrame:
+    """Add array column ``drawn``: for slot s in 1..need, the item of ``pool`` (idx,
+    item) with idx = floor(u(seed, tag, txn_id, s) * n_pool) (with replacement), in
+    slot order.  ``tx`` has a row id ``_rid``: repeated txn_ids stay apart."""
     slots = (
         tx.where(F.col(need) > 0)
         .select("_rid", "txn_id", F.explode(F.sequence(F.lit(1), F.col(need))).alias("slot"))
         .withColumn("idx", F.floor(seeded_uniform(seed, F.lit(tag), F.col("txn_id"), F.col("slot")) * n_pool).cast("long"))
     )
-    picked = slots.join(maybe_broadcast(pool, n_pool, 64), "idx").groupBy("_rid").agg(
+    # every idx is drawn alike often, so no key is hot
+    picked = probe(slots, pool, ["idx"], pool_bytes).groupBy("_rid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("slot", "item"))), lambda st: st["item"]).alias("drawn")
     )
-    return tx.join(picked, "_rid", "left").withColumn("drawn", F.coalesce("drawn", empty))
+    return tx.join(picked, "_rid", "left").withColumn("drawn", F.coalesce("drawn", F.array().cast(tx.schema["items"].dataType)))
 
 
 def _with_row_id(tx: DataFrame) -> DataFrame:
@@ -63,25 +52,21 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
     and replace every dropped item by a random kept one, with replacement, so
     the length stays.  The result is a bag (kept items in order, then the
     draws) unless ``as_set``."""
-    item_type = tx.schema["items"].dataType.elementType
     counts = tx.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    if n_items <= LITERAL_LIMIT:
-        # top-k is the feature; k is the caller's bound
-        pool = [r["item"] for r in counts.orderBy(F.desc("n"), F.asc("item")).limit(n_items).collect()]
-        n_pool = len(pool)
-        staged = tx.withColumn("_kept", F.array_intersect("items", F.lit(pool).cast(tx.schema["items"].dataType)))
-    else:
-        pool = with_dense_index(counts, [F.desc("n"), F.asc("item")], "idx").where(F.col("idx") < n_items).select("idx", "item")
-        n_pool = pool.count()
-        rows = _with_row_id(tx)
-        # distinct items in input order, as array_intersect leaves them
-        kept_long = rows.select("_rid", F.posexplode(F.array_distinct("items")).alias("pos", "item")).join(pool.select("item"), "item", "left_semi")
-        kept = kept_long.groupBy("_rid").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda p: p["item"]).alias("_kept"))
-        staged = rows.join(kept, "_rid", "left").withColumn("_kept", F.coalesce("_kept", F.array().cast(tx.schema["items"].dataType)))
+    # top-k is the feature; k is the caller's bound
+    ranked = with_dense_index(counts, [F.desc("n"), F.asc("item")], "idx").where(F.col("idx") < n_items)
+    pool, n_pool, pool_bytes = cut_lineage_sized(ranked.select("idx", "item", F.col("n").alias("support_count")))
     if n_pool == 0:
         return tx.withColumn("items", F.array().cast(tx.schema["items"].dataType))
+    total = pool.agg(F.sum("support_count")).head()[0]
+    rows = _with_row_id(tx)
+    # distinct items in input order
+    long = rows.select("_rid", F.posexplode(F.array_distinct("items")).alias("pos", "item"))
+    kept_long = probe(long, pool.select("item", "support_count"), ["item"], pool_bytes, total, "left_semi")
+    kept = kept_long.groupBy("_rid").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda p: p["item"]).alias("_kept"))
+    staged = rows.join(kept, "_rid", "left").withColumn("_kept", F.coalesce("_kept", F.array().cast(tx.schema["items"].dataType)))
     staged = staged.withColumn("_need", F.size("items") - F.size("_kept"))
-    drawn = _draw_from_pool(staged, "_need", pool, n_pool, seed, TAG_RESTRICT, item_type)
+    drawn = _draw_from_pool(staged, "_need", pool.drop("support_count"), n_pool, pool_bytes, seed, TAG_RESTRICT)
     items = F.concat("_kept", "drawn")
     if as_set:
         items = F.sort_array(F.array_distinct(items))
@@ -92,17 +77,12 @@ def pad_transactions(tx: DataFrame, target_len: int, seed: int = 0) -> DataFrame
     """a transaction shorter than ``target_len`` gets (target - len) items
     drawn with replacement from all distinct items (ascending order defines the
     pool index), then collapses to a set (so it can end up shorter)."""
-    item_type = tx.schema["items"].dataType.elementType
     distinct = tx.select(F.explode("items").alias("item")).distinct()
-    n_pool = distinct.count()
+    pool, n_pool, pool_bytes = cut_lineage_sized(with_dense_index(distinct, ["item"], "idx").select("idx", "item"))
     if n_pool == 0:
         return tx
-    if n_pool <= LITERAL_LIMIT:
-        pool, rows = [r["item"] for r in distinct.orderBy("item").collect()], tx
-    else:
-        pool, rows = with_dense_index(distinct, ["item"], "idx").select("idx", "item"), _with_row_id(tx)
-    staged = rows.withColumn("_need", F.greatest(F.lit(target_len) - F.size("items"), F.lit(0)))
-    drawn = _draw_from_pool(staged, "_need", pool, n_pool, seed, TAG_PAD, item_type)
+    staged = _with_row_id(tx).withColumn("_need", F.greatest(F.lit(target_len) - F.size("items"), F.lit(0)))
+    drawn = _draw_from_pool(staged, "_need", pool, n_pool, pool_bytes, seed, TAG_PAD)
     return drawn.withColumn("items", F.sort_array(F.array_distinct(F.concat("items", "drawn")))).select(*tx.columns)
 
 

@@ -9,11 +9,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Upper bound (bytes, estimated from exact row counts) for hinting a broadcast.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# Upper bound (elements) for shipping a small driver-side list as a literal.
-LITERAL_LIMIT = 20_000
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "sparkmine") -> SparkSession:
@@ -86,9 +85,9 @@ def cut_lineage_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, d
 
 
 def persist_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
-    """Cache a small table whose lineage starts at a written table (one
-    aggregation away), computing ``metrics`` in the same job.  A lost cached
-    partition is recomputed from that written table, never from the loop."""
+    """Cache a table and compute ``metrics`` in the same job.  A lost cached
+    partition is recomputed from what it was made of: callers write a table every
+    few steps, which bounds the steps that are replayed."""
     obs = Observation(f"sparkmine_{uuid.uuid4().hex}")
     exprs = [c.alias(name) for name, c in metrics.items()]
     out = df.observe(obs, *exprs).persist()
@@ -97,9 +96,34 @@ def persist_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]
     return out, {k: (got.get(k) if got.get(k) is not None else 0) for k in metrics}
 
 
+def row_bytes(columns, schema: T.StructType) -> Column:
+    """Bytes that a row's values take: the UTF-8 length of strings, the elements of
+    arrays, 8 for anything else, and 40 for the row itself.  Summed while a table is
+    written, it is the size that decides on a broadcast."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    total = F.lit(40).cast("long")
+    for c in columns:
+        kind = kinds.get(c)
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(c)).cast("long"), F.lit(0))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            total = total + F.coalesce(F.aggregate(F.col(c), F.lit(0).cast("long"), lambda n, x: n + 16 + F.octet_length(x)), F.lit(0))
+        elif isinstance(kind, T.ArrayType):
+            total = total + F.lit(8) * F.greatest(F.size(F.col(c)), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def cut_lineage_sized(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``cut_lineage`` that also returns the rows and bytes it wrote."""
+    out, m = cut_lineage_observed(df, n=F.count(F.lit(1)), bytes=F.sum(row_bytes(df.columns, df.schema)))
+    return out, int(m["n"]), int(m["bytes"])
+
+
 def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
-    """Hint a broadcast only when the exact row count times a per-row size bound
-    fits under ``BROADCAST_LIMIT_BYTES``; otherwise let the planner/AQE choose."""
+    """Hint a broadcast only when the exact row count times the size of a row (rows
+    of fixed width; ``cut_lineage_sized`` measures others) fits under ``BROADCAST_LIMIT_BYTES``; otherwise let the planner/AQE choose."""
     if n_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
         return F.broadcast(df)
     return df

@@ -6,9 +6,12 @@ import io
 import numpy as np
 from pyspark.sql import functions as F
 
+from sparkmine import session
 from sparkmine.operators import clustering as CL
 from sparkmine.operators import itemsets as IS
+from sparkmine.operators import joins as J
 from sparkmine.plans.catalog import brand_baskets
+from sparkmine.session import cut_lineage_sized
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,11 +37,48 @@ def test_sample_is_a_filter_with_take_ordered_cutoff(spark):
     assert "Sort " not in main and "Exchange" not in main
 
 
-def test_tail_extension_broadcasts_the_small_side(spark, tiny):
-    level = IS.apriori(tiny, 2).where("k = 2").select("items", "support_count")
-    occ = tiny.select(F.array(F.element_at("items", 1)).alias("items"), F.slice("items", 2, 10).alias("tail"))
-    p = plan(IS._extend_tails(occ, level, 2, [], 6))
-    assert "BroadcastHashJoin" in p
+def test_probe_broadcasts_by_measured_bytes(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n long, item string")
+    table, n, size = cut_lineage_sized(spark.createDataFrame([("a" * 1000,), ("b",)], "item string"))
+    assert n == 2 and size > 1000
+    assert "BroadcastHashJoin" in plan(J.probe(rows, table, ["item"], size))
+    assert "SortMergeJoin" in plan(J.probe(rows, table, ["item"], 65 * 2**20))
+
+
+def test_probe_broadcasts_only_hot_keys_of_a_large_table(spark):
+    """A third of the rows has one key: it is broadcast, the others are shuffled by the whole key."""
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("b"), (F.col("id") % 7).alias("item"), "id")
+    table = rows.groupBy("b", "item").agg(F.count(F.lit(1)).alias("support_count")).where("item < 5").withColumn("node", F.col("b") * 10 + F.col("item"))
+    small = J.probe(rows, table, ["b", "item"], 0, 900)
+    large = J.probe(rows, table, ["b", "item"], 2**40, 900)
+    order = ["b", "item", "id", "node"]
+    assert sorted(map(tuple, small.select(order).collect())) == sorted(map(tuple, large.select(order).collect()))
+    p = plan(large)
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" in p
+
+
+def test_miner_joins_on_group_and_item(spark, tiny, monkeypatch):
+    """No join of the miner is on the bucket alone, whatever the size of its tables."""
+    made = []
+    inner = J.probe
+    monkeypatch.setattr(IS, "probe", lambda rows, table, on, *a, **k: made.append(on) or inner(rows, table, on, *a, **k))
+    for limit in (2**26, 0):
+        monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", limit)
+        IS.son_local(IS.with_bucket(tiny, 3), 2).itemsets.collect()
+    assert ["bucket", "item"] in made and ["bucket"] not in made
+    assert all(len(on) == 2 for on in made)
+
+
+def test_pairs_are_formed_block_by_block(spark):
+    df = spark.createDataFrame([("x", i) for i in range(57)] + [("y", 1), ("y", 2), (None, 5), (None, 6)], "g string, v long")
+    pairs = J.ordered_pairs(df, "v", ["g"], block=10)
+    want = {("x", a, b) for a in range(57) for b in range(a + 1, 57)} | {("y", 1, 2), (None, 5, 6)}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(want) and set(got) == want
+    p = plan(pairs)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    one = J.ordered_pairs(df.where("g = 'x'").drop("g"), "v", block=7)
+    assert {tuple(r) for r in one.collect()} == {(a, b) for a in range(57) for b in range(a + 1, 57)}
 
 
 def test_assignment_is_one_arrow_udf(spark):

@@ -1,7 +1,8 @@
-"""Small and large inputs take different joins; the rows must be the same."""
+"""Tables are broadcast or not by their measured size; the rows must be the same."""
 
 import pytest
 
+from sparkmine import session
 from sparkmine.operators import itemsets as I
 from sparkmine.operators import transform as X
 
@@ -19,8 +20,7 @@ def rows(df):
 
 def both(monkeypatch, run):
     small = rows(run())
-    monkeypatch.setattr(I, "LITERAL_LIMIT", 0)
-    monkeypatch.setattr(X, "LITERAL_LIMIT", 0)
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", 0)
     large = rows(run())
     assert small == large
     return small
