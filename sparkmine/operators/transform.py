@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.functions.columns import TWO_POW_52, seeded_hash, seeded_uniform
 from sparkmine.operators.joins import probe
-from sparkmine.session import cut_lineage, cut_lineage_sized
+from sparkmine.session import cut_lineage, cut_lineage_observed, cut_lineage_sized, row_bytes
 from sparkmine.sources.index import with_dense_index, with_group_rank_counted
 
 # Tags separating the random streams of the modifiers.
@@ -53,12 +53,14 @@ def restrict_items(tx: DataFrame, n_items: int, seed: int = 0, as_set: bool = Fa
     the length stays.  The result is a bag (kept items in order, then the
     draws) unless ``as_set``."""
     counts = tx.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    # top-k is the feature; k is the caller's bound
-    ranked = with_dense_index(counts, [F.desc("n"), F.asc("item")], "idx").where(F.col("idx") < n_items)
-    pool, n_pool, pool_bytes = cut_lineage_sized(ranked.select("idx", "item", F.col("n").alias("support_count")))
+    # top-k is the feature; k is the caller's bound, so the places are numbered in one task
+    top = counts.orderBy(F.desc("n"), F.asc("item")).limit(n_items)
+    place = (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("item"))) - 1).cast("long")
+    ranked = top.select(place.alias("idx"), "item", F.col("n").alias("support_count"))
+    pool, m = cut_lineage_observed(ranked, n=F.count(F.lit(1)), bytes=F.sum(row_bytes(ranked.columns, ranked.schema)), total=F.sum("support_count"))
+    n_pool, pool_bytes, total = int(m["n"]), int(m["bytes"]), int(m["total"])
     if n_pool == 0:
         return tx.withColumn("items", F.array().cast(tx.schema["items"].dataType))
-    total = pool.agg(F.sum("support_count")).head()[0]
     rows = _with_row_id(tx)
     # distinct items in input order
     long = rows.select("_rid", F.posexplode(F.array_distinct("items")).alias("pos", "item"))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from sparkmine.operators import itemsets as IS
 from sparkmine.operators import transform as TR
-from sparkmine.session import cut_lineage
+from sparkmine.session import cut_lineage, table_scope
 
 RUNS_SCHEMA = T.StructType(
     [
@@ -83,22 +83,30 @@ def run_sweep(tx: DataFrame, grid: list[SweepRow], seed: int = 0, dense_ids: boo
     (the modifiers are seeded).  ``dense_ids``: txn_id is the 0..n-1 source
     position (text sources), so F6 is a filter."""
     spark = tx.sparkSession
-    base = IS.prepare_transactions(tx)
     runs, cands = [], []
-    for run_id, row in enumerate(grid):
-        changed = row.fraction is not None or row.pad_target is not None or row.restrict_items is not None
-        bag = cut_lineage(modified(base, row, seed, dense_ids)) if changed else base
-        # A3 sees the bag (F3 output may repeat items); mining counts sets
-        prof = IS.transaction_profile(bag).first()
-        data = IS.prepare_transactions(bag) if changed else base
-        t0 = time.perf_counter()
-        son = IS.son(data, row.num_partitions, support=row.support, stats=True)
-        n_itemsets = son.itemsets.count()
-        seconds = time.perf_counter() - t0
-        runs.append(
-            (run_id, row.dataset, int(prof["n"]), float(prof["avg_len"]), int(prof["distinct_items"]), float(prof["density"]),
-             float(row.support), int(row.num_partitions), int(son.local_min), int(n_itemsets), float(seconds))
-        )
-        for r in son.candidate_stats.groupBy("k").agg(F.sum("n_candidates").alias("n")).collect():
-            cands.append((run_id, int(r["k"]), int(r["n"])))
+    with table_scope(spark):
+        base = IS.prepare_transactions(tx)
+        for run_id, row in enumerate(grid):
+            # a run's tables and caches go when its figures are on the driver
+            with table_scope(spark):
+                _run(base, run_id, row, seed, dense_ids, runs, cands)
     return spark.createDataFrame(runs, RUNS_SCHEMA), spark.createDataFrame(cands, RUN_CANDIDATES_SCHEMA)
+
+
+def _run(base: DataFrame, run_id: int, row: SweepRow, seed: int, dense_ids: bool, runs: list, cands: list) -> None:
+    """One SON run; appends its rows to ``runs`` and ``cands``."""
+    changed = row.fraction is not None or row.pad_target is not None or row.restrict_items is not None
+    bag = cut_lineage(modified(base, row, seed, dense_ids)) if changed else base
+    # A3 sees the bag (F3 output may repeat items); mining counts sets
+    prof = IS.transaction_profile(bag).first()
+    data = IS.prepare_transactions(bag) if changed else base
+    t0 = time.perf_counter()
+    son = IS.son(data, row.num_partitions, support=row.support, stats=True)
+    n_itemsets = son.itemsets.count()
+    seconds = time.perf_counter() - t0
+    runs.append(
+        (run_id, row.dataset, int(prof["n"]), float(prof["avg_len"]), int(prof["distinct_items"]), float(prof["density"]),
+         float(row.support), int(row.num_partitions), int(son.local_min), int(n_itemsets), float(seconds))
+    )
+    for r in son.candidate_stats.groupBy("k").agg(F.sum("n_candidates").alias("n")).collect():
+        cands.append((run_id, int(r["k"]), int(r["n"])))

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Tables and caches of the open scopes, innermost last.
+_scopes: list[list] = []
+
+
+def own_table(path: str) -> None:
+    """The innermost open scope deletes the table at ``path`` when it ends."""
+    if _scopes:
+        _scopes[-1].append(path)
+
+
+@contextmanager
+def table_scope(spark: SparkSession):
+    """Owns the tables written and the caches filled inside it and releases them at its
+    end, also after an error.  What leaves the scope must be on the driver or in a
+    table of the caller's own."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for item in _scopes.pop():
+            if isinstance(item, DataFrame):
+                item.unpersist()
+            else:
+                path = spark._jvm.org.apache.hadoop.fs.Path(item)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and
     read it back: one job, columnar and compressed, no lineage to the inputs,
@@ -71,6 +99,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/sparkmine-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    own_table(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,6 +120,8 @@ def persist_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]
     obs = Observation(f"sparkmine_{uuid.uuid4().hex}")
     exprs = [c.alias(name) for name, c in metrics.items()]
     out = df.observe(obs, *exprs).persist()
+    if _scopes:
+        _scopes[-1].append(out)
     out.write.format("noop").mode("overwrite").save()
     got = obs.get
     return out, {k: (got.get(k) if got.get(k) is not None else 0) for k in metrics}

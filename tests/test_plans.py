@@ -29,12 +29,21 @@ def test_basket_scan_is_pruned_and_pre_aggregated(spark):
     assert "partial_collect_set" in p
 
 
-def test_sample_is_a_filter_with_take_ordered_cutoff(spark):
+def test_sample_is_a_filter_on_the_scan(spark):
     pts = spark.range(1000).select(F.col("id").alias("point_id"))
     p = plan(CL.sample_exact(pts, 10, 1, 0, "point_id", n=1000))
-    assert "TakeOrderedAndProject" in p
-    main = p.split("===== Subqueries =====")[0]
-    assert "Sort " not in main and "Exchange" not in main
+    assert "Sort" not in p and "Exchange" not in p and "TakeOrdered" not in p
+
+
+def test_a_round_reads_only_its_own_part(spark):
+    pts = spark.range(500).select(F.col("id").alias("point_id"), F.array(F.col("id").cast("double")).alias("features"))
+    rounds = CL._batches(pts, 20, 3, 6, "point_id", 500)
+    assert {r["it"]: r["count"] for r in rounds.groupBy("it").count().collect()} == dict.fromkeys(range(6), 20)
+    for it in (0, 5):
+        want = {r["point_id"] for r in CL.sample_exact(pts, 20, 3, it, n=500).collect()}
+        assert {r["point_id"] for r in rounds.where(F.col("it") == it).collect()} == want
+    p = plan(rounds.where(F.col("it") == 2))
+    assert "PartitionFilters: [isnotnull(it" in p and "(it#" in p
 
 
 def test_probe_broadcasts_by_measured_bytes(spark):
