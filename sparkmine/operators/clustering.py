@@ -87,7 +87,7 @@ def _nearest(ids: np.ndarray, mat: np.ndarray, x: np.ndarray, arg: np.ndarray, b
         near = np.flatnonzero(gap * gap * (1 - 1e-9) < best)
         if not len(near):
             continue
-        diff = x[near] - mat[j]
+        diff = x - mat[j] if len(near) == len(x) else x[near] - mat[j]
         d = np.einsum("ij,ij->i", diff, diff)
         lower = d < best[near]
         best[near[lower]] = d[lower]

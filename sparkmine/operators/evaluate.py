@@ -33,8 +33,9 @@ def nmi(df: DataFrame, label_col: str, cluster_col: str) -> DataFrame:
     Everything comes from the joint counts (one row per label and cluster), so
     the input is read once; a null label or cluster is a value like any other."""
     joint = df.groupBy(F.col(label_col).alias("l"), F.col(cluster_col).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    share = lambda *by: F.sum("n").over(Window.partitionBy(*by)) / F.sum("n").over(Window.partitionBy())
-    p = joint.select((F.col("n") / F.sum("n").over(Window.partitionBy())).alias("p"), share("l").alias("p_l"), share("c").alias("p_c"))
+    total = joint.agg(F.sum("n")).scalar()
+    share = lambda by: F.sum("n").over(Window.partitionBy(by)) / total
+    p = joint.select((F.col("n") / total).alias("p"), share("l").alias("p_l"), share("c").alias("p_c"))
     sums = p.agg(
         F.sum(F.col("p") * F.log2(F.col("p") / (F.col("p_l") * F.col("p_c")))).alias("mi"),
         (-F.sum(F.col("p") * F.log2("p_l"))).alias("h_label"),

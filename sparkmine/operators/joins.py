@@ -1,41 +1,20 @@
-"""The size-checked join of many rows with a table of distinct keys, and the
-block join that forms all pairs of a table's rows."""
+"""The block join that forms all pairs of a table's rows (J1 at k = 2), and J4's
+size-checked join (``probe``) for the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine import session
+from sparkmine.session import probe
 from sparkmine.sources.index import with_group_rank_counted
 
-#: A key with at least this fraction of the rows (1 / HOT_PARTS) is hot.
-HOT_PARTS = 64
+__all__ = ["ordered_pairs", "probe"]
+
 #: Rows of one block of the pair join.
 PAIR_BLOCK = 1000
 
 
-def probe(rows: DataFrame, table: DataFrame, on: list[str], table_bytes: int, total: int | None = None, how: str = "inner") -> DataFrame:
-    """Join ``rows`` with ``table`` (one row per key ``on``); one hash lookup a row.
-
-    ``table_bytes`` is the table's size as measured when it was written: within
-    the broadcast bound the table is broadcast and the rows stay where they are.
-    Beyond it both sides are shuffled by the whole key.  ``table`` may carry
-    ``support_count``, how many rows hold the key (``total``: their sum): at most
-    HOT_PARTS keys can hold 1 / HOT_PARTS of the rows each, so those are broadcast
-    whatever the size of the table, and no hot key meets in one task."""
-    plain = table.drop("support_count")
-    if table_bytes <= session.BROADCAST_LIMIT_BYTES:
-        return rows.join(F.broadcast(plain), on, how)
-    if total is None or "support_count" not in table.columns:
-        return rows.join(plain.hint("merge"), on, how)
-    is_hot = F.col("support_count") * HOT_PARTS >= F.lit(total)
-    hot = table.where(is_hot).drop("support_count")
-    cold = table.where(~is_hot).drop("support_count")
-    spread = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold.hint("merge"), on, how)
-    return rows.join(F.broadcast(hot), on, how).unionByName(spread)
-
-
 def ordered_pairs(df: DataFrame, col: str, group_cols=(), block: int | None = None) -> DataFrame:
     """(group..., a, b): all pairs a < b of the distinct values of ``col`` per group.
 

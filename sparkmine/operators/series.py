@@ -60,7 +60,7 @@ def histogram_density(df: DataFrame, col: str, bins: int = 1000, lo: float = -3.
     i2 = F.when(F.col("v") < _edge(i1, lo, hi, bins), i1 - 1).otherwise(i1)
     i3 = F.when((F.col("v") >= _edge(i2 + 1, lo, hi, bins)) & (i2 != bins - 1), i2 + 1).otherwise(i2)
     counts = inr.groupBy(i3.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    total = inr.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     b = F.col("bin")
     lo_e, hi_e = _edge(b, lo, hi, bins), _edge(b + 1, lo, hi, bins)
     return (

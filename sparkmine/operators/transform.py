@@ -96,9 +96,20 @@ def take_fraction(tx: DataFrame, fraction: float, order_cols=("txn_id",), dense_
     if dense_ids:
         n = tx.count()
         return tx.where(F.col("txn_id") < int(n * fraction))
-    indexed, n = with_group_rank_counted(tx, list(order_cols), (), "_idx")
+    order = list(order_cols)
+    keys, n = with_group_rank_counted(tx.select(*order), order, (), "_idx")
     keep = int(n * fraction)
-    return indexed.where(F.col("_idx") < keep).drop("_idx")
+    if keep == 0:
+        return tx.limit(0)
+    # only keys are ordered; the rows are filtered by the last kept key
+    last = keys.where(F.col("_idx") == keep - 1).select(*order).first()
+    key = F.struct(*order)
+    limit = F.struct(*(F.lit(last[c]).cast(tx.schema[c].dataType).alias(c) for c in order))
+    tied = keys.where(F.struct(*order) == limit).agg(F.count(F.lit(1)).alias("n"), F.min("_idx").alias("low")).first()
+    if tied["low"] + tied["n"] == keep:
+        return tx.where(key <= limit)
+    # rows equal in the whole key, of which only some are kept: any of them
+    return tx.where(key < limit).unionByName(tx.where(key == limit).limit(keep - tied["low"]))
 
 
 def augment_points(

@@ -13,6 +13,9 @@ from sparkmine.plans.queries import (
     HIST_LO,
     KMEANSPP_K,
     MINIBATCH_B,
+    MODIFIED,
+    MODIFIED_BUCKETS,
+    MODIFIED_SUPPORT,
     NOISE_HI,
     NOISE_LO,
     NOISE_SIGMA,
@@ -108,6 +111,32 @@ f AS (SELECT txn_id % {p} AS bucket, CAST(len(iset) AS INTEGER) AS k, iset AS it
       FROM sub GROUP BY ALL HAVING count(*) >= (SELECT local_min FROM lm))"""
 
 
+def _modified(restrict: int | None, pad: int | None, seed) -> str:
+    """CTEs ending in bag(txn_id, items), the modified brand baskets, and b, the same as sets."""
+    draw = lambda tag: f"p[CAST(floor({_u(f"'{seed}'", f"'{tag}'", 'txn_id', 'sl')} * len(p)) AS BIGINT) + 1]"
+    if restrict is not None:
+        bag = f"""ic AS (SELECT item, count(*) AS n FROM (SELECT unnest(items) AS item FROM b0) GROUP BY item),
+pool AS (SELECT list(item ORDER BY n DESC, item ASC) AS p FROM (SELECT * FROM ic ORDER BY n DESC, item ASC LIMIT {restrict})),
+kk AS (SELECT txn_id, items, p, list_filter(items, lambda x: list_contains(p, x)) AS kept FROM b0, pool),
+bag AS (SELECT txn_id, list_concat(kept, list_transform(range(1, len(items) - len(kept) + 1), lambda sl: {draw('restrict')})) AS items FROM kk)"""
+    elif pad is not None:
+        bag = f"""pool AS (SELECT list(item ORDER BY item) AS p FROM (SELECT DISTINCT unnest(items) AS item FROM b0)),
+bag AS (SELECT txn_id, list_distinct(list_concat(items, list_transform(range(1, greatest({pad} - len(items), 0) + 1), lambda sl: {draw('pad')}))) AS items FROM b0, pool)"""
+    else:
+        bag = "bag AS (SELECT * FROM b0)"
+    return f"b0 AS ({_baskets('p_brand')}),\n{bag},\nb AS (SELECT txn_id, list_sort(list_distinct(items)) AS items FROM bag)"
+
+
+def _modified_local(restrict: int | None, pad: int | None, seed) -> str:
+    """The locally frequent sets f(bucket, k, items) of the modified baskets."""
+    return f"""WITH RECURSIVE {_modified(restrict, pad, seed)},
+th AS ({_min_count(MODIFIED_SUPPORT)}),
+lm AS (SELECT CAST(ceil(CAST(min_count AS DOUBLE) / {MODIFIED_BUCKETS}) AS BIGINT) AS local_min FROM th),
+{_SUBSETS},
+f AS (SELECT txn_id % {MODIFIED_BUCKETS} AS bucket, CAST(len(iset) AS INTEGER) AS k, iset AS items, count(*) AS support_count
+      FROM sub GROUP BY ALL HAVING count(*) >= (SELECT local_min FROM lm))"""
+
+
 def _points() -> str:
     return "pts AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
 
@@ -250,6 +279,27 @@ runs AS ({' UNION ALL '.join(blocks)})
 SELECT CAST(run_id AS INTEGER) AS run_id, dataset, CAST(n AS BIGINT) AS n, round(avg_len, 6) AS avg_len,
   CAST(distinct_items AS BIGINT) AS distinct_items, round(avg_len / distinct_items, 6) AS density, support,
   CAST(num_partitions AS INTEGER) AS num_partitions, local_min, CAST(n_itemsets AS BIGINT) AS n_itemsets FROM runs"""
+    k1 = f"SELECT txn_id % {MODIFIED_BUCKETS} AS bucket, count(DISTINCT item) AS n FROM (SELECT txn_id, unnest(items) AS item FROM b) GROUP BY ALL"
+    cands = "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS run_id, k, CAST(sum(n_candidates) AS BIGINT) AS n_candidates FROM ({_growth(_modified_local(m, t, SEED), 'bucket', k1)}) GROUP BY k"
+        for i, (m, t) in enumerate(MODIFIED)
+    )
+    runs = "\nUNION ALL\n".join(
+        f"""SELECT * FROM ({_modified_local(m, t, SEED)}
+SELECT CAST({i} AS INTEGER) AS run_id, (SELECT count(*) FROM bag) AS n, (SELECT round(avg(len(items)), 6) FROM bag) AS avg_len,
+  (SELECT count(DISTINCT item) FROM (SELECT unnest(items) AS item FROM bag)) AS distinct_items, (SELECT local_min FROM lm) AS local_min,
+  (SELECT count(*) FROM (SELECT iset FROM sub GROUP BY iset HAVING count(*) >= (SELECT min_count FROM th))) AS n_itemsets)"""
+        for i, (m, t) in enumerate(MODIFIED)
+    )
+    q["sweep_modified"] = f"SELECT * FROM ({runs}) JOIN ({cands}) USING (run_id)"
+    hashed = f"CAST(floor({_u(f"'{SEED}'", 'txn_id')} * {SON_BUCKETS}) AS BIGINT) AS bucket"
+    q["son_hash"] = _son_local_cte("p_brand", BRAND_SUPPORT, SON_BUCKETS).replace(f"txn_id % {SON_BUCKETS} AS bucket", hashed) + """
+SELECT CAST(bucket AS INTEGER) AS bucket, k, array_to_string(items, ',') AS items, support_count FROM f"""
+    q["count_open_family"] = f"""WITH RECURSIVE b AS ({_baskets('p_brand')}),
+{_SUBSETS},
+allc AS (SELECT iset AS items, count(*) AS c FROM sub GROUP BY iset)
+SELECT array_to_string(items, ',') AS items, CAST(c AS BIGINT) AS support_count
+FROM allc WHERE items IN (SELECT items FROM b WHERE len(items) BETWEEN 2 AND 4)"""
     # ---- modifiers
     q["restrict_items"] = f"""WITH b AS ({_baskets('p_type')}),
 ic AS (SELECT item, count(*) AS n FROM (SELECT unnest(items) AS item FROM b) GROUP BY item),

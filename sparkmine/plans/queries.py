@@ -54,6 +54,15 @@ def sweep_grid() -> list:
     return [SweepRow(sup, p, fraction=f, dataset="brand") for sup, p, f in SWEEP]
 
 
+#: (restrict_items, pad_target) of the runs over modified baskets: F3, F4, none.
+MODIFIED = [(12, None), (None, 4), (None, None)]
+MODIFIED_SUPPORT, MODIFIED_BUCKETS = 0.02, 3
+
+
+def modified_grid() -> list:
+    return [SweepRow(MODIFIED_SUPPORT, MODIFIED_BUCKETS, restrict_items=m, pad_target=t, dataset="brand") for m, t in MODIFIED]
+
+
 def _r(c, places: int = 6):
     return F.round(F.col(c) if isinstance(c, str) else c, places)
 
@@ -178,6 +187,29 @@ def q_son_sweep(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_sweep_modified(spark: SparkSession, d: str) -> DataFrame:
+    """K1 and K2 (run_candidates) of a sweep over the baskets restricted (F3), padded
+    (F4) and as they are: profile and itemsets of each run with the candidates of
+    each level, summed over the buckets."""
+    runs, cands = run_sweep(brand_baskets(spark, d), modified_grid(), SEED)
+    runs = runs.select("run_id", "n", _r("avg_len").alias("avg_len"), "distinct_items", "local_min", "n_itemsets")
+    return cands.join(runs, "run_id")
+
+
+def q_son_hash(spark: SparkSession, d: str) -> DataFrame:
+    """A6 with buckets by a seeded hash of the transaction."""
+    run = IS.son(brand_baskets(spark, d), SON_BUCKETS, support=BRAND_SUPPORT, bucket="hash", seed=SEED, stats=False)
+    return _itemset_out(run.local, F.col("bucket").cast("int").alias("bucket"))
+
+
+def q_count_open_family(spark: SparkSession, d: str) -> DataFrame:
+    """J3 over a family that is not downward closed: every distinct basket of two to
+    four brands, counted in all baskets."""
+    tx = IS.prepare_transactions(brand_baskets(spark, d))
+    counts = IS.count_candidates(tx, tx.select("items").where(F.size("items").between(2, 4)))
+    return counts.select(itemset_string("items").alias("items"), "support_count")
+
+
 # ---------------------------------------------------------------- modifiers
 
 
@@ -320,6 +352,9 @@ QUERIES = {
     "son_local": q_son_local,
     "son_candidate_stats": q_son_candidate_stats,
     "son_sweep": q_son_sweep,
+    "sweep_modified": q_sweep_modified,
+    "son_hash": q_son_hash,
+    "count_open_family": q_count_open_family,
     "count_candidates": q_count_candidates,
     "prune_infrequent": q_prune_infrequent,
     "fp_growth": q_fp_growth,

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.session import cut_lineage_observed, maybe_broadcast
+from sparkmine import session
+from sparkmine.session import cut_lineage_observed, cut_lineage_sized
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
@@ -61,11 +62,11 @@ def with_group_rank_counted(
         "_offset",
         F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(F.col("_pid").alias("_block"), *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)), "_offset", "_first")
-    n_blocks = blocks.count()
+    blocks, _, size = cut_lineage_sized(blocks)
     same = F.col("_pid") == F.col("_block")
     for i, c in enumerate(group_cols):  # a null group is a group
         same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    joined = tagged.join(maybe_broadcast(blocks, n_blocks, 64 + 32 * len(group_cols)), same)
+    joined = tagged.join(F.broadcast(blocks) if size <= session.BROADCAST_LIMIT_BYTES else blocks, same)
     out = joined.withColumn(rank_col, (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("long")).drop(
         "_mid", "_pid", "_pos", "_offset", "_first", "_block", *(f"_g{i}" for i in range(len(group_cols)))
     )

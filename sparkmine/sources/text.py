@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmine.session import cut_lineage, maybe_broadcast
+from sparkmine.session import cut_lineage, cut_lineage_sized, probe
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with ``line_no`` = 0-based position in source order.
 
-    Source order is (file path, split start, position in the split).  A split
-    is read in order by one task, so a line's number is the number of lines in
-    the splits before it plus its position in its split (scan-time id minus
-    the split's first id).  That needs one small aggregate per split and a
-    join with it; the lines themselves are never shuffled or sorted.  The
-    numbered lines are written once (the scan-time id must not be recomputed
-    by later passes, and those then read parquet instead of text).
+    Source order is (file path, split start, position in the split).  The lines are
+    written once, each with its split and a scan-time id that grows within the split;
+    the splits' sizes and first ids are then counted in that written table, so the
+    numbers rest on one scan of the text, however later passes cut their splits.
+    A line's number is the number of lines in the splits before its own plus its
+    position there: one small aggregate per split and a join with it; the lines
+    themselves are neither shuffled nor sorted.
     """
     raw = spark.read.text(path).select(
         "value",
@@ -25,16 +25,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_scan_id"),
     )
-    splits = raw.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_scan_id").alias("_first"))
+    lines = cut_lineage(raw)
+    splits = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_scan_id").alias("_first"))
     # one row per input split (data size / split size): small enough for one ordered pass
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    n_splits = splits.count()
-    return cut_lineage(
-        raw.join(maybe_broadcast(splits, n_splits, 256), ["_file", "_block"]).select(
-            "value", (F.col("_offset") + F.col("_scan_id") - F.col("_first")).alias("line_no")
-        )
-    )
+    splits, _, size = cut_lineage_sized(splits)
+    return probe(lines, splits, ["_file", "_block"], size).select("value", (F.col("_offset") + F.col("_scan_id") - F.col("_first")).alias("line_no"))
 
 
 def _tokens(value_col: str = "value"):
