@@ -47,9 +47,11 @@ DROP_PERCENT = 50
 #: Words whose windows a task packs at once.
 FLUSH = 600_000
 #: Windows of one group (about 60 bytes each while it is counted).
-MAX_GROUP = 750_000
+MAX_GROUP = 600_000
 #: Assumed bytes per word when the number of groups is chosen from the size of the texts.
 BYTES_PER_WORD = 6
+#: Text bytes handled at once (a longer text is one piece): bounds the scratch arrays.
+CHUNK_BYTES = 1 << 19
 #: log2 of the bits of the wanted words' bitmap (4 MB).
 MARK_BITS = 25
 
@@ -116,7 +118,7 @@ def _count_prefixes(bins: int):
     def run(batches):
         total = [np.zeros(bins, dtype=np.int64) for _ in range(ORDER - 1)]
         for batch in batches:
-            for chunk in K.chunks(batch.column(1)):
+            for chunk in K.chunks(batch.column(1), CHUNK_BYTES):
                 found = Words(chunk)
                 for depth, b in enumerate(_bins(_windows(found.hash, found.piece)[: ORDER - 1], bins)):
                     total[depth] += np.bincount(b, minlength=bins)
@@ -183,7 +185,7 @@ def _partition(bins: int, heavy: list[np.ndarray], flush: int):
 
         for batch in batches:
             lang, names = _langs(batch.column(0))
-            for chunk in K.chunks(batch.column(1)):
+            for chunk in K.chunks(batch.column(1), CHUNK_BYTES):
                 found = Words(chunk)
                 if not len(found.hash):
                     continue
@@ -235,7 +237,9 @@ def _count_group(least: int):
             for j in range(ORDER):
                 cols[j].append(ids[codes[j]])
             counts.append(n)
-        keys, n = _fold([np.concatenate(c) for c in cols], np.concatenate(counts).astype(np.int64), least, depth)
+        for j in range(ORDER):
+            cols[j] = np.concatenate(cols[j])
+        keys, n = _fold(cols, np.concatenate(counts).astype(np.int64), least, depth)
         return pd.DataFrame({"lang": lang, **{f"w{j + 1}": k.view(np.int64) for j, k in enumerate(keys)}, "n": n})
 
     return run
@@ -302,15 +306,13 @@ def scored_phrases(counts: DataFrame, drop_percent: int = DROP_PERCENT) -> DataF
     return two.unionByName(three).select("lang", "k", "w1", "w2", "w3", "a", "best.l", "best.r", "best.score")
 
 
-def _first(scored: DataFrame, top: int) -> DataFrame:
-    """The rows of the first ``top`` places of each language, with all ties of the
-    last place: first within hashed parts of a language, then of what they leave."""
-    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_score = [F.col("score").desc(), F.col("a").desc()]
-    dealt = scored.withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(parts)))
+def _first(df: DataFrame, top: int, place: Column, order: list[Column]) -> DataFrame:
+    """The rows of the first ``top`` places of each language, and ``place``: first
+    within hashed parts of a language, then of what the parts leave."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(parts)))
     for keys in (["lang", "part"], ["lang"]):
-        placed = dealt.withColumn("place", F.rank().over(Window.partitionBy(*keys).orderBy(*by_score)))
-        dealt = placed.where(F.col("place") <= top).drop("place")
+        dealt = dealt.withColumn("place", place.over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= top)
     return dealt.drop("part")
 
 
@@ -321,7 +323,7 @@ def _spell(bitmap):
         marks = np.frombuffer(bitmap.value, dtype=np.uint64)
         seen = np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            for chunk in K.chunks(batch.column(0)):
+            for chunk in K.chunks(batch.column(0), CHUNK_BYTES):
                 found = Words(chunk)
                 bit = found.hash >> K.U64(64 - MARK_BITS)
                 at = np.flatnonzero(marks[(bit >> K.U64(6)).astype(np.int64)] >> (bit & K.U64(63)) & K.U64(1))
@@ -362,15 +364,16 @@ def collocations(
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     counts = cut_lineage(phrase_counts(docs, text_col, lang_col, min_count, max_group, flush))
     by_score = [F.col("score").desc(), F.col("a").desc()]
-    near = _first(scored_phrases(counts, drop_percent), top)
+    # rank() keeps all ties of the last place
+    near = _first(scored_phrases(counts, drop_percent), top, F.rank(), by_score).drop("place")
     near = cut_lineage(near.join(counts.where(F.col("k") == 0).select("lang", "n"), "lang"))
     cols = [f"w{j + 1}" for j in range(ORDER)]
     long = near.select(*near.columns, F.posexplode(F.slice(F.array(*cols), 1, F.col("k"))).alias("pos", "id"))
     names = spelled(docs, long.select("id").distinct(), text_col)
     parts = long.join(names, "id").groupBy("lang", "k", *cols, "a", "l", "r", "n", "score").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("words"))
     phrases = parts.withColumn("phrase", F.array_join(F.transform("words", lambda x: x["word"]), " "))
-    final = phrases.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by_score, F.col("phrase").asc())))
-    return final.where(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    final = _first(phrases, top, F.row_number(), [*by_score, F.col("phrase").asc()])
+    return final.select("lang", F.col("place").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,12 +56,14 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def assign_shards(docs: DataFrame, id_col: str = "doc_id", shards=SHARDS, slots: int = SLOTS, slot_name: str = "slot", shard_name: str = "shard") -> DataFrame:
-    """``docs`` plus its slot and shard; columns of these names are replaced."""
+    """``docs`` plus its slot and shard; columns of these names, in whatever case, are
+    replaced, and any other name may occur."""
     names = list(shards)
-    table = docs.sparkSession.createDataFrame([(i, names[s]) for i, s in enumerate(lookup_table(names, slots))], "_slot int, _shard string")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (slot_name, shard_name)]
-    placed = docs.select(*kept, slot_of(F.col(f"`{id_col}`"), slots).alias("_slot")).join(F.broadcast(table), "_slot")
-    return placed.select(*kept, F.col("_slot").alias(slot_name), F.col("_shard").alias(shard_name))
+    table = docs.sparkSession.createDataFrame([(i, names[s]) for i, s in enumerate(lookup_table(names, slots))], "at int, name string")
+    gone = {slot_name.lower(), shard_name.lower()}
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in gone)).alias("row")
+    placed = docs.select(own, slot_of(F.col(f"`{id_col}`"), slots).alias("at")).join(F.broadcast(table), "at")
+    return placed.select("row.*", F.col("at").alias(slot_name), F.col("name").alias(shard_name))
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", shards=SHARDS, slots: int = SLOTS) -> None:

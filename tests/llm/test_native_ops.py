@@ -125,3 +125,12 @@ def test_shards_are_stable_and_written(spark, folder, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(EDGE)
     assert any(x.startswith("shard=") for x in os.listdir(tmp_path / "out"))
     assert S.assign_shards(docs.limit(0)).count() == 0
+
+
+def test_sharding_of_any_column_names(spark):
+    from sparkmine.llm import sharding as S
+
+    df = spark.createDataFrame([(1, "a", 5, "x", 2, 3)], "doc_id long, _slot string, _shard long, SLOT string, at int, row int")
+    out = S.assign_shards(df)
+    assert out.columns == ["doc_id", "_slot", "_shard", "at", "row", "slot", "shard"]
+    assert out.head()["at"] == 2 and S.assign_shards(df.limit(0)).count() == 0
