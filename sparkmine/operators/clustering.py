@@ -293,47 +293,48 @@ def kmeanspp(
     power: float = 1.0,
     id_col: str = "point_id",
     features_col: str = "features",
-    cut_every: int = 10,
+    cut_every: int = 4,
+    written: bool = False,
 ) -> tuple[DataFrame, list]:
     """Weighted seeding.  The first centre is uniform; each next one is
     drawn with probability proportional to (distance to the nearest chosen
     centre) ** power via an exponential race (smallest -ln(u)/w wins, ties by
     id); chosen points are left out, so equal points never repeat one.  Returns (centres frame, chosen ids).
 
-    Each step is one job: it extends the cached per-point minimum distance by
-    the newest centre and takes the race winner (TakeOrdered 1).  The state's
-    lineage is cut (written table) every ``cut_every`` steps, so a lost
-    executor replays at most that many steps, and the data is not rewritten
-    on every step."""
+    The vectors are written once (not at all if ``points`` is ``written`` already),
+    cached by id and never rewritten.  The state is a table (id, distance to the
+    nearest centre so far) of 16 bytes a point, written every ``cut_every`` steps; it
+    meets the cached vectors by id, and the centres chosen since are applied to it in
+    one pass, which takes the race's winner."""
     spark = points.sparkSession
-    state = cut_lineage(points.select(id_col, features_col))
-    n = state.count()
+    pts = points.select(id_col, features_col)
+    pts = (pts if written else cut_lineage(pts)).repartition(F.col(id_col)).persist()
+    n = pts.count()
     if k > n:
+        pts.unpersist()
         raise ValueError(f"k = {k} exceeds the {n} points")
-    first = state.orderBy(seeded_hash(seed, F.lit(TAG_SEED), F.lit(0), F.col(id_col)), id_col).limit(1).collect()[0]
+    first = pts.orderBy(seeded_hash(seed, F.lit(TAG_SEED), F.lit(0), F.col(id_col)), id_col).limit(1).collect()[0]
     chosen_ids = [first[id_col]]
     chosen = [np.asarray(first[features_col], dtype=np.float64)]
-    state = state.withColumn("_min_dist", F.lit(None).cast("double"))
-    cached = None
+    state, applied = None, 0
     for step in range(1, k):
-        last = F.lit([float(v) for v in chosen[-1]]).cast("array<double>")
-        d = euclidean_distance(features_col, last)
-        nxt = state.withColumn("_min_dist", F.least(F.coalesce("_min_dist", d), d))
-        if step % cut_every == 0:
-            nxt = cut_lineage(nxt)
+        near = [euclidean_distance(features_col, F.lit([float(v) for v in c]).cast("array<double>")) for c in chosen[applied:]]
+        if state is None:
+            rows = pts
         else:
-            nxt = nxt.persist()
+            rows = pts.join(state, F.col(id_col) == F.col("_id")).drop("_id")
+            near.append(F.col("_before"))
+        rows = rows.withColumn("_min_dist", F.least(*near) if len(near) > 1 else near[0]).drop("_before")
+        if len(chosen) - applied >= cut_every:
+            state = cut_lineage(rows.select(F.col(id_col).alias("_id"), F.col("_min_dist").alias("_before")))
+            applied = len(chosen)
+            rows = pts.join(state.withColumnRenamed("_before", "_min_dist"), F.col(id_col) == F.col("_id")).drop("_id")
         weight = F.pow(F.col("_min_dist"), F.lit(float(power))) if power != 1.0 else F.col("_min_dist")
         key = race_key(seed, weight, F.lit(TAG_SEED), F.lit(step), F.col(id_col))
-        pick = nxt.where(~F.col(id_col).isin(chosen_ids)).orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
-        if cached is not None:
-            cached.unpersist()
-        cached = nxt if step % cut_every else None
-        state = nxt
+        pick = rows.where(~F.col(id_col).isin(chosen_ids)).orderBy(key.asc_nulls_last(), F.col(id_col)).limit(1).collect()[0]
         chosen_ids.append(pick[id_col])
         chosen.append(np.asarray(pick[features_col], dtype=np.float64))
-    if cached is not None:
-        cached.unpersist()
+    pts.unpersist()
     return centers_frame(spark, np.vstack(chosen)), chosen_ids
 
 
@@ -356,7 +357,7 @@ def minibatch_kmeans(
     pts = cut_lineage(points)
     n = pts.count()
     if init is None:
-        init, _ = kmeanspp(pts, k, seed, id_col=id_col, features_col=features_col)
+        init, _ = kmeanspp(pts, k, seed, id_col=id_col, features_col=features_col, written=True)
     rows = init.orderBy("cluster").collect()
     ids = np.array([r["cluster"] for r in rows], dtype=np.int32)
     mat = np.array([r["center"] for r in rows], dtype=np.float64)

@@ -63,6 +63,33 @@ def test_input_scans_do_not_grow_with_rounds(spark, monkeypatch):
     assert len(calls) == two
 
 
+def test_seeding_equals_brute_force_for_any_state_interval(spark, monkeypatch):
+    """The picks do not depend on how often the state is written, and the vectors are written once."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 2)).round(1)
+    pts = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "point_id long, features array<double>")
+    key = lambda step, w: -np.log((h[step] + 0.5) / 2**52) / w if w > 0 else np.inf
+    picks = []
+    for step in range(9):
+        h = {step: None}
+        hs = {r["point_id"]: r["h"] for r in pts.select("point_id", CL.seeded_hash(4, F.lit(CL.TAG_SEED), F.lit(step), F.col("point_id")).alias("h")).collect()}
+        if step == 0:
+            picks.append(min(hs, key=lambda i: (hs[i], i)))
+            continue
+        best = {}
+        for i in hs:
+            if i not in picks:
+                h[step] = hs[i]
+                best[i] = key(step, min(np.sqrt(((x[i] - x[j]) ** 2).sum()) for j in picks))
+        picks.append(min(best, key=lambda i: (best[i], i)))
+    written, inner = [], CL.cut_lineage
+    monkeypatch.setattr(CL, "cut_lineage", lambda df: written.append(df.columns) or inner(df))
+    for every in (1, 4, 100):
+        written.clear()
+        assert CL.kmeanspp(pts, 9, seed=4, cut_every=every)[1] == picks
+        assert sum("features" in c for c in written) == 1
+
+
 def test_line_numbers_rest_on_one_scan(spark, tmp_path):
     """Other split sizes when the numbered lines are read again."""
     for f in range(2):
