@@ -57,11 +57,15 @@ def _center_blocks(centers, block_bytes: int | None = None):
         for lo in range(0, len(ids), size):
             yield ids[lo : lo + size], mat[lo : lo + size]
         return
-    table = cut_lineage(with_dense_index(centers.select("cluster", "center"), ["cluster"], "_at"))
-    shape = table.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("center")).alias("d")).first()
-    size = max(1, limit // (8 * max(1, shape["d"] or 1)))
-    for lo in range(0, shape["k"], size):
-        rows = table.where((F.col("_at") >= lo) & (F.col("_at") < lo + size)).orderBy("_at").collect()
+    table, m = cut_lineage_observed(centers.select("cluster", "center"), k=F.count(F.lit(1)), d=F.max(F.size("center")))
+    size = max(1, limit // (8 * max(1, m["d"])))
+    # the places of the centres only matter where they are cut into blocks
+    parts = [table]
+    if m["k"] > size:
+        ranked = cut_lineage(with_dense_index(table, ["cluster"], "_at"))
+        parts = [ranked.where((F.col("_at") >= lo) & (F.col("_at") < lo + size)) for lo in range(0, m["k"], size)]
+    for part in parts if m["k"] else []:
+        rows = sorted(part.select("cluster", "center").collect())
         yield np.array([r["cluster"] for r in rows], dtype=np.int32), np.array([r["center"] for r in rows], dtype=np.float64)
 
 
@@ -244,9 +248,11 @@ def batch_cutoffs(df: DataFrame, b: int, seed: int, iterations: int, id_col: str
         rounds = F.explode(F.array(*[F.lit(it) for it in missing])).alias("it")
         keyed = df.select(F.col(id_col), rounds).select("it", _sample_key(seed, F.col("it"), id_col).alias("k"))
         near = cut_lineage(keyed.where(F.col("k.h") < F.lit(bound)).select("it", "k.h", "k.id"))
-        if not near.groupBy("it", "h", "id").count().where("count > 1").isEmpty():
+        each = near.groupBy("it", "h", "id").agg(F.count(F.lit(1)).alias("c"))
+        sizes = each.groupBy("it").agg(F.sum("c").alias("n"), F.max("c").alias("most")).collect()
+        if any(r["most"] > 1 for r in sizes):
             raise ValueError(f"{id_col} is not unique")
-        got = {r["it"]: r["n"] for r in near.groupBy("it").agg(F.count(F.lit(1)).alias("n")).collect()}
+        got = {r["it"]: r["n"] for r in sizes}
         enough = [it for it in missing if got.get(it, 0) >= b]
         found |= _kth_keys(near, b, {it: got[it] for it in enough}, bound)
         if bound == 2**52 and len(enough) < len(missing):
@@ -382,8 +388,7 @@ def minibatch_kmeans(
         for j in np.nonzero(hits)[0]:
             mat[j] = (counts[j] * mat[j] + totals[j]) / (counts[j] + hits[j])
             counts[j] += hits[j]
-    centers = _as_frame(spark, ids, mat, counts)
-    return centers, assign_nearest(points, centers, features_col, method)
+    return _as_frame(spark, ids, mat, counts), assign_nearest(points, (ids, mat), features_col, method)
 
 
 def _batches(points: DataFrame, b: int, seed: int, rounds: int, id_col: str, n: int) -> DataFrame:

@@ -43,7 +43,10 @@ def _draw_from_pool(tx: DataFrame, need: str, pool: DataFrame, n_pool: int, pool
 
 
 def _with_row_id(tx: DataFrame) -> DataFrame:
-    """``tx`` as a written table with a row id ``_rid``."""
+    """``tx`` as a written table with a row id ``_rid``; ``prepare_transactions``
+    has made one already."""
+    if "_rid" in tx.columns:
+        return tx
     return cut_lineage(tx.withColumn("_rid", F.monotonically_increasing_id()))
 
 
