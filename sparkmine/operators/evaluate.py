@@ -33,13 +33,19 @@ def nmi(df: DataFrame, label_col: str, cluster_col: str) -> DataFrame:
     Everything comes from the joint counts (one row per label and cluster), so
     the input is read once; a null label or cluster is a value like any other."""
     joint = df.groupBy(F.col(label_col).alias("l"), F.col(cluster_col).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    total = joint.agg(F.sum("n")).scalar()
-    share = lambda by: F.sum("n").over(Window.partitionBy(by)) / total
-    p = joint.select((F.col("n") / total).alias("p"), share("l").alias("p_l"), share("c").alias("p_c"))
-    sums = p.agg(
-        F.sum(F.col("p") * F.log2(F.col("p") / (F.col("p_l") * F.col("p_c")))).alias("mi"),
-        (-F.sum(F.col("p") * F.log2("p_l"))).alias("h_label"),
-        (-F.sum(F.col("p") * F.log2("p_c"))).alias("h_cluster"),
+    # with totals N, n_l and n_c: H(L) = log2 N - sum(n log2 n_l) / N, and likewise
+    # the others, so no total is needed before the one aggregate
+    within = lambda by: F.sum("n").over(Window.partitionBy(by))
+    rows = joint.select("n", within("l").alias("n_l"), within("c").alias("n_c"))
+    weighed = lambda c: F.sum(F.col("n") * F.log2(c))
+    got = rows.agg(F.sum("n").alias("N"), weighed("n").alias("s"), weighed("n_l").alias("s_l"), weighed("n_c").alias("s_c"), F.max("n_l").alias("m_l"), F.max("n_c").alias("m_c"))
+    # one label or cluster: exactly 0, whatever the sums' rounding
+    entropy_of = lambda total, most: F.when(F.col(most) == F.col("N"), F.lit(0.0)).otherwise(F.log2("N") - F.col(total) / F.col("N"))
+    mutual = F.greatest(F.log2("N") + (F.col("s") - F.col("s_l") - F.col("s_c")) / F.col("N"), F.lit(0.0))
+    sums = got.select(
+        F.when((F.col("m_l") == F.col("N")) | (F.col("m_c") == F.col("N")), F.lit(0.0)).when(F.col("N") > 0, mutual).alias("mi"),
+        entropy_of("s_l", "m_l").alias("h_label"),
+        entropy_of("s_c", "m_c").alias("h_cluster"),
     )
     denom = (F.col("h_cluster") + F.col("h_label")) / F.lit(2.0)
     return sums.select("mi", "h_label", "h_cluster", F.when(denom > 0, F.col("mi") / denom).alias("nmi"))
