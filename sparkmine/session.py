@@ -91,14 +91,14 @@ def table_scope(spark: SparkSession):
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and
     read it back: one job, columnar and compressed, no lineage to the inputs,
-    and it survives executor loss."""
+    and it survives executor loss.  ``compression``: a codec other than the session's."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/sparkmine-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     own_table(path)
     return spark.read.schema(df.schema).parquet(path)
 
