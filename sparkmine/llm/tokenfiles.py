@@ -53,9 +53,20 @@ def word_ids(texts: pa.Array, vocabulary: int):
         yield from np.split(ids, np.cumsum(chunk.counts(doc))[:-1])
 
 
-def write_flat(records: DataFrame, path: str, end: bytes, partition_by: str | list[str] | None = None, most_records: int = 0) -> None:
+def flat_values(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """(first element of every value and the end of the last, all elements) of a
+    binary column without nulls, as views of its buffers."""
+    wide = pa.types.is_large_binary(column.type)
+    size = np.dtype(dtype).itemsize
+    ends = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    body = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(dtype) if data is not None else np.zeros(0, dtype)
+    return (ends - ends[0]) // size, body
+
+
+def write_flat(records: DataFrame, path: str, end: bytes, partition_by: str | list[str] | None = None, most_records: int = 0, mode: str = "errorifexists") -> None:
     """Write a binary column ``value``: each record's bytes and then ``end``."""
-    out = records.withColumn("value", records["value"].cast("string")).write
+    out = records.withColumn("value", records["value"].cast("string")).write.mode(mode)
     if partition_by:
         out = out.partitionBy(partition_by)
     # latin-1 maps the separator's bytes one to one

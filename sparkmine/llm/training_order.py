@@ -9,15 +9,19 @@ count per partition and a prefix scan over those counts number the sequences; bo
 come from the written table, never from a second scan.  A keyed Feistel
 permutation of the next even power of two, walked along its cycle until it falls
 below the number of sequences, maps the number to a global slot: a bijection that
-needs no table and can be inverted.  Shard s holds the slots from s * SHARD_SLOTS;
-one task sorts a shard's records by slot and writes it as one flat file, so slot t
-lies at byte (t mod SHARD_SLOTS) * stride and reading can resume anywhere.
+needs no table and can be inverted.  Shard s holds the slots from s * SHARD_SLOTS:
+range partitions whose bounds are known, since slots are dense.  One task sorts a
+shard's records by slot and writes it as one flat file, so slot t lies at byte
+(t mod SHARD_SLOTS) * stride and reading can resume anywhere.  The shards are
+written in RANGES ranges, one after the other, whose shuffle files go with each;
+the token table goes after the last.
 
 Record: doc_id (int64), number within the document (int32), tokens used (int32),
 the token ids (uint16) and a two-byte record end.
 
 Defined cases: null and empty texts have no sequence, nor have blank ones without a
-tokenizer; a null doc_id is written as -1; repeated rows get sequences of their own.
+tokenizer; a null doc_id is written as -1; repeated rows get sequences of their own;
+other columns, of any name, are not read; an empty table writes no record.
 """
 
 from __future__ import annotations
@@ -34,13 +38,17 @@ from pyspark.sql import functions as F
 from sparkmine.llm import textkernel as K
 from sparkmine.llm import tokenfiles as TF
 from sparkmine.llm.common import documents
-from sparkmine.session import cut_lineage, ensure_checkpoint_dir
+from sparkmine.session import cut_lineage, ensure_checkpoint_dir, table_scope
 
 LENGTH = 512
 SHARD_SLOTS = 8192
 VOCABULARY = 65_535
 KEY = 20240607
 ROUNDS = 6
+#: Ranges of shards that are written one after the other.
+RANGES = 4
+#: Spark's setting that removes a query's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 RECORD_END = b"\xff\xff"
 
 
@@ -112,52 +120,78 @@ def _tokenised(length: int, tokenizer: str | None):
     return run
 
 
-def _records(start: dict[int, int], total: int, length: int, shard_slots: int, key: int):
+def _records(start: dict[int, int], total: int, length: int, shard_slots: int, key: int, low: int, high: int):
+    """The records of the shards low .. high - 1."""
     kind = record_type(length)
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                part, before, pieces, ids = (rows.column(j).to_numpy(zero_copy_only=False) for j in range(4))
-                out = np.zeros(int(pieces.sum()), kind)
-                if not len(out):
-                    continue
-                out["doc_id"] = np.repeat(ids, pieces)
-                first = np.cumsum(pieces) - pieces
-                out["seq"] = np.arange(len(out)) - np.repeat(first, pieces)
-                for i, (f, p) in enumerate(zip(first.tolist(), pieces.tolist())):
-                    t = np.frombuffer(rows.column(4)[i].as_buffer(), "<u2")
-                    padded = np.zeros(p * length, np.uint16)
-                    padded[: len(t)] = t
-                    out["tokens"][f : f + p] = padded.reshape(p, length)
-                    out["n"][f : f + p] = np.minimum(length, len(t) - np.arange(p) * length)
-                number = np.repeat(np.array([start[x] for x in part.tolist()]) + before, pieces) + out["seq"]
-                slot = slot_of(number, total, key)
-                raw = out.view(np.uint8).reshape(len(out), kind.itemsize)[:, :-2]
-                body = pa.array([r.tobytes() for r in raw], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(slot // shard_slots), pa.array(slot), body], ["shard", "slot", "value"])
+            part, before, pieces, ids = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(4))
+            at, body = TF.flat_values(batch.column(4), "<u2")
+            number = np.array([start[x] for x in part.tolist()], np.int64) + before
+            for lo in range(0, len(ids), 512):
+                some = slice(lo, lo + 512)
+                doc = np.repeat(np.arange(len(ids))[some], pieces[some])
+                seq = np.arange(len(doc)) - np.repeat(np.cumsum(pieces[some]) - pieces[some], pieces[some])
+                slot = slot_of(number[doc] + seq, total, key)
+                here = np.flatnonzero((slot >= low * shard_slots) & (slot < high * shard_slots))
+                for cut in range(0, len(here), 2048):
+                    own = here[cut : cut + 2048]
+                    first = at[doc[own]] + seq[own] * length
+                    out = np.zeros(len(own), kind)
+                    out["doc_id"], out["seq"] = ids[doc[own]], seq[own]
+                    out["n"] = np.minimum(length, at[doc[own] + 1] - first)
+                    place = np.arange(length)
+                    used = place < out["n"][:, None]
+                    out["tokens"][used] = body[(first[:, None] + place)[used]]
+                    raw = np.ascontiguousarray(out.view(np.uint8).reshape(len(own), kind.itemsize)[:, : -len(RECORD_END)])
+                    ends = np.arange(len(own) + 1, dtype=np.int32) * raw.shape[1]
+                    value = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+                    yield pa.RecordBatch.from_arrays([pa.array(slot[own] // shard_slots), pa.array(slot[own]), value], ["shard", "slot", "value"])
 
     return run
 
 
-def write_training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY, tokenizer: str | None = None) -> int:
-    """Write the shards under ``path`` as ``shard=<s>/part-*``; the number of
-    sequences.  ``tokenizer``: ranks file of a BPE, or None for hashed words."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    held = cut_lineage(src.mapInArrow(_tokenised(length, tokenizer), "part long, first long, pieces long, doc_id long, tokens binary"))
-    # one row per input partition
-    parts = held.groupBy("part").agg(F.sum("pieces").alias("n"), F.max(F.col("first") + F.col("pieces")).alias("end")).collect()
-    start, total = {}, 0
-    for r in sorted(parts, key=lambda r: r["part"]):
-        if r["n"] != r["end"]:
-            raise RuntimeError(f"partition {r['part']} holds {r['n']} sequences and numbers {r['end']}")
-        start[r["part"]] = total
-        total += r["n"]
-    rows = held.mapInArrow(_records(start, max(1, total), length, shard_slots, key), "shard long, slot long, value binary")
+def _write_ranges(held: DataFrame, path: str, start: dict[int, int], total: int, length: int, shard_slots: int, key: int, ranges: int) -> None:
+    """Write the shards, one range of them after the other: only that range's
+    records are in a shuffle at a time."""
+    spark = held.sparkSession
     shards = max(1, -(-total // shard_slots))
-    sorted_rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot").select("shard", "value")
-    TF.write_flat(sorted_rows, path, RECORD_END, partition_by="shard")
+    ranges = max(1, min(ranges, shards))
+    bounds = [r * shards // ranges for r in range(ranges + 1)]
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        for low, high in zip(bounds, bounds[1:]):
+            rows = held.mapInArrow(_records(start, max(1, total), length, shard_slots, key, low, high), "shard long, slot long, value binary")
+            # slots are dense, so the ranges of equal size are known: one per shard
+            dealt = rows.repartitionById(high - low, (F.col("shard") - F.lit(low)).cast("int"))
+            TF.write_flat(dealt.sortWithinPartitions("shard", "slot").select("shard", "value"), path, RECORD_END, partition_by="shard", mode="append")
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def write_training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY, tokenizer: str | None = None, ranges: int = RANGES) -> int:
+    """Write the shards under ``path``, a new folder, as ``shard=<s>/part-*``; the
+    number of sequences.  ``tokenizer``: ranks file of a BPE, or None for hashed
+    words.  ``ranges``: how many ranges of shards are written one after the other;
+    each reads the token table once, and the table goes after the last."""
+    spark = docs.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise FileExistsError(path)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with table_scope(spark):
+        held = cut_lineage(src.mapInArrow(_tokenised(length, tokenizer), "part long, first long, pieces long, doc_id long, tokens binary"), compression="zstd")
+        # one row per input partition
+        parts = held.groupBy("part").agg(F.sum("pieces").alias("n"), F.max(F.col("first") + F.col("pieces")).alias("end")).collect()
+        start, total = {}, 0
+        for r in sorted(parts, key=lambda r: r["part"]):
+            if r["n"] != r["end"]:
+                raise RuntimeError(f"partition {r['part']} holds {r['n']} sequences and numbers {r['end']}")
+            start[r["part"]] = total
+            total += r["n"]
+        _write_ranges(held, path, start, total, length, shard_slots, key, ranges)
     return total
 
 
