@@ -13,8 +13,12 @@ symmetric difference, which for linked sets is at most (|A| + |B|) / 9.
 2. *Pigeonhole.* In a band two linked sets differ in at most D = floor(2(u-1)/9)
    elements.  The (very wide, hence sparse) sketch is cut into m = D + 1 + z
    blocks, so at least z + 1 blocks are equal.  A block's signature is the XOR of
-   its elements' 64-bit hashes.  Empty blocks are skipped, unless a set has more
-   than z of them: then those are emitted too, and no equal pair can be missed.
+   its elements' 64-bit hashes.  Empty blocks have none.  A set whose elements fall in
+   at most D blocks is thin: two thin sets may agree in empty blocks only, so a
+   thin set also emits the blocks of another hash, and so on until it is not thin
+   (each time for about one small set in fifty).  Of two linked sets that reach a
+   hash, either one is not thin there and they share a block with elements, or both
+   go on; sets still thin after LEVELS hashes emit their empty blocks too.
 3. *Buckets.* Signatures travel packed (six bytes each) to buckets of bounded
    size.  Sets that agree in a signature and in their whole-set hash are one
    class, represented by its smallest doc_id.  Each signature shared by several
@@ -28,7 +32,7 @@ symmetric difference, which for linked sets is at most (|A| + |B|) / 9.
    that links is either verified or already connected.
 
 Defined cases: null or blank text: empty set, linked with nothing; exact copies
-(any number) link through their class; a row with a null doc_id links with
+(any number) link through their class, and only one of a heavy class emits; a row with a null doc_id links with
 nothing and has a null component; with repeated doc_ids every row keeps its own
 n_shingles and its component follows its own set.
 """
@@ -52,6 +56,10 @@ MAX_BUCKET = 2_000_000
 SKETCH = 32
 #: Sets with more elements than that sketch has bits get a wider one as well.
 LONG = 64 * SKETCH
+#: Hashes that deal a thin set's elements to blocks before its empty blocks are emitted.
+LEVELS = 6
+#: A class with at least 1 / HEAVY_PARTS of the documents emits from one id only.
+HEAVY_PARTS = 4096
 #: log2 of the bits of the candidates' bitmap.
 MARK_BITS = 25
 
@@ -77,19 +85,25 @@ def band_signatures(shingles: np.ndarray) -> np.ndarray:
     if not n:
         return shingles
     band = int(np.searchsorted(_LOWS, n, "right")) - 1
-    zobrist, high = K.mix(shingles, 5), shingles >> K.U64(32)
-    out = []
+    zobrist, out = K.mix(shingles, 5), []
     for b in (band, band + 1):
         low, d, m = _BANDS[b]
         if b > band and 5 * n < 4 * low:
             break
-        block = (high * K.U64(m)) >> K.U64(32)
-        cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        parity, at = np.bitwise_xor.reduceat(zobrist, cut), block[cut]
-        if len(cut) <= d:  # thin: all equal blocks may be empty ones
-            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), at)
-            parity, at = np.concatenate((parity, np.zeros(len(empty), np.uint64))), np.concatenate((at, empty))
-        out.append(K.mix(parity ^ K.mix(at + K.U64(b << 40), 6)))
+        for level in range(LEVELS):
+            place = shingles if level == 0 else K.mix(shingles, 60 + level)
+            block = ((place >> K.U64(32)) * K.U64(m)) >> K.U64(32)
+            order = slice(None) if level == 0 else np.argsort(block, kind="stable")  # shingles are sorted
+            block = block[order]
+            cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+            parity, at = np.bitwise_xor.reduceat(zobrist[order], cut), block[cut]
+            thin = len(cut) <= d  # all equal blocks may be empty ones
+            if thin and level == LEVELS - 1:
+                empty = np.setdiff1d(np.arange(m, dtype=np.uint64), at)
+                parity, at = np.concatenate((parity, np.zeros(len(empty), np.uint64))), np.concatenate((at, empty))
+            out.append(K.mix(parity ^ K.mix(at + K.U64((level << 56) + (b << 40)), 6)))
+            if not thin:
+                break
     return np.concatenate(out)
 
 
@@ -139,8 +153,21 @@ def _profile(k: int):
     return run
 
 
-def _emit(k: int, buckets: int):
-    """Packed rows (bucket, documents, set keys, counts, signatures)."""
+def _heavy_classes(profile: DataFrame) -> dict[int, int]:
+    """Set key -> smallest doc_id of the classes that hold at least 1 / HEAVY_PARTS of
+    the documents; there are at most HEAVY_PARTS."""
+    counts = profile.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "k1", "k2").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("doc_id"))
+    least = max(2, -(-profile.count() // HEAVY_PARTS))
+    found: dict[int, int] = {}
+    for r in counts.where(F.col("rows") >= least).select("k1", "doc_id").collect():
+        found[r["k1"]] = min(r["doc_id"], found.get(r["k1"], r["doc_id"]))
+    return found
+
+
+def _emit(k: int, buckets: int, heavy: dict[int, int]):
+    """Packed rows (bucket, documents, set keys, counts, signatures).  A class has one
+    set, so of a heavy class only the smallest doc_id emits, and of equal ids and sets
+    in a chunk of texts only the first."""
 
     def run(batches):
         for batch in batches:
@@ -148,12 +175,16 @@ def _emit(k: int, buckets: int):
             known = given.is_valid().to_numpy(zero_copy_only=False)
             ids = given.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for chunk in K.chunks(batch.column(1)):
-                sigs, keys, own = [], [], []
+                sigs, keys, own, seen = [], [], [], set()
                 for i, s in enumerate(K.shingle_sets(chunk, k), chunk.lo):
                     if len(s) and known[i]:
+                        mine = (int(ids[i]), _set_key(s)[0])
+                        if mine in seen or heavy.get(mine[1], mine[0]) != mine[0]:
+                            continue
+                        seen.add(mine)
                         sigs.append(band_signatures(s))
-                        keys.append(_set_key(s)[0])
-                        own.append(ids[i])
+                        keys.append(mine[1])
+                        own.append(mine[0])
                 if not own:
                     continue
                 size = np.array([len(x) for x in sigs])
@@ -301,7 +332,7 @@ def jaccard_links(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", t
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # 0.6 signatures a word are expected at 6 bytes a word
     buckets = 1 + text_bytes(src) // 10 // max_bucket
-    packed = src.mapInArrow(_emit(k, buckets), "bucket long, docs binary, set_keys binary, counts binary, sigs binary")
+    packed = src.mapInArrow(_emit(k, buckets, _heavy_classes(profile)), "bucket long, docs binary, set_keys binary, counts binary, sigs binary")
     shared = cut_lineage(packed.groupBy("bucket").applyInPandas(_stars, _SHARED).distinct())
     long = _long(profile)
     marks = profile.where("n > 0").drop("k1", "k2", "wide")
