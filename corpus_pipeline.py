@@ -7,8 +7,10 @@ of each group stays) -> benchmark decontamination (documents that hold an item g
 
 A stage takes (spark, docs, sf_dir) and returns a table with the columns of
 ``docs``; the last adds slot and shard.  Rows with a null doc_id link with nothing
-and stay in the second stage; of rows that share a doc_id it keeps one.  An empty
-table passes through as an empty table.
+and stay in the second stage.  It judges rows: two texts that share a doc_id are two
+documents, equal rows are copies of one, and of a group's rows with the smallest
+doc_id the one written first stays.  Very long texts are judged whole.  Other columns
+may have any name.  An empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from sparkmine.llm.jaccard_join import jaccard_components
 from sparkmine.llm.mixing import mix
 from sparkmine.llm.quality import length_free_rules, quality_filter
 from sparkmine.llm.sharding import assign_shards
-from sparkmine.session import ensure_checkpoint_dir
+from sparkmine.session import cut_lineage, ensure_checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +33,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs)
-    stays = found.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_stays")).distinct()
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.join(stays, F.col("doc_id") == F.col("_stays"), "left_semi").dropDuplicates(["doc_id"]).select(*own)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    # rows are told apart by a number written with them, so texts that share a doc_id stay apart
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    held = cut_lineage(docs.select(row, F.monotonically_increasing_id().alias("number")))
+    known = F.col("row.doc_id").isNotNull()
+    found = jaccard_components(held.select(F.when(known, F.col("number")).alias("number"), F.col("row.text").alias("text")), id_col="number")
+    named = held.where(known).select("number", F.col("row.doc_id").alias("doc_id")).join(found.withColumnRenamed("doc_id", "number"), "number")
+    stays = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "number")).alias("least")).select(F.col("least.number").alias("number"))
+    return held.join(stays, "number", "left_semi").select("row.*").unionByName(held.where(~known).select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +64,7 @@ STAGES = [
 ]
 
 #: SimHash windows and the pigeonhole join are not expressible in SQL at this
-#: scale; tests/llm/test_pipeline.py holds run() against brute force.
+#: scale; tests/llm/test_licenses_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 
