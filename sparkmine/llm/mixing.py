@@ -8,12 +8,13 @@ The level comes from running sums over the sources (one row each) by ascending
 size / weight.
 
 A source's repetition rate is target / size.  Every document is emitted
-floor(rate) times, plus once more where a seeded hash of its doc_id is below the
-fraction, so a mix is reproducible row by row.
+floor(rate) times, plus once more where a seeded hash of its doc_id and text is below
+the fraction, so a mix is reproducible row by row.
 
-Defined cases: null text has size 0; the null source is a source of its own;
-equal doc_ids share their draw; a source without words has target 0 and is
-emitted 0 times; an empty table gives an empty mix.
+Defined cases: null text has size 0; the null source is a source of its own; null,
+repeated or default doc_ids are drawn apart by their texts, and only rows equal in
+both share their draw; a source without words has target 0 and is emitted 0 times;
+an empty table gives an empty mix; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -66,32 +67,37 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def text_key(text: Column) -> Column:
+    """What a row's text adds to its draw (null: nothing)."""
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
 def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """A table with columns doc_id, source, size plus source_size, target and
+    """A table with columns doc_id, source, size, text_key plus source_size, target and
     copies: how often the mix takes the row."""
     targets = source_targets(docs.select("source", "size")).withColumnRenamed("source", "own_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    once_more = seeded_uniform(seed, F.col("doc_id")) < rate - F.floor(rate)
-    return docs.join(targets, F.col("source").eqNullSafe(F.col("own_source"))).drop("own_source", "weight").withColumn("copies", F.floor(rate) + once_more.cast("long"))
+    once_more = seeded_uniform(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_key")) < rate - F.floor(rate)
+    return docs.join(targets, F.col("source").eqNullSafe(F.col("own_source"))).withColumn("copies", F.floor(rate) + once_more.cast("long")).drop("own_source", "weight", "text_key")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns."""
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    sized = docs.select(own, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    sized = docs.select(own, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), text_key(F.col(text_col)).alias("text_key"))
     taken = repeats(sized, seed).where(F.col("copies") > 0)
     return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).select("_row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all ``documents``."""
-    docs = documents(spark, sf_dir).select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    docs = documents(spark, sf_dir).select("doc_id", "source", n_words(F.col("text")).alias("size"), text_key(F.col("text")).alias("text_key"))
     return repeats(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 OP9_SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, coalesce(md5(text), '') AS text_key, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") - 1)::INT % 3 + 1] AS weight
@@ -111,7 +117,7 @@ t AS (SELECT source, source_size, target FROM fill WHERE step = (SELECT max(step
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('9:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+         ('0x' || substr(md5('9:' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.text_key), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        ((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
