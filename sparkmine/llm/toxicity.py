@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.llm import textkernel as K
-from sparkmine.llm.common import documents
+from sparkmine.llm.common import cut_lineage, documents
 
-#: Labelled documents used for fitting (by hash of doc_id), and hashed words.
+#: Labelled rows used for fitting (by hash of id and text), and hashed words.
 MAX_TRAIN = 20_000
 HASHED = 1 << 20
 #: Words with the strongest association that enter the model; least documents per word.
@@ -65,7 +65,8 @@ def _sparse(batches):
             doc, word = _features(chunk)
             first = np.searchsorted(doc, np.arange(chunk.hi - chunk.lo + 1))
             body = [word[first[i] : first[i + 1]].astype(np.int32).tobytes() for i in range(chunk.hi - chunk.lo)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.lo, chunk.hi - chunk.lo), pa.array(body, pa.binary())], ["toxic", "words"])
+            label, key = (batch.column(j).slice(chunk.lo, chunk.hi - chunk.lo) for j in (0, 2))
+            yield pa.RecordBatch.from_arrays([label, pa.array(body, pa.binary()), key], ["toxic", "words", "row_hash"])
 
 
 def _term_groups() -> list[np.ndarray]:
@@ -143,13 +144,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled documents that are not held out."""
+    """Fit on at most ``max_train`` rows that are labelled and not held out, also where a
+    labelled id has many: rows equal in id and text count once, and of more than
+    ``max_train`` the first by the hash of both are taken.  A row reaches the driver as
+    at most 4 * HASHED bytes."""
     marked = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     marked = marked.groupBy(F.col(id_col).alias("own_id")).agg(F.max(F.col(label_col)).cast("double").alias("toxic"))
     sample = marked.orderBy(F.xxhash64("own_id"), "own_id").limit(max_train)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # at most max_train rows of 16 bytes are broadcast
-    rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("own_id")).select("toxic", "text").mapInArrow(_sparse, "toxic double, words binary").collect()
+    labelled = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("own_id")).select("toxic", "text", F.xxhash64("doc_id", "text").alias("row_hash"))
+    sparse = cut_lineage(labelled.mapInArrow(_sparse, "toxic double, words binary, row_hash long").dropDuplicates(["row_hash"]))
+    n = sparse.count()
+    if n > max_train:
+        # hashes spread evenly: a bound leaves few more than max_train rows to sort, in all partitions together
+        bound = int(-(2**63) + 2**64 * min(1.0, 1.2 * (max_train + 100) / n))
+        sparse = sparse.where(F.col("row_hash") < F.lit(min(bound, 2**63 - 1))).orderBy("row_hash").limit(max_train)
+    rows = sparse.select("toxic", "words").collect()
     rows.sort(key=lambda r: (bytes(r["words"]), r["toxic"]))  # the same fit whatever the order of arrival
     return fit([np.frombuffer(r["words"], np.int32) for r in rows], np.array([r["toxic"] for r in rows]))
 
