@@ -5,8 +5,9 @@ trigrams (lower case, without punctuation) that occur in the licence templates.
 
 1. *Training.* A multinomial logistic regression with elastic net (sparse
    weights) over the families and ``none``.  Positive rows are runs of words of the
-   templates; negative rows are the fixed ``OTHER_TEXTS`` and a bounded sample of
-   corpus paragraphs that share no trigram with a template.
+   notices and the licences' names in ``CARRIERS``; negative rows are the fixed
+   ``OTHER_TEXTS`` and a bounded sample of corpus paragraphs that share no trigram
+   with a template.
 2. *Calibration.* On rows kept out of the fit, a one-variable logistic regression
    of "names a family" on the margin between the best family and ``none`` gives a
    probability; below one half the paragraph is ``unknown``.
@@ -16,13 +17,15 @@ trigrams (lower case, without punctuation) that occur in the licence templates.
    with a template bigram carries two 64-bit hashes (bigram, trigram); a broadcast
    join with the model's n-grams (bounded by the templates) gives their weights.
    Scores are sums per paragraph.
-4. *Confirmation.* A family is confirmed if the paragraph's trigrams cover at
-   least half of one of its templates, or half of the paragraph lies in one.
-   Unconfirmed ones count as ``unknown``.
+4. *Confirmation.* A family is confirmed if the paragraph's bigrams and trigrams
+   cover at least half of one of its templates, or half of the paragraph's lie in
+   one.  Unconfirmed ones count as ``unknown``.
 
 Defined cases: null and empty texts name nothing; a licence named in several
 paragraphs counts once per document; repeated rows give repeated results; rows
-that share a doc_id are told apart by their text.
+that share a doc_id are told apart by their text; of families with equal scores
+the first by name counts; a notice wrapped over several lines is judged line by
+line; very long texts are scanned whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,46 +38,105 @@ from pyspark.sql import functions as F
 
 from sparkmine.llm.common import SPACES, cut_lineage, documents
 
-# Short public licence notices by family.
-TEMPLATES = {
+# Names of public licences by family.
+NAMES = {
+    "AGPL": ["GNU Affero General Public License", "GNU AGPL", "AGPL v3", "AGPLv3", "AGPL-3.0", "AGPL-3.0-or-later", "AGPL-3.0-only"],
+    "Apache-2.0": ["Apache License", "Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0", "Apache v2"],
+    "Artistic-2.0": ["Artistic License", "Artistic License 2.0", "Artistic-2.0", "Perl Artistic License"],
+    "BSD": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "BSD-2-Clause", "BSD-3-Clause", "New BSD License", "Simplified BSD License", "BSD-style license"],
+    "BSL-1.0": ["Boost Software License", "Boost Software License, Version 1.0", "Boost License", "BSL-1.0"],
+    "CC-BY": ["CC BY 4.0", "CC BY 3.0", "CC BY", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution License"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "CC BY-NC", "CC BY-NC-SA 4.0", "CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial License"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "CC BY-SA 3.0", "CC BY-SA", "Creative Commons Attribution-ShareAlike 4.0 International License", "Creative Commons Attribution-ShareAlike License"],
+    "CC0": ["CC0 1.0", "CC0 1.0 Universal", "CC0-1.0", "CC0 Public Domain Dedication", "Creative Commons Zero"],
+    "EPL-2.0": ["Eclipse Public License", "Eclipse Public License 2.0", "Eclipse Public License v2.0", "EPL-2.0", "EPL 2.0"],
+    "GPL": ["GNU General Public License", "GNU General Public License, version 3", "GNU General Public License, version 2", "GNU GPL", "GPL v2", "GPL v3", "GPLv2", "GPLv3", "GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-3.0-or-later"],
+    "ISC": ["ISC License", "ISC"],
+    "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License, version 2.1", "GNU Library General Public License", "GNU LGPL", "LGPL v3", "LGPLv3", "LGPL-2.1", "LGPL-3.0", "LGPL-2.1-or-later"],
+    "MIT": ["MIT License", "The MIT License", "MIT licence", "MIT"],
+    "MPL-2.0": ["Mozilla Public License", "Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0", "MPL-2.0", "MPL v2"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "Zlib": ["zlib License", "zlib/libpng License", "Zlib"],
+}
+# Phrases in which a name stands when a text is put under it.
+CARRIERS = [
+    "{}",
+    "License: {}",
+    "Licensed under {}",
+    "Licensed under the {}.",
+    "Released under the {}.",
+    "Available under the {}.",
+    "Distributed under the terms of the {}.",
+    "This project is licensed under the {}",
+    "This work is released under the {}",
+    "SPDX-License-Identifier: {}",
+]
+# How a name of a single word must stand to confirm its family.
+SHORT_CARRIERS = ["under {}", "under the {}", "License {}", "Identifier {}"]
+# The opening sentences of public licence texts by family.
+NOTICES = {
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
-        "This project is released under the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    ],
+    "Artistic-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0.",
     ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Released under the BSD 3-Clause License.",
-        "Licensed under the BSD License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
     ],
     "CC-BY": [
-        "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
     "CC-BY-NC": [
-        "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "CC-BY-SA": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "CC0": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
     "GPL": [
-        "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "Licensed under the GNU General Public License, version 2.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "This work is licensed under the GNU General Public License, version 3.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "LGPL": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     ],
     "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.',
-        "SPDX-License-Identifier: MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "Licensed under the Mozilla Public License, version 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely.",
     ],
 }
+#: What confirms a family: its notices, its names, and names of one word inside a short carrier.
+TEMPLATES = {f: NOTICES[f] + [c.format(n) for n in names for c in (SHORT_CARRIERS if n.isalnum() else ["{}"])] for f, names in NAMES.items()}
 # Sentences with licence words that grant nothing.
 OTHER_TEXTS = [
     "The driver showed the officer a valid license.",
@@ -89,6 +151,18 @@ OTHER_TEXTS = [
     "The foundation published the report in version 3.",
     "Software is sold with or without support.",
     "The license of the bar was withdrawn by the city.",
+    "She studied at the MIT and later taught there.",
+    "The Apache people lived in the south of the country.",
+    "The Mozilla foundation published a report.",
+    "A creative mind and a common attribution of the quote.",
+    "The painting is in the public domain.",
+    "Version 2.0 of the report was released under the old name.",
+    "The program is available under the menu of the house.",
+    "The commons were open to any person.",
+    "The eclipse was seen by the public in version 2.0 of the park.",
+    "Products are distributed under the terms of the contract.",
+    "The library is free and open to the public.",
+    "The licence for the shop is renewed by the city.",
 ]
 NONE, UNKNOWN = "none", "unknown"
 #: Corpus paragraphs taken as negative rows (the first of a hash order).
@@ -138,7 +212,8 @@ def _has_bigram(text: Column, bigrams: list[str]) -> Column:
 
 def _examples(spark: SparkSession, sample: DataFrame) -> DataFrame:
     """(text, family) rows: template runs, fixed other texts, the corpus sample."""
-    rows = [(run, family) for family, texts in TEMPLATES.items() for t in texts for run in _word_runs(t)[-60:]]
+    rows = [(run, family) for family, texts in NOTICES.items() for t in texts for run in _word_runs(t)[-60:]]
+    rows += [(c.format(name), family) for family, names in NAMES.items() for name in names for c in CARRIERS]
     rows += [(run, NONE) for t in OTHER_TEXTS for run in _word_runs(t)[-10:]]
     fixed = spark.createDataFrame(rows, "text string, family string")
     templates = spark.createDataFrame([(t,) for texts in TEMPLATES.values() for t in texts], "text string")
@@ -160,7 +235,13 @@ def _key(gram: Column) -> Column:
 
 def train(spark: SparkSession, paragraphs: DataFrame, negatives: int = NEGATIVES) -> Model:
     """Fit and calibrate; ``paragraphs`` has a column ``text``."""
-    sample = cut_lineage(paragraphs.where(F.length("text") > 20).orderBy(F.xxhash64("text"), "text").limit(negatives))
+    long_enough = paragraphs.where(F.length("text") > 20).select("text")
+    order = F.xxhash64("text")
+    # a bound on the hash leaves some three times the rows wanted, over the whole corpus, before they meet in one task
+    different = long_enough.agg(F.approx_count_distinct(order)).head()[0]
+    if different > 4 * negatives:
+        long_enough = long_enough.where(order < int(-(2**63) + 3 * negatives * 2**64 // different))
+    sample = cut_lineage(long_enough.distinct().orderBy(order, "text").limit(negatives))
     # a few thousand short rows (templates and ``negatives``): one partition keeps the solver's rounds short
     rows = cut_lineage(_examples(spark, sample).withColumn("grams", _grams(F.col("text"))).coalesce(1))
     classes = [NONE, *TEMPLATES]
@@ -212,11 +293,12 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     probability = 1 / (1 + F.exp(-(F.lit(model.slope) * (best - F.col("w0")) + F.lit(model.offset))))
     judged = scores.select(*key, family.alias("best"), probability.alias("probability"))
     templates = spark.createDataFrame([(f, i, t) for f, texts in TEMPLATES.items() for i, t in enumerate(texts)], "best string, template int, text string")
-    grams = templates.select("best", "template", F.explode(_grams(F.col("text"))).alias("g")).where(F.size(F.split("g", " ")) == 3)
+    grams = templates.select("best", "template", F.explode(_grams(F.col("text"))).alias("g"))
     sizes = grams.groupBy("best", "template").agg(F.count(F.lit(1)).alias("size"))
-    grams = F.broadcast(grams.join(sizes, ["best", "template"]).select("best", "template", "size", _key(F.col("g")).alias("three")))
-    shared = hits.select(*key, "three").distinct().join(grams, "three").groupBy(*key, "best", "template").agg(F.count(F.lit(1)).alias("m"), F.first("size").alias("size"))
-    cover = F.greatest(F.col("m") / F.col("size"), F.col("m") / F.greatest(F.col("n") - 2, F.lit(1)))
+    grams = F.broadcast(grams.join(sizes, ["best", "template"]).select("best", "template", "size", _key(F.col("g")).alias("g")))
+    own = hits.select(*key, F.explode(F.array("two", "three")).alias("g"))
+    shared = own.distinct().join(grams, "g").groupBy(*key, "best", "template").agg(F.count(F.lit(1)).alias("m"), F.first("size").alias("size"))
+    cover = F.greatest(F.col("m") / F.col("size"), F.col("m") / F.greatest(2 * F.col("n") - 3, F.lit(1)))
     compared = shared.groupBy("doc_id", "version", "line", "best").agg(F.max(cover).alias("cover"))
     same = (F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))) & (F.col("a.version") == F.col("b.version")) & (F.col("a.line") == F.col("b.line")) & (F.col("a.best") == F.col("b.best"))
     both = judged.alias("a").join(compared.alias("b"), same, "left").select("a.doc_id", "a.version", "a.line", "a.best", "a.probability", F.coalesce("b.cover", F.lit(0.0)).alias("cover"))
