@@ -23,6 +23,11 @@ row does not depend on the number of frequent items.  Tables are broadcast when
 bytes measured at their writing fit, else both sides are shuffled by the whole key
 and hot keys, known from the supports, are broadcast (``joins.probe``).
 Occurrence tables are cached, with a written table every CUT_EVERY levels.
+
+Equal transactions are one row with a ``_weight`` (``weighted_transactions``), made by
+one shuffle before the levels, and a level sums weights: its work grows with the
+different transactions of a group, which are at most the transactions.  Rows without a
+``_weight`` count once.
 """
 
 from __future__ import annotations
@@ -54,8 +59,9 @@ def _norm_items(col="items"):
     return F.sort_array(F.array_distinct(F.col(col)))
 
 
-def _count():
-    return F.count(F.lit(1)).alias("support_count")
+def _count(weight=()):
+    """Rows, or the sum of their ``weight`` column if one is named."""
+    return (F.sum(*weight) if weight else F.count(F.lit(1))).alias("support_count")
 
 
 # ---------------------------------------------------------------------------
@@ -228,6 +234,16 @@ def prepare_transactions_counted(tx: DataFrame, group_cols=()) -> tuple[DataFram
     return out, int(m["n"])
 
 
+def weighted_transactions(tx: DataFrame, group_cols=()) -> tuple[DataFrame, int]:
+    """(group..., items sorted distinct, _weight, _rid), one row for all equal
+    transactions of a group and ``_weight`` their number, written once; and the number
+    of transactions.  Many equal ones are added up per task before the shuffle."""
+    g = list(group_cols)
+    equal = tx.select(*g, _norm_items().alias("items")).groupBy(*g, "items").agg(F.count(F.lit(1)).alias("_weight"))
+    out, m = cut_lineage_observed(equal.withColumn("_rid", F.monotonically_increasing_id()), n=F.sum("_weight"))
+    return out, int(m["n"])
+
+
 def resolve_threshold(n: int, min_count: int | None, support: float | None) -> int:
     """Absolute threshold; from ``support`` it is ceil(support * n), at least 1
     (a count >= 0 and a count >= 1 keep the same, occurring, itemsets)."""
@@ -262,7 +278,8 @@ def mine_frequent(
     ``allowed`` (items) restricts every level to a downward-closed candidate
     family (SON phase 2).  ``stats`` = 'apriori' or 'son' also returns the
     candidates per level (A8) under that convention.  ``prepared`` says ``tx``
-    already comes from ``prepare_transactions`` (``n`` its row count, if known).
+    already comes from ``prepare_transactions`` or ``weighted_transactions`` (``n`` the
+    number of transactions, if known).
     ``item_counts`` (group..., item, support_count) over every item, when
     already known, replaces the level-1 pass over the transactions."""
     g = list(group_cols)
@@ -270,11 +287,12 @@ def mine_frequent(
         base = tx
     else:
         base, n = prepare_transactions_counted(tx, g)
-    if min_count is None:
-        n = base.count() if n is None else n
+    w = [c for c in ("_weight",) if c in base.columns]
+    if min_count is None and n is None:
+        n = base.agg(F.coalesce(_count(w), F.lit(0))).first()[0]
     min_count = resolve_threshold(n if n is not None else 0, min_count, support)
     if item_counts is None:
-        item_counts = base.select(*g, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count())
+        item_counts = base.select(*g, *w, F.explode("items").alias("item")).groupBy(*g, "item").agg(_count(w))
     # node ids are written with the level, so every later pass sees the same ones
     counts1, m1 = cut_lineage_observed(
         item_counts.select(*g, "item", "support_count", F.monotonically_increasing_id().alias("node")),
@@ -297,11 +315,11 @@ def mine_frequent(
         growth += [key + (1, c) for key, c in first.items()]
 
     # transactions as arrays of frequent level-1 nodes: an equi-join on (group, item), then one regroup by row
-    long = base.select("_rid", *g, F.explode("items").alias("item"))
+    long = base.select("_rid", *w, *g, F.explode("items").alias("item"))
     seen = probe(long, l1.select(*g, "item", "node", "support_count"), [*g, "item"], int(m1["bytes"]), int(m1["total"]))
-    rows = seen.groupBy("_rid").agg(F.sort_array(F.collect_list("node")).alias("r")).where(F.size("r") > 1).select("r")
+    rows = seen.groupBy("_rid", *w).agg(F.sort_array(F.collect_list("node")).alias("r")).where(F.size("r") > 1).select("r", *w)
     held, mo = persist_observed(rows, n=F.count(F.lit(1)))
-    occ = held.select(F.posexplode("r").alias("pos", "node"), "r").select("node", F.slice("r", F.col("pos") + 2, F.size("r")).alias("tail")).where(F.size("tail") > 0)
+    occ = held.select(F.posexplode("r").alias("pos", "node"), "r", *w).select("node", *w, F.slice("r", F.col("pos") + 2, F.size("r")).alias("tail")).where(F.size("tail") > 0)
     tree: list[_Level] = []
     k, alive_rows = 2, mo["n"]
     while n_prev > 0:
@@ -318,11 +336,11 @@ def mine_frequent(
                 break
         if n_cands == 0 or not alive_rows:
             break
-        pairs = occ.select("node", F.explode("tail").alias("y"))
+        pairs = occ.select("node", *w, F.explode("tail").alias("y"))
         if cands is not None:
             # J2 before counting: only candidates are aggregated
             pairs = probe(pairs, cands.select("node", "y"), ["node", "y"], n_cands * (2 * _LONG_BYTES + _ROW_OVERHEAD), how="left_semi")
-        counted = pairs.groupBy("node", "y").agg(_count()).where(F.col("support_count") >= min_count)
+        counted = pairs.groupBy("node", "y").agg(_count(w)).where(F.col("support_count") >= min_count)
         if k == 2:
             paths = counted.select("node", "y", F.array("node", "y").alias("path"), "support_count")
         else:
@@ -336,10 +354,10 @@ def mine_frequent(
         if stats:
             alive = _grouped(level.select(F.element_at("path", 1).alias("top")), l1, g, n_prev)
         # occurrence rows of the level: one probe per item of a tail, whatever the number of frequent items
-        at = occ.select("node", "tail", F.posexplode("tail").alias("pos", "y")).where(F.col("pos") + 1 < F.size("tail"))
+        at = occ.select("node", *w, "tail", F.posexplode("tail").alias("pos", "y")).where(F.col("pos") + 1 < F.size("tail"))
         at = at.withColumnsRenamed({"node": "_parent", "y": "_code"})
         met = probe(at, tree[-1].children(), ["_parent", "_code"], n_prev * (3 * _LONG_BYTES + _ROW_OVERHEAD), tree[-1].total)
-        nxt = met.select(F.col("_child").alias("node"), F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"))
+        nxt = met.select(F.col("_child").alias("node"), *w, F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"))
         keep = cut_lineage_observed if k % CUT_EVERY == 0 else persist_observed
         occ, mo = keep(nxt, n=F.count(F.lit(1)))
         alive_rows = mo["n"]
@@ -403,7 +421,8 @@ def _allowed_children(allowed: DataFrame, prev: _Level | None, k: int) -> tuple[
 def apriori(tx: DataFrame, min_count: int | None = None, support: float | None = None) -> DataFrame:
     """A4: every frequent itemset with its count: (k, items, support_count).
     Threshold: ``min_count`` or ceil(``support`` * n)."""
-    return mine_frequent(tx, min_count, support=support).itemsets
+    base, n = weighted_transactions(tx)
+    return mine_frequent(base, min_count, support=support, prepared=True, n=n).itemsets
 
 
 def candidate_growth(
@@ -414,7 +433,8 @@ def candidate_growth(
     'apriori': k=1 counts the frequent items, k>=2 the joined and pruned
     candidates, with a last row for the level that came out empty.
     'son': k=1 counts the distinct items seen (per group)."""
-    return mine_frequent(tx, min_count, group_cols, stats=convention, support=support).candidate_growth
+    base, n = weighted_transactions(tx, group_cols)
+    return mine_frequent(base, min_count, group_cols, stats=convention, support=support, prepared=True, n=n).candidate_growth
 
 
 # ---------------------------------------------------------------------------
@@ -478,7 +498,7 @@ def son(
 
     min_count = ceil(support * n), local_min = ceil(min_count / p): every
     globally frequent set is locally frequent in at least one bucket."""
-    base, n = prepare_transactions_counted(with_bucket(tx, num_partitions, bucket, seed), ["bucket"])
+    base, n = weighted_transactions(with_bucket(tx, num_partitions, bucket, seed), ["bucket"])
     min_count = resolve_threshold(n, min_count, support)
     local_min = int(math.ceil(min_count / num_partitions))
     local = son_local(base, local_min, stats=stats, prepared=True)
