@@ -7,6 +7,7 @@ import pytest
 from conftest import itemsets
 from sparkmine import session
 from sparkmine.operators import itemsets as IS
+from sparkmine.plans.experiments import SweepRow, run_sweep
 from test_miner_tree import brute
 
 R = random.Random(5)
@@ -63,3 +64,14 @@ def test_support_is_of_all_transactions(spark):
     """Without ``n`` the weights are added up, not the rows counted."""
     base, _ = IS.weighted_transactions(copies(spark, 5))
     assert itemsets(IS.mine_frequent(base, support=0.2, prepared=True).itemsets) == {s: 5 * c for s, c in brute(ROWS, 8).items()}
+
+
+def test_sweep_lookups_do_not_grow_with_copies(spark, monkeypatch):
+    seen, per = probed(monkeypatch), {}
+    for n in (2, 4):
+        seen.clear()
+        runs, _ = run_sweep(copies(spark, n), [SweepRow(0.2, 2, fraction=0.5)])
+        r = runs.first()
+        assert (r["n"], r["local_min"], r["n_itemsets"]) == (20 * n, 2 * n, len(brute(ROWS, 8)))
+        per[n] = list(seen)
+    assert per[2] == per[4]
